@@ -121,6 +121,11 @@ def profile_table(df: DataFrame, spec: ProfileSpec) -> DataFrame:
     if missing := sorted(named - known):
         raise ValueError(f"profile names columns {missing}, which are not in {df.columns}")
     groups = _group_measures(df, spec)
+    grouped = F.col("column_name").isin(_label(spec.key), *spec.groups)
+
+    def counted(name: str) -> Column:
+        return F.when(grouped, F.coalesce(F.col(name), F.lit(0))).alias(name)  # an empty table has no groups
+
     # At most one row per grouping set, whatever the size of the table: safe to broadcast.
     return _row_measures(df, spec).join(F.broadcast(groups), "column_name", "left").select(
         "column_name",
@@ -129,8 +134,8 @@ def profile_table(df: DataFrame, spec: ProfileSpec) -> DataFrame:
         "padded_count",
         "not_lower_count",
         "bad_count",
-        "distinct_count",
-        "duplicated_values",
+        counted("distinct_count"),
+        counted("duplicated_values"),
         "min_value",
         "max_value",
     )

@@ -1,0 +1,159 @@
+"""CSV scans and landing on hand-written files, with the expected rows written out."""
+
+from __future__ import annotations
+
+import datetime
+import math
+import random
+
+import pytest
+
+from siltworks.contracts import TableContract
+from siltworks.plans import Rules, conform
+from siltworks.sources import (
+    LandingFailure,
+    land_bronze,
+    scan_contract,
+    scan_inferred,
+    scan_strings,
+    write_strings,
+)
+from siltworks.sources.landing import bronze_path
+
+PLACES = TableContract.of(
+    "places", "id", "id integer required; name string; latitude double; longitude double; ts timestamp required"
+)
+EDGE_ROWS = """ID,nm,latitude,longitude,ts
+1, A ,10.0,20.0,2022-07-18 10:18:00+00:00
+1,B,95.0,20.0,2022-07-18 10:18:00
+2,,NaN,0,2022-07-18 10:18:00 UTC
+x,C,1,1,2022-07-18T10:18:00.123Z
+,D,1,1,2022-07-18 10:18:00.123456+00:00
+,E,1,1,bad
+3,"\tT\t",,5,
+4,F,-90,180
+5,G,1,1,2022-07-18,extra
+"""
+
+
+def _at(*args):
+    return datetime.datetime(2022, 7, 18, *args)
+
+
+@pytest.fixture
+def edge(tmp_path):
+    path = tmp_path / "edge.csv"
+    path.write_text(EDGE_ROWS)
+    return str(path)
+
+
+def test_contract_scan(spark, edge):
+    rows = [tuple(r) for r in scan_contract(spark, PLACES, edge).collect()]
+    nan_row = rows.pop(2)
+    assert nan_row[:2] == (2, None) and math.isnan(nan_row[2]) and nan_row[3:] == (0.0, _at(10, 18))
+    assert rows == [
+        (1, " A ", 10.0, 20.0, _at(10, 18)),
+        (1, "B", 95.0, 20.0, _at(10, 18)),
+        (None, "C", 1.0, 1.0, _at(10, 18, 0, 123000)),
+        (None, "D", 1.0, 1.0, _at(10, 18, 0, 123456)),
+        (None, "E", 1.0, 1.0, None),
+        (3, "\tT\t", None, 5.0, None),
+        (4, "F", -90.0, 180.0, None),
+        (5, "G", 1.0, 1.0, _at()),
+    ]
+
+
+def test_reads_do_not_enforce_nullability(spark, edge):
+    assert all(f.nullable for f in scan_contract(spark, PLACES, edge).schema.fields)
+
+
+def test_conform_edge_rows(spark, edge):
+    rules = Rules(trim=("name",), ranges=(("latitude", -90, 90), ("longitude", -180, 180)))
+    silver = conform(scan_contract(spark, PLACES, edge), PLACES.key, rules, datetime.date(2024, 1, 31))
+    assert silver.columns == [*PLACES.columns, "ingestion_date"]
+    rows = sorted((r["id"], r["name"], r["latitude"], r["ingestion_date"]) for r in silver.collect())
+    day = datetime.date(2024, 1, 31)
+    assert rows == [(1, "A", 10.0, day), (4, "F", -90.0, day), (5, "G", 1.0, day)]
+
+
+def test_header_names_are_ignored_unless_checked(spark, tmp_path):
+    path = tmp_path / "swapped.csv"
+    path.write_text("name,id\n1,a\n")
+    contract = TableContract.of("t", "id", "id integer; name string")
+    assert [tuple(r) for r in scan_contract(spark, contract, str(path)).collect()] == [(1, "a")]
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_contract(spark, contract, str(path), check_header=True).collect()
+
+
+def test_string_scan(spark, edge):
+    df = scan_strings(spark, edge)
+    assert df.columns == ["ID", "nm", "latitude", "longitude", "ts"]
+    assert {f.dataType.simpleString() for f in df.schema.fields} == {"string"}
+    assert tuple(df.collect()[7]) == ("4", "F", "-90", "180", None)
+
+
+def test_quoting(spark, tmp_path):
+    path = tmp_path / "quotes.csv"
+    path.write_text('id,name,z\n1,"28"" Inseam, Blue",k\n')
+    assert [tuple(r) for r in scan_strings(spark, str(path)).collect()] == [("1", '28" Inseam, Blue', "k")]
+    shifted = scan_strings(spark, str(path), rfc4180=False).collect()[0]
+    assert shifted["z"] != "k"
+
+
+def test_inferred_scan(spark, tmp_path):
+    path = tmp_path / "inferred.csv"
+    path.write_text("bill,who,size\n16.99,Ann,2\n10,Bob,3\n")
+    df = scan_inferred(spark, str(path))
+    assert df.dtypes == [("bill", "double"), ("who", "string"), ("size", "int")]
+    assert [tuple(r) for r in df.collect()] == [(16.99, "Ann", 2), (10.0, "Bob", 3)]
+
+
+def test_written_strings_read_back_the_same(spark, tmp_path):
+    pieces = [" ", "  x", "y  ", '"', '""', ",", "\\", '\\"', "\t", " ", "é", "'", "#", "NULL", "-", "a,b", 'say "hi"']
+    rng = random.Random(7)
+    values = ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 5))) for _ in range(500)]
+    rows = [(str(i), v, None if i % 7 == 0 else v[::-1], "end") for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "id string, a string, b string, c string").repartition(5)
+    write_strings(df, str(tmp_path / "out"))
+    back = scan_strings(spark, str(tmp_path / "out"))
+    assert sorted(tuple(r) for r in back.collect()) == sorted(rows)
+
+
+def test_landing_keeps_values_and_splits(spark, tmp_path):
+    lines = [f'{i}, n{i} ,"say ""{i}""",' for i in range(1000)]
+    (tmp_path / "t.csv").write_text("\n".join(["id,name,note,empty", *lines]) + "\n")
+    contract = TableContract.of("t", "id", "id integer; name string; note string; empty string")
+    report = land_bronze(spark, str(tmp_path), str(tmp_path / "bronze"), ["t"], {"t": contract})
+    assert [tuple(r) for r in report.collect()] == [("t", True, True, True, 1000)]
+    landed = scan_contract(spark, contract, bronze_path(str(tmp_path / "bronze"), "t"))
+    assert sorted(tuple(r) for r in landed.collect()) == [
+        (i, f" n{i} ", f'say "{i}"', None) for i in range(1000)
+    ]
+
+
+def test_landing_replaces_and_tries_every_table(spark, tmp_path):
+    contract = TableContract.of("a", "id", "id integer")
+    contracts = {"a": contract, "gone": TableContract("gone", contract.schema, contract.key)}
+    (tmp_path / "a.csv").write_text("id\n1\n2\n")
+    (tmp_path / "strange.csv").write_text("id\n1\n")
+    (tmp_path / "zero.csv").write_text("")
+    contracts["zero"] = TableContract("zero", contract.schema, contract.key)
+    bronze = str(tmp_path / "bronze")
+    for _ in range(2):
+        with pytest.raises(LandingFailure) as failure:
+            land_bronze(spark, str(tmp_path), bronze, ["gone", "strange", "zero", "a"], contracts)
+    assert failure.value.tables == ["gone", "strange", "zero"]
+    rows = {r["table"]: (r["source_exists"], r["contract_exists"], r["landed"]) for r in failure.value.report.collect()}
+    assert rows["gone"] == (False, True, False)
+    assert rows["strange"] == (True, False, False)
+    assert rows["zero"][2] is False
+    assert rows["a"] == (True, True, True)
+    assert scan_strings(spark, bronze_path(bronze, "a")).count() == 2
+
+
+def test_landing_a_header_without_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name\n")
+    contract = TableContract.of("a", "id", "id integer; name string")
+    report = land_bronze(spark, str(tmp_path), str(tmp_path / "bronze"), ["a"], {"a": contract})
+    assert [tuple(r) for r in report.collect()] == [("a", True, True, True, 0)]
+    assert scan_strings(spark, bronze_path(str(tmp_path / "bronze"), "a")).columns == ["id", "name"]

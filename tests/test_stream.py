@@ -1,0 +1,133 @@
+"""The event stream: equal to the batch on redeliveries, exactly once, with lateness reported."""
+
+from __future__ import annotations
+
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from siltworks.contracts import CONTRACTS, TableContract
+from siltworks.plans import Rules, conform
+from siltworks.sources import write_strings
+from siltworks.streaming import events_silver_stream, late_rows, scan_stream, start_events_sink
+from standins import table
+
+DAY = datetime.date(2024, 1, 31)
+SF = "/root/testdata/sf0.001"
+
+
+def _events(spark):
+    events = table(spark, SF, "events")
+    return events.withColumns({"ts": F.col("ts").cast("timestamp")})
+
+
+def _write_batches(df, path, parts, order):
+    """Each part becomes one file, and so one micro-batch."""
+    cut = df.withColumn("part", F.expr(f"int(pmod(xxhash64({order}), {parts}))"))
+    for part in range(parts):
+        cut.filter(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(path)
+
+
+def _run(spark, schema, home, watermark, rules=Rules(), key=("event_id",), time="ts", **options):
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{home}/feed")
+    silver = events_silver_stream(source, key, time, watermark, rules, DAY, **options)
+    query = start_events_sink(silver, f"{home}/sink", f"{home}/checkpoint")
+    query.awaitTermination()
+    return query
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("salts", [1, 4])
+def test_stream_equals_batch_on_redeliveries(spark, tmp_path, salts):
+    events = _events(spark)
+    unkeyed = events.limit(5).withColumn("event_id", F.lit(None).cast("long"))
+    feed = events.unionAll(events.filter("event_id % 3 = 0")).unionAll(unkeyed)
+    # The random part makes copies of one event arrive in different batches, out of time order.
+    _write_batches(feed.withColumn("r", F.rand(11)), f"{tmp_path}/feed", 4, "r")
+    query = _run(spark, events.schema, tmp_path, "31 days", Rules(trim=("event_type",)), salts=salts)
+    assert query.lastProgress is not None and late_rows(query) == 0
+    sink = spark.read.parquet(f"{tmp_path}/sink")
+    batch = conform(feed, ["event_id"], Rules(trim=("event_type",)), DAY)
+    assert _rows(sink.select(batch.columns)) == _rows(batch)
+    assert sink.count() == events.count()
+
+    _run(spark, events.schema, tmp_path, "31 days", Rules(trim=("event_type",)), salts=salts)
+    assert spark.read.parquet(f"{tmp_path}/sink").count() == events.count()
+
+
+def test_late_rows_are_dropped_and_reported(spark, tmp_path):
+    def at(day):
+        return datetime.datetime(2024, 1, day)
+
+    schema = "event_id long, ts timestamp"
+    for rows in ([(1, at(20))], [(2, at(20))], [(3, at(2)), (4, at(21))]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/feed")
+    query = _run(spark, spark.createDataFrame([], schema).schema, tmp_path, "1 day")
+    assert sorted(r["event_id"] for r in spark.read.parquet(f"{tmp_path}/sink").collect()) == [1, 2, 4]
+    assert late_rows(query) == 1
+
+
+def test_new_events_after_a_restart(spark, tmp_path):
+    schema = "event_id long, ts timestamp, v string"
+    stamp = datetime.datetime(2024, 1, 5)
+    for rows in ([(1, stamp, "a")], [(1, stamp, "a"), (2, stamp, "b")]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/feed")
+        _run(spark, spark.createDataFrame([], schema).schema, tmp_path, "1 day")
+    assert sorted(r["event_id"] for r in spark.read.parquet(f"{tmp_path}/sink").collect()) == [1, 2]
+
+
+def test_a_key_redelivered_very_often(spark, tmp_path):
+    stamp = F.lit(datetime.datetime(2024, 1, 5))
+    hot = spark.range(0, 30_000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("event_id"), stamp.alias("ts")
+    )
+    hot.write.parquet(f"{tmp_path}/feed")
+    source = spark.readStream.schema(hot.schema).parquet(f"{tmp_path}/feed")
+    silver = events_silver_stream(source, ["event_id"], "ts", "1 day", run_date=DAY)
+    query = start_events_sink(silver, f"{tmp_path}/sink", f"{tmp_path}/checkpoint")
+    query.awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/sink").count() == 20_001
+    # The second step saw the hot key once per task group, not 10,000 times.
+    dropped = [
+        op["customMetrics"]["numDroppedDuplicateRows"] for op in query.recentProgress[0]["stateOperators"]
+    ]
+    assert sum(dropped) == 9_999 and min(dropped) < 32
+
+
+def test_a_time_without_zone_is_cast(spark, tmp_path):
+    events = table(spark, SF, "events")
+    assert dict(events.dtypes)["ts"] == "timestamp_ntz"
+    events.write.parquet(f"{tmp_path}/feed")
+    _run(spark, events.schema, tmp_path, "31 days")
+    sink = spark.read.parquet(f"{tmp_path}/sink")
+    assert dict(sink.dtypes)["ts"] == "timestamp"
+    assert sink.select("event_id", F.col("ts").cast("timestamp_ntz")).exceptAll(events.select("event_id", "ts")).count() == 0
+
+
+def test_csv_stream_by_contract(spark, tmp_path):
+    contract = CONTRACTS["events"]
+    lines = [
+        '1,7,1,s,2024-01-05 10:00:00 UTC,ip,"a ""b"", c",st,1,Firefox,Email,/x,home',
+        "1,7,1,s,2024-01-05 10:00:00 UTC,ip,again,st,1,Firefox,Email,/x,home",
+        ",7,1,s,2024-01-05 10:00:00 UTC,ip,no key,st,1,Firefox,Email,/x,home",
+    ]
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    (feed / "one.csv").write_text("\n".join([",".join(contract.columns), *lines]) + "\n")
+    source = scan_stream(spark, contract, str(feed), max_files_per_trigger=1)
+    silver = events_silver_stream(source, contract.key, "created_at", "2 days", run_date=DAY)
+    start_events_sink(silver, f"{tmp_path}/sink", f"{tmp_path}/checkpoint").awaitTermination()
+    rows = spark.read.parquet(f"{tmp_path}/sink").collect()
+    assert [(r["id"], r["city"] in ('a "b", c', "again")) for r in rows] == [(1, True)]
+    assert rows[0].asDict().keys() == {*contract.columns, "ingestion_date"}
+
+
+def test_missing_rule_column_is_refused(spark, tmp_path):
+    write_strings(spark.range(1), f"{tmp_path}/feed")
+    source = scan_stream(spark, TableContract.of("t", "id", "id long; ts timestamp"), f"{tmp_path}/feed")
+    with pytest.raises(ValueError, match="rules name columns"):
+        events_silver_stream(source, ["id"], "ts", "1 day", Rules(trim=("nope",)))
