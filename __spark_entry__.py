@@ -544,7 +544,9 @@ def q_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = source.unionAll(source.filter(F.col("event_id") % 3 == 0))
     home = scratch_dir(spark, "events")
     silver = events_silver_stream(feed, ["event_id"], "ts", "31 days", run_date=RUN_DATE)
-    start_events_sink(silver, f"{home}/sink", f"{home}/checkpoint").awaitTermination()
+    start_events_sink(
+        silver, f"{home}/sink", f"{home}/checkpoint", state_partitions=spark.sparkContext.defaultParallelism
+    ).awaitTermination()
     sink = spark.read.parquet(f"{home}/sink")
     return _as_text(sink.withColumns({"ts": F.col("ts").cast("timestamp_ntz")}))
 

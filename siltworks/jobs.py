@@ -1,7 +1,7 @@
-"""Command line for ``spark-submit``: land, gate, refine, profile, publish and query.
+"""Command line for ``spark-submit``: land, gate, refine, profile, publish, query and events.
 
-    spark-submit siltworks/jobs.py land   --raw s3a://raw --bronze s3a://bronze
-    spark-submit siltworks/jobs.py refine --bronze s3a://bronze --silver s3a://silver --table products
+    spark-submit run_job.py land   --raw hdfs:///data/raw --bronze hdfs:///data/bronze
+    spark-submit run_job.py refine --bronze hdfs:///data/bronze --silver hdfs:///data/silver --table products
 
 Session settings come from ``spark-submit``.
 """
@@ -45,6 +45,7 @@ def _parser() -> argparse.ArgumentParser:
     job("query", "sql", tables=False).add_argument("--database")
     events = job("events", "source", "silver", "checkpoint", "watermark", tables=False)
     events.add_argument("--processing-time")
+    events.add_argument("--state-partitions", type=int)
     return parser
 
 
@@ -80,15 +81,16 @@ def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame | None:
     source = scan_stream(spark, contract, args.source, rfc4180=rfc4180)
     silver = events_silver_stream(source, contract.key, "created_at", args.watermark)
     query = start_events_sink(
-        silver, silver_path(args.silver, "events"), args.checkpoint, processing_time=args.processing_time
+        silver, silver_path(args.silver, "events"), args.checkpoint, processing_time=args.processing_time,
+        state_partitions=args.state_partitions,
     )
     query.awaitTermination()
     return spark.createDataFrame([("events", late_rows(query))], "table string, late_rows long")
 
 
-if __name__ == "__main__":
-    session = SparkSession.builder.appName("siltworks").getOrCreate()
+def main() -> None:
+    spark = SparkSession.builder.appName("siltworks").getOrCreate()
     try:
-        run(session, sys.argv[1:]).show(1000, truncate=False)
+        run(spark, sys.argv[1:]).show(1000, truncate=False)
     finally:
-        session.stop()
+        spark.stop()

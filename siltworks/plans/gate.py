@@ -6,14 +6,14 @@ import logging
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.contracts import CONTRACTS, GATE_TABLES, TableContract
 from siltworks.functions import has_key
-from siltworks.operators import is_empty
 from siltworks.sources.csv import scan_strings
 from siltworks.sources.landing import bronze_path
+from siltworks.workspace import side_by_side
 
 log = logging.getLogger(__name__)
 
@@ -44,38 +44,40 @@ def validate_table(
 ) -> DataFrame:
     """One report row for one table.
 
-    ``pk_null_count`` is -1 and ``row_count`` 0 where they were not computed: the table is unreadable or
-    empty, or its header lacks the key. A wrong column count fails the table but does not stop the key
-    check. Only the number of columns is compared, their names too with ``check_names``. Duplicates are
-    not looked for. Reading the header and the first row decides whether the file is there; the counts
-    are one lazy pass over the key column.
+    ``file_exists`` means that the file reads and has a row. ``pk_null_count`` is -1 and ``row_count`` 0
+    where they were not computed: the table is unreadable or empty, or its header lacks the key. A wrong
+    column count fails the table but does not stop the key check. Only the number of columns is compared,
+    their names too with ``check_names``. Duplicates are not looked for.
+
+    The reader opens the first file for its header, which shows whether the path can be read; all the rest
+    is one lazy pass that parses the key columns only.
     """
     try:
         df = scan_strings(spark, path, rfc4180=rfc4180)
-        if is_empty(df):
-            log.warning("%s: %s has no rows", contract.name, path)
-            return _not_read(spark, contract)
     except Exception as error:  # whatever keeps the file from being read is the finding
         log.error("%s: cannot read %s: %s", contract.name, path, error)
         return _not_read(spark, contract)
+    if not df.columns:
+        log.warning("%s: %s has no header", contract.name, path)
+        return _not_read(spark, contract)
 
     width_ok = _column_count_ok(df, contract, check_names)
-
-    def report(pk_nulls: Column, rows: Column) -> list[Column]:
-        return [
-            F.lit(contract.name).alias("table"),
-            F.lit(True).alias("file_exists"),
-            F.lit(width_ok).alias("column_count_ok"),
-            pk_nulls.alias("pk_null_count"),
-            rows.alias("row_count"),
-            (F.lit(width_ok) & (pk_nulls == 0)).alias("passed"),
-        ]
-
-    if missing := [k for k in contract.key if k not in df.columns]:
+    missing = [k for k in contract.key if k not in df.columns]
+    if missing:
         log.warning("%s: key columns %s not in the header", contract.name, missing)
-        return spark.createDataFrame([(contract.name, True, width_ok, -1, 0, False)], REPORT_SCHEMA)
-    counts = df.agg(F.count_if(~has_key(contract.key)).alias("pk_nulls"), F.count(F.lit(1)).alias("rows"))
-    return counts.select(*report(F.col("pk_nulls"), F.col("rows")))
+    key_is_null = F.lit(False) if missing else ~has_key(contract.key)
+    counts = df.agg(F.count_if(key_is_null).alias("nulls"), F.count(F.lit(1)).alias("rows"))
+
+    exists = F.col("rows") > 0
+    pk_nulls = F.lit(-1).cast("long") if missing else F.when(exists, F.col("nulls")).otherwise(-1)
+    return counts.select(
+        F.lit(contract.name).alias("table"),
+        exists.alias("file_exists"),
+        (exists & F.lit(width_ok)).alias("column_count_ok"),
+        pk_nulls.alias("pk_null_count"),
+        (F.lit(0).cast("long") if missing else F.col("rows")).alias("row_count"),
+        (exists & F.lit(width_ok) & (pk_nulls == 0)).alias("passed"),
+    )
 
 
 def validate_all(
@@ -83,13 +85,12 @@ def validate_all(
     contracts: Mapping[str, TableContract] = CONTRACTS, *, rfc4180: bool = True, check_names: bool = False,
 ) -> DataFrame:
     """One report row per table. The counts of all tables run as one job, side by side."""
-    rows = [
-        validate_table(
-            spark, contracts[t], bronze_path(bronze_dir, t), rfc4180=rfc4180, check_names=check_names
-        )
-        for t in tables
-    ]
-    return reduce(DataFrame.unionByName, rows)
+
+    def validate(table: str) -> DataFrame:
+        path = bronze_path(bronze_dir, table)
+        return validate_table(spark, contracts[table], path, rfc4180=rfc4180, check_names=check_names)
+
+    return reduce(DataFrame.unionByName, side_by_side(spark, validate, tables))
 
 
 def require_passed(report: DataFrame) -> DataFrame:

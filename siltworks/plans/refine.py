@@ -12,6 +12,7 @@ from siltworks.plans.conform import RULES, Rules, audit_of, conform_counted
 from siltworks.sources.csv import scan_contract
 from siltworks.sources.landing import bronze_path
 from siltworks.sources.silver import silver_path
+from siltworks.workspace import side_by_side
 
 REPORT_SCHEMA = (
     "table string, rows_read long, null_key_rows long, duplicate_rows long, out_of_range_rows long, rows_written long"
@@ -47,8 +48,11 @@ def refine_all(
     contracts: Mapping[str, TableContract] = CONTRACTS, rules: Mapping[str, Rules] = RULES,
     run_date: datetime.date | None = None, *, rfc4180: bool = True,
 ) -> DataFrame:
-    """``refine_table`` for each table; one report row per table."""
-    rows = [
-        _refine(spark, contracts[t], rules.get(t, Rules()), bronze_dir, silver_dir, run_date, rfc4180) for t in tables
-    ]
-    return spark.createDataFrame(rows, REPORT_SCHEMA)
+    """``refine_table`` for each table; one report row per table. A failed table does not stop the others."""
+
+    def refine(table: str) -> dict[str, object]:
+        return _refine(
+            spark, contracts[table], rules.get(table, Rules()), bronze_dir, silver_dir, run_date, rfc4180
+        )
+
+    return spark.createDataFrame(side_by_side(spark, refine, tables), REPORT_SCHEMA)

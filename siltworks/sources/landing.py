@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from siltworks.contracts import CONTRACTS, LANDING_TABLES, TableContract
 from siltworks.sources.csv import scan_strings, write_strings
+from siltworks.workspace import side_by_side
 
 log = logging.getLogger(__name__)
 
@@ -61,7 +62,11 @@ def land_bronze(
     contracts: Mapping[str, TableContract] = CONTRACTS, *, rfc4180: bool = True,
 ) -> DataFrame:
     """Land every table; return one report row per table, or raise once all have been tried."""
-    rows = [land_table(spark, t, raw_dir, bronze_dir, contracts, rfc4180=rfc4180) for t in tables]
+
+    def land(table: str) -> tuple[str, bool, bool, bool, int]:
+        return land_table(spark, table, raw_dir, bronze_dir, contracts, rfc4180=rfc4180)
+
+    rows = side_by_side(spark, land, tables)
     report = spark.createDataFrame(rows, REPORT_SCHEMA)
     if failed := [row[0] for row in rows if not row[3]]:
         raise LandingFailure(failed, report)

@@ -19,6 +19,7 @@ from siltworks.operators import drop_null_key
 from siltworks.plans.conform import Rules, check_rules, in_range, normalise, stamp
 
 _SALT = "__salt"
+_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def scan_stream(
@@ -67,19 +68,28 @@ def events_silver_stream(
 
 
 def start_events_sink(
-    silver: DataFrame, path: str, checkpoint: str, *, processing_time: str | None = None, name: str | None = None
+    silver: DataFrame, path: str, checkpoint: str, *, processing_time: str | None = None, name: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Append the stream to a Parquet directory, exactly once per checkpoint.
 
     Without ``processing_time`` the query takes what is there in bounded batches and ends. Both paths
-    must be on storage that every executor sees.
+    must be on storage that every executor sees. ``state_partitions`` is over how many tasks the keys are
+    remembered, by default the session's shuffle partitions; a checkpoint keeps its first number.
     """
     writer = silver.writeStream.format("parquet").outputMode("append")
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)
     writer = writer.queryName(name) if name else writer
-    if processing_time:
-        return writer.trigger(processingTime=processing_time).start()
-    return writer.trigger(availableNow=True).start()
+    writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
+    if state_partitions is None:
+        return writer.start()
+    conf = silver.sparkSession.conf
+    before = conf.get(_PARTITIONS)
+    conf.set(_PARTITIONS, state_partitions)
+    try:
+        return writer.start()  # the query runs in a copy of the session made here
+    finally:
+        conf.set(_PARTITIONS, before)
 
 
 def late_rows(query: StreamingQuery) -> int:

@@ -1,18 +1,37 @@
-"""Where intermediate tables go: the shared folder that the cluster names in ``spark.checkpoint.dir``."""
+"""Helpers of the jobs: a folder for intermediate tables, and several tables' jobs at a time."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+A = TypeVar("A")
+B = TypeVar("B")
+
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new, unused folder path. A temporary local folder is used only by a local session without the setting."""
+    """A new, unused folder below the shared one that the cluster names in ``spark.checkpoint.dir``.
+
+    A temporary local folder is used only by a local session without the setting.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.gettempdir()
     return f"{root.rstrip('/')}/siltworks/{label}-{uuid.uuid4().hex}"
+
+
+def side_by_side(spark: SparkSession, job: Callable[[A], B], items: Iterable[A], at_once: int = 4) -> list[B]:
+    """Submit independent jobs a few at a time, so that one table's last tasks do not leave the cluster idle.
+
+    Results keep the order of the items. Every item is tried before an error is raised.
+    """
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(job), items))

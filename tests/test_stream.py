@@ -98,6 +98,17 @@ def test_a_key_redelivered_very_often(spark, tmp_path):
     assert sum(dropped) == 9_999 and min(dropped) < 32
 
 
+def test_state_partitions_are_the_streams_own(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.range(10).selectExpr("id as event_id", "timestamp'2024-01-05' as ts").write.parquet(f"{tmp_path}/feed")
+    source = spark.readStream.schema("event_id long, ts timestamp").parquet(f"{tmp_path}/feed")
+    silver = events_silver_stream(source, ["event_id"], "ts", "1 day")
+    query = start_events_sink(silver, f"{tmp_path}/sink", f"{tmp_path}/checkpoint", state_partitions=3)
+    query.awaitTermination()
+    assert {op["numShufflePartitions"] for p in query.recentProgress for op in p["stateOperators"]} == {3}
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_a_time_without_zone_is_cast(spark, tmp_path):
     events = table(spark, SF, "events")
     assert dict(events.dtypes)["ts"] == "timestamp_ntz"
