@@ -14,9 +14,10 @@ import sys
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltworks.contracts import CONTRACTS, GATE_TABLES, LANDING_TABLES, load_contracts
-from siltworks.plans import PROFILES, profile_table, refine_all, run_gate
+from siltworks.plans import ProfileSpec, profile_table, refine_all, run_gate
 from siltworks.sources import create_database, land_bronze, register_table, scan_contract, sql_query
 from siltworks.sources.landing import bronze_path
 from siltworks.sources.silver import silver_path
@@ -65,9 +66,9 @@ def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame | None:
         )
     if args.job == "profile":
         report = None
-        for table in tables or PROFILES:
+        for table in tables or GATE_TABLES:
             bronze = scan_contract(spark, contracts[table], bronze_path(args.bronze, table), rfc4180=rfc4180)
-            rows = profile_table(bronze, PROFILES[table]).selectExpr(f"'{table}' as table", "*")
+            rows = profile_table(bronze, ProfileSpec.of(contracts[table])).select(F.lit(table).alias("table"), "*")
             report = rows if report is None else report.unionByName(rows)
         return report
     if args.job == "publish":

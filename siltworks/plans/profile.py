@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltworks import functions as X
+from siltworks.contracts import TableContract
 
 
 @dataclass(frozen=True)
@@ -26,6 +27,12 @@ class ProfileSpec:
     extremes: tuple[str, ...] = ()
     bad: Mapping[str, Callable[[], Column]] = field(default_factory=dict)
 
+    @classmethod
+    def of(cls, contract: TableContract) -> ProfileSpec:
+        """The bundled checks of the contract's name, or else its key and the padding of its text columns."""
+        texts = tuple(f.name for f in contract.schema.fields if f.dataType.typeName() == "string")
+        return PROFILES.get(contract.name) or cls(contract.key, padded=texts)
+
 
 # The checks per table.
 PROFILES: Mapping[str, ProfileSpec] = {

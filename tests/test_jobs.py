@@ -59,6 +59,9 @@ def test_jobs_chain(spark, lake):
 
     profile = jobs.run(spark, ["profile", "--bronze", bronze, "--table", "users"])
     assert ("users", "email", 1, 1) in _rows(profile, "table", "column_name", "padded_count", "not_lower_count")
+    items = jobs.run(spark, ["profile", "--bronze", bronze, "--table", "order_items"])
+    found = {r[0]: r[1:] for r in _rows(items, "column_name", "padded_count", "duplicated_values")}
+    assert found["status"] == (2, None) and found["id"] == (None, 1)
 
     database = f"db_{uuid.uuid4().hex}"
     try:
