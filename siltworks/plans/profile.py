@@ -99,22 +99,18 @@ def _group_measures(df: DataFrame, spec: ProfileSpec) -> DataFrame:
     The grouping sets count rows per (column, value), combined per task before the exchange, so a value
     that fills the table is one row per task; a second small count folds that to one row per column.
     """
-    sets = [spec.key, *[(name,) for name in spec.groups if (name,) != spec.key]]
+    sets = list(dict.fromkeys([spec.key, *[(name,) for name in spec.groups]]))
     columns = list(dict.fromkeys(name for group in sets for name in group))
     grouped = df.groupingSets([[X.named(n) for n in group] for group in sets], *[X.named(n) for n in columns]).agg(
         F.grouping_id().alias("set_id"), F.count(F.lit(1)).alias("copies")
     )
     # A set's id has one bit per grouping column, leftmost highest, set where the column is not in it.
-    label = F.create_map(
-        *[
-            F.lit(value)
-            for group in sets
-            for value in (int("".join("0" if c in group else "1" for c in columns), 2), _label(group))
-        ]
-    )
+    ids = [int("".join("0" if c in group else "1" for c in columns), 2) for group in sets]
+    labels = [part for i, group in zip(ids, sets) for part in (F.lit(i).cast("long"), F.lit(_label(group)))]
+    label = F.create_map(*labels)[F.col("set_id")]
     return grouped.groupBy("set_id").agg(
         F.count(F.lit(1)).alias("distinct_count"), F.count_if(F.col("copies") > 1).alias("duplicated_values")
-    ).select(label[F.col("set_id").cast("int")].alias("column_name"), "distinct_count", "duplicated_values")
+    ).select(label.alias("column_name"), "distinct_count", "duplicated_values")
 
 
 def profile_table(df: DataFrame, spec: ProfileSpec) -> DataFrame:

@@ -63,8 +63,8 @@ def drop_table(spark: SparkSession, table: str, *, missing_ok: bool = True) -> N
 def sql_query(spark: SparkSession, sql: str, database: str | None = None, args: dict | None = None) -> DataFrame:
     """Run SQL over published tables, as a DataFrame: rows stay on the executors until asked for.
 
-    ``database`` is where unqualified table names are looked up, for this query only. ``args`` binds
-    ``:name`` markers.
+    ``database`` is where unqualified table names are looked up, for this query only; the session's current
+    database is switched while the query is analysed. ``args`` binds ``:name`` markers.
     """
     if database is None:
         return spark.sql(sql, args=args)

@@ -33,5 +33,7 @@ def side_by_side(spark: SparkSession, job: Callable[[A], B], items: Iterable[A],
 
     Results keep the order of the items. Every item is tried before an error is raised.
     """
+    job = inheritable_thread_target(spark)(job)
     with ThreadPoolExecutor(max_workers=at_once) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(job), items))
+        running = [pool.submit(job, item) for item in items]
+    return [done.result() for done in running]

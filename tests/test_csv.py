@@ -76,6 +76,19 @@ def test_conform_edge_rows(spark, edge):
     assert rows == [(1, "A", 10.0, day), (4, "F", -90.0, day), (5, "G", 1.0, day)]
 
 
+def test_all_type_words(spark, tmp_path):
+    path = tmp_path / "types.csv"
+    path.write_text("a,b,c,d,e,f,g,h,i\n1,2,0.5,0.25,s,true,2024-01-05,2024-01-05 01:02:03,12.345\nx,x,x,x,x,x,x,x,x\n")
+    contract = TableContract.of(
+        "t", "a",
+        "a integer; b long; c float; d double; e string; f boolean; g date; h timestamp; i decimal(9,2)",
+    )
+    first, second = [tuple(r) for r in scan_contract(spark, contract, str(path)).collect()]
+    assert first[:7] == (1, 2, 0.5, 0.25, "s", True, datetime.date(2024, 1, 5))
+    assert first[7] == datetime.datetime(2024, 1, 5, 1, 2, 3)
+    assert second == (None, None, None, None, "x", None, None, None, None)
+
+
 def test_header_names_are_ignored_unless_checked(spark, tmp_path):
     path = tmp_path / "swapped.csv"
     path.write_text("name,id\n1,a\n")

@@ -46,6 +46,14 @@ def test_composite_key(spark):
     assert (rows["line"]["distinct_count"], rows["line"]["duplicated_values"]) == (3, 1)
 
 
+def test_many_grouped_columns(spark):
+    names = [f"c{i}" for i in range(45)]
+    df = spark.range(10).selectExpr("id", *[f"id % {i + 1} as c{i}" for i in range(45)])
+    rows = _by_column(profile_table(df, ProfileSpec(key=("id",), groups=(*names, "c3"))))
+    assert [rows[n]["distinct_count"] for n in names] == [min(i + 1, 10) for i in range(45)]
+    assert rows["id"]["distinct_count"] == 10 and rows["c0"]["duplicated_values"] == 1
+
+
 def test_empty_table(spark):
     spec = ProfileSpec(key=("id",), groups=("name",), padded=("name",))
     rows = _by_column(profile_table(spark.createDataFrame([], SCHEMA), spec))
