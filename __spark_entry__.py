@@ -28,6 +28,7 @@ from siltworks.plans import (  # noqa: E402
     conform,
     profile_table,
     refine_all,
+    silver_table,
     validate_all,
     validate_table,
 )
@@ -77,7 +78,7 @@ def _as_text(df: DataFrame) -> DataFrame:
 
 
 def _silver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return _as_text(conform(dirty(spark, sf_dir, name), STANDIN_CONTRACTS[name].key, RULES[name], RUN_DATE))
+    return _as_text(silver_table(dirty(spark, sf_dir, name), name, RUN_DATE))
 
 
 def _silver_sql(name: str, source: str = "dirty") -> str:
@@ -133,7 +134,7 @@ def q_silver_inventory_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query(_silver_sql("products"))
 def q_write_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "silver")
-    S.write_silver(conform(dirty(spark, sf_dir, "products"), ("id",), RULES["products"], RUN_DATE), path)
+    S.write_silver(silver_table(dirty(spark, sf_dir, "products"), "products", RUN_DATE), path)
     return _as_text(spark.read.parquet(path))
 
 
@@ -235,7 +236,7 @@ def q_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish silver products, read them back through the catalog, drop table and database."""
     database, home = f"db_{uuid.uuid4().hex}", scratch_dir(spark, "publish")
     S.create_database(spark, database, f"{home}/db")
-    silver = conform(dirty(spark, sf_dir, "products"), ("id",), RULES["products"], RUN_DATE)
+    silver = silver_table(dirty(spark, sf_dir, "products"), "products", RUN_DATE)
     S.publish_table(silver, f"{database}.products", path=f"{home}/products")
     rows = _as_text(S.read_table(spark, f"{database}.products"))
     S.drop_table(spark, f"{database}.products")

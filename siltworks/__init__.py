@@ -1,6 +1,6 @@
 """Retail tables from raw CSV to clean Parquet: landing, quality gate, profile, conforming, publishing."""
 
-from siltworks.contracts import CONTRACTS, GATE_TABLES, LANDING_TABLES, TableContract, load_contracts
+from siltworks.contracts import CONTRACTS, GATE_TABLES, LANDING_TABLES, TableContract, contract_schema, load_contracts
 from siltworks.plans import (
     PROFILES,
     RULES,
@@ -11,6 +11,7 @@ from siltworks.plans import (
     refine_all,
     refine_table,
     run_gate,
+    silver_table,
     validate_all,
     validate_table,
 )
@@ -27,6 +28,7 @@ __all__ = [
     "Rules",
     "TableContract",
     "conform",
+    "contract_schema",
     "events_silver_stream",
     "land_bronze",
     "load_contracts",
@@ -36,6 +38,7 @@ __all__ = [
     "refine_table",
     "run_gate",
     "scan_contract",
+    "silver_table",
     "sql_query",
     "start_events_sink",
     "validate_all",

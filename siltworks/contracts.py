@@ -178,3 +178,8 @@ CONTRACTS: Mapping[str, TableContract] = {
 # The batch tables, in the order the gate and the landing report them.
 GATE_TABLES = ("distribution_centers", "products", "orders", "users", "order_items", "inventory_items")
 LANDING_TABLES = ("distribution_centers", "inventory_items", "order_items", "orders", "products", "users")
+
+
+def contract_schema(table: str, contracts: Mapping[str, TableContract] = CONTRACTS) -> T.StructType:
+    """The Spark schema of a table's contract."""
+    return contracts[table].schema

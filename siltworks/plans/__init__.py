@@ -1,7 +1,7 @@
 """Composite jobs: conform to silver, the bronze gate and the table profile."""
 
-from siltworks.plans.conform import RULES, Rules, audit_of, conform, conform_counted, normalise
-from siltworks.plans.gate import GateFailure, require_passed, run_gate, validate_all, validate_table
+from siltworks.plans.conform import RULES, Rules, audit_of, conform, conform_counted, normalise, silver_table
+from siltworks.plans.gate import GateFailure, column_count_check, require_passed, run_gate, validate_all, validate_table
 from siltworks.plans.profile import PROFILES, ProfileSpec, profile_table
 from siltworks.plans.refine import refine_all, refine_table
 
@@ -12,6 +12,7 @@ __all__ = [
     "ProfileSpec",
     "Rules",
     "audit_of",
+    "column_count_check",
     "conform",
     "conform_counted",
     "normalise",
@@ -20,6 +21,7 @@ __all__ = [
     "refine_table",
     "require_passed",
     "run_gate",
+    "silver_table",
     "validate_all",
     "validate_table",
 ]

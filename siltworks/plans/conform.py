@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from siltworks import functions as X
+from siltworks.contracts import CONTRACTS
 from siltworks.operators import dedup_by_key, drop_null_key
 
 LOAD_DATE = "ingestion_date"
@@ -80,6 +81,11 @@ def conform(
     return stamp(normalise(ranged, rules), run_date)
 
 
+def silver_table(df: DataFrame, table: str, run_date: datetime.date | None = None) -> DataFrame:
+    """``conform`` by the bundled key and rules of a table."""
+    return conform(df, CONTRACTS[table].key, RULES[table], run_date)
+
+
 def conform_counted(
     df: DataFrame, keys: Sequence[str], rules: Rules, run_date: datetime.date | None, seen: Observation
 ) -> DataFrame:

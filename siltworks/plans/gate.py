@@ -31,7 +31,8 @@ class GateFailure(RuntimeError):
         self.report = report
 
 
-def _column_count_ok(df: DataFrame, contract: TableContract, check_names: bool) -> bool:
+def column_count_check(df: DataFrame, contract: TableContract, *, check_names: bool = False) -> bool:
+    """Has the table as many columns as its contract, or with ``check_names`` the same ones in order?"""
     return df.columns == contract.columns if check_names else len(df.columns) == len(contract.columns)
 
 
@@ -61,7 +62,7 @@ def validate_table(
         log.warning("%s: %s has no header", contract.name, path)
         return _not_read(spark, contract)
 
-    width_ok = _column_count_ok(df, contract, check_names)
+    width_ok = column_count_check(df, contract, check_names=check_names)
     missing = [k for k in contract.key if k not in df.columns]
     if missing:
         log.warning("%s: key columns %s not in the header", contract.name, missing)
