@@ -251,18 +251,21 @@ def q_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def q_sql_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Create a table, insert rows and query it with SQL in a default database."""
-    database = f"db_{uuid.uuid4().hex}"
-    S.create_database(spark, database, scratch_dir(spark, "db"))
+    """Create a table, insert rows, query it with SQL in a default database, drop both and keep the files."""
+    database, home = f"db_{uuid.uuid4().hex}", scratch_dir(spark, "sql")
+    S.create_database(spark, database, f"{home}/db")
     users = dirty(spark, sf_dir, "users")
-    S.create_table(spark, f"{database}.users", users.schema)
+    S.create_table(spark, f"{database}.users", users.schema, path=f"{home}/users")
     S.insert_rows(users, f"{database}.users")
-    return S.sql_query(
+    rows = S.sql_query(
         spark,
         "select country, count(*) as users, min(age) as youngest from users where age >= :adult group by country",
         database,
         {"adult": 18},
     )
+    S.drop_table(spark, f"{database}.users")
+    S.drop_database(spark, database)
+    return rows
 
 
 # ---- the bronze gate -------------------------------------------------------------------------------

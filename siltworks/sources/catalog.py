@@ -10,11 +10,14 @@ def _quoted(name: str) -> str:
     return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
 
 
+def _location(path: str | None) -> str:
+    if not path:
+        return ""
+    return " LOCATION '" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def create_database(spark: SparkSession, name: str, location: str | None = None, *, exist_ok: bool = True) -> None:
-    sql = f"CREATE DATABASE {'IF NOT EXISTS ' if exist_ok else ''}{_quoted(name)}"
-    if location:
-        sql += " LOCATION '" + location.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    spark.sql(sql)
+    spark.sql(f"CREATE DATABASE {'IF NOT EXISTS ' if exist_ok else ''}{_quoted(name)}{_location(location)}")
 
 
 def drop_database(spark: SparkSession, name: str, *, missing_ok: bool = True, cascade: bool = False) -> None:
@@ -25,11 +28,18 @@ def drop_database(spark: SparkSession, name: str, *, missing_ok: bool = True, ca
 
 
 def create_table(
-    spark: SparkSession, table: str, schema: T.StructType | str, *, provider: str = "parquet", exist_ok: bool = True
+    spark: SparkSession, table: str, schema: T.StructType | str, *, path: str | None = None,
+    provider: str = "parquet", exist_ok: bool = True,
 ) -> None:
-    """Create an empty table. ``provider="hive"`` needs a session with Hive support."""
+    """Create an empty table; with ``path`` its files outlive a drop.
+
+    ``provider="hive"`` needs a session with Hive support.
+    """
     columns = schema if isinstance(schema, str) else schema.toDDL()
-    spark.sql(f"CREATE TABLE {'IF NOT EXISTS ' if exist_ok else ''}{_quoted(table)} ({columns}) USING {provider}")
+    spark.sql(
+        f"CREATE TABLE {'IF NOT EXISTS ' if exist_ok else ''}{_quoted(table)} ({columns}) USING {provider}"
+        + _location(path)
+    )
 
 
 def insert_rows(df: DataFrame, table: str) -> None:

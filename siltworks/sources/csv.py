@@ -50,7 +50,8 @@ def scan_inferred(spark: SparkSession, path: str, *, rfc4180: bool = True) -> Da
 def write_strings(df: DataFrame, path: str) -> None:
     """Replace a CSV directory so that the scans above read the same values back.
 
-    Every part file has the header, padding is kept and timestamps keep their microseconds.
+    Every part file has the header, padding is kept and timestamps keep their microseconds. CSV has no form
+    for an empty string, which reads back as NULL, and values must not hold line breaks; no scan gives either.
     """
     (
         df.write.mode("overwrite")

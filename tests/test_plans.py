@@ -5,10 +5,11 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import Observation
 
 import __spark_entry__ as registry
 from siltworks.contracts import TableContract
-from siltworks.plans import RULES, conform, validate_table
+from siltworks.plans import RULES, conform, conform_counted, validate_table
 from siltworks.sources import scan_contract, write_strings
 from standins import STANDIN_CONTRACTS, dirty, table
 
@@ -32,6 +33,13 @@ def test_range_check_stays_above_the_shuffle(spark):
     assert re.search(r"Filter.*latitude.*90", plan[: plan.index("Exchange")])
 
 
+def test_counts_are_taken_above_the_shuffle(spark):
+    source = dirty(spark, SF, "distribution_centers")
+    plan = _plan(conform_counted(source, ("id",), RULES["distribution_centers"], None, Observation()))
+    assert plan.count("Exchange") == plan.count("CollectMetrics") == 1
+    assert plan.index("CollectMetrics") < plan.index("Exchange")
+
+
 def test_gate_reads_only_the_key(spark, tmp_path):
     path = str(tmp_path / "t")
     write_strings(table(spark, SF, "orders"), path)
