@@ -56,37 +56,31 @@ PROFILES: Mapping[str, ProfileSpec] = {
 
 def _row_measures(df: DataFrame, spec: ProfileSpec) -> DataFrame:
     """Every check that looks at one row, for all columns, in one pass without an exchange of rows."""
-    no_count, no_value = F.lit(None).cast("long"), F.lit(None).cast("string")
-    labels = list(df.columns) + ([_label(spec.key)] if len(spec.key) > 1 else [])
-    aggregates = {"rows": F.count(F.lit(1))}
-    entries = []
-    for i, name in enumerate(labels):
-        is_null = ~X.has_key(spec.key) if i >= len(df.columns) else X.named(name).isNull()
-        wanted = {"null_count": F.count_if(is_null)}
-        if name in spec.padded:
-            wanted["padded_count"] = F.count_if(X.padded(name))
-        if name in spec.lower:
-            wanted["not_lower_count"] = F.count_if(X.not_lower(name))
-        if name in spec.bad:
-            wanted["bad_count"] = F.count_if(spec.bad[name]())
-        if name in spec.extremes:
-            wanted["min_value"] = F.min(X.named(name)).cast("string")
-            wanted["max_value"] = F.max(X.named(name)).cast("string")
-        aggregates |= {f"{measure}_{i}": value for measure, value in wanted.items()}
-
-        def measured(measure: str, absent: Column, i: int = i, wanted: dict = wanted) -> Column:
-            return (F.col(f"{measure}_{i}") if measure in wanted else absent).alias(measure)
-
-        entries.append(
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.col("rows").alias("row_count"),
-                *[measured(m, no_count) for m in ("null_count", "padded_count", "not_lower_count", "bad_count")],
-                *[measured(m, no_value) for m in ("min_value", "max_value")],
-            )
+
+    def entry(label: str, is_null: Column) -> Column:
+        column = X.named(label)
+
+        def rows_where(condition: Column | None) -> Column:
+            return F.lit(None).cast("long") if condition is None else F.count_if(condition)
+
+        def value(extreme: Callable[[Column], Column]) -> Column:
+            return (extreme(column) if label in spec.extremes else F.lit(None)).cast("string")
+
+        return F.struct(
+            F.lit(label).alias("column_name"),
+            F.count(F.lit(1)).alias("row_count"),
+            rows_where(is_null).alias("null_count"),
+            rows_where(X.padded(label) if label in spec.padded else None).alias("padded_count"),
+            rows_where(X.not_lower(label) if label in spec.lower else None).alias("not_lower_count"),
+            rows_where(spec.bad[label]() if label in spec.bad else None).alias("bad_count"),
+            value(F.min).alias("min_value"),
+            value(F.max).alias("max_value"),
         )
-    totals = df.agg(*[value.alias(name) for name, value in aggregates.items()])
-    return totals.select(F.inline(F.array(*entries)))
+
+    entries = [entry(name, X.named(name).isNull()) for name in df.columns]
+    if len(spec.key) > 1:
+        entries.append(entry(_label(spec.key), ~X.has_key(spec.key)))
+    return df.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
 
 
 def _label(key: tuple[str, ...]) -> str:
@@ -107,7 +101,8 @@ def _group_measures(df: DataFrame, spec: ProfileSpec) -> DataFrame:
     # A set's id has one bit per grouping column, leftmost highest, set where the column is not in it.
     ids = [int("".join("0" if c in group else "1" for c in columns), 2) for group in sets]
     labels = [part for i, group in zip(ids, sets) for part in (F.lit(i).cast("long"), F.lit(_label(group)))]
-    label = F.create_map(*labels)[F.col("set_id")]
+    # Every id has a label; saying so keeps the join from testing it for NULL on each expanded row.
+    label = F.coalesce(F.create_map(*labels)[F.col("set_id")], F.lit(""))
     return grouped.groupBy("set_id").agg(
         F.count(F.lit(1)).alias("distinct_count"), F.count_if(F.col("copies") > 1).alias("duplicated_values")
     ).select(label.alias("column_name"), "distinct_count", "duplicated_values")
