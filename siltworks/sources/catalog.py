@@ -56,7 +56,7 @@ def publish_table(df: DataFrame, table: str, *, path: str | None = None, provide
 def register_table(spark: SparkSession, table: str, path: str, *, provider: str = "parquet") -> None:
     """Make a directory that is already written a catalog table, without copying it.
 
-    An earlier entry of that name is replaced; its files, being outside the warehouse, stay.
+    An earlier entry of that name is dropped first; its files go only if the catalog owned them.
     """
     drop_table(spark, table)
     spark.catalog.createTable(table, path=path, source=provider)

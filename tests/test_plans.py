@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import Observation
 
 import __spark_entry__ as registry
+from siltworks import functions as X
+from siltworks import operators as O
 from siltworks.contracts import TableContract
 from siltworks.plans import RULES, conform, conform_counted, validate_table
 from siltworks.sources import scan_contract, write_strings
@@ -58,6 +60,19 @@ def test_csv_scan_prunes_columns(spark, tmp_path):
     assert "ReadSchema: struct<name:string>" in _plan(scan.select("name"))
 
 
+def test_filters_and_projections_reach_the_parquet_scan(spark):
+    orders = table(spark, SF, "orders")
+    plan = _plan(O.select_cols(O.equals_literal(orders, "o_orderstatus", "F"), "o_custkey"))
+    assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)]" in plan
+    assert "ReadSchema: struct<o_custkey:bigint,o_orderstatus:string>" in plan
+    assert "PushedFilters: [IsNull(o_custkey)]" in _plan(O.null_rows(orders, "o_custkey"))
+    prices = _plan(O.bad_cost_rows(orders, "o_totalprice"))
+    assert "PushedFilters: [Or(LessThanOrEqual(o_totalprice,0.0),IsNull(o_totalprice))]" in prices
+    places = spark.read.schema("id long, latitude double, longitude double").parquet(f"{SF}/orders.parquet")
+    north = _plan(places.filter(X.within("latitude", -90, 90)))  # one range, so the plan text is not cut short
+    assert "GreaterThanOrEqual(latitude,-90.0), LessThanOrEqual(latitude,90.0)]" in north
+
+
 def test_limit_is_a_top_n(spark):
     plan = _plan(registry.q_limit(spark, SF))
     assert "TakeOrderedAndProject" in plan and "Exchange" not in plan
