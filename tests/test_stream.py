@@ -80,6 +80,21 @@ def test_new_events_after_a_restart(spark, tmp_path):
     assert sorted(r["event_id"] for r in spark.read.parquet(f"{tmp_path}/sink").collect()) == [1, 2]
 
 
+def test_a_crash_in_a_batch_loses_and_repeats_nothing(spark, tmp_path):
+    schema = "event_id long, ts timestamp, v string"
+    stamp = datetime.datetime(2024, 1, 5)
+    for rows in ([(1, stamp, "a"), (2, stamp, "b")], [(2, stamp, "b"), (3, stamp, "c")], [(3, stamp, "c"), (4, stamp, "d")]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/feed")
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/feed")
+    silver = events_silver_stream(source, ["event_id"], "ts", "1 day", run_date=DAY)
+    breaking = silver.withColumn("v", F.when(F.col("event_id") == 3, F.raise_error(F.lit("lost"))).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="lost"):
+        start_events_sink(breaking, f"{tmp_path}/sink", f"{tmp_path}/checkpoint").awaitTermination()
+    start_events_sink(silver, f"{tmp_path}/sink", f"{tmp_path}/checkpoint").awaitTermination()
+    rows = spark.read.parquet(f"{tmp_path}/sink").collect()
+    assert sorted((r["event_id"], r["v"]) for r in rows) == [(1, "a"), (2, "b"), (3, "c"), (4, "d")]
+
+
 def test_a_key_redelivered_very_often(spark, tmp_path):
     stamp = F.lit(datetime.datetime(2024, 1, 5))
     hot = spark.range(0, 30_000, numPartitions=6).select(
