@@ -343,7 +343,9 @@ def _profile_sql(name: str) -> str:
         values = f"(select {c}, count(*) as n from dirty group by {c}) as g_{c}"
         distinct = f"(select count(*) from {values})" if grouped else "cast(null as bigint)"
         repeated = f"(select count(*) from {values} where n > 1)" if grouped else "cast(null as bigint)"
-        low, high = (f"cast({f}({c}) as varchar)" if c in spec.extremes else "cast(null as varchar)" for f in ("min", "max"))
+        low, high = (f"cast({f}({c}) as varchar)" for f in ("min", "max"))
+        if c not in spec.extremes:
+            low = high = "cast(null as varchar)"
         return (
             f"select '{c}' as column_name, count(*) as row_count, {count(c + ' is null', True)} as null_count,"
             f" {count(f'''{c} <> trim({c}, ' ')''', c in spec.padded)} as padded_count,"
@@ -396,7 +398,8 @@ def q_drop_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(
     _with_dirty(
-        "distribution_centers", "select * from dirty where latitude between -90 and 90 and longitude between -180 and 180"
+        "distribution_centers",
+        "select * from dirty where latitude between -90 and 90 and longitude between -180 and 180",
     )
 )
 def q_geo_range(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -457,7 +460,12 @@ def q_with_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- counts and groups -----------------------------------------------------------------------------
 
 
-@_query(_with_dirty("products", f"select * exclude (rn) from {_one_per_key(STANDIN_CONTRACTS['products'].columns, ('id',))} as kept"))
+@_query(
+    _with_dirty(
+        "products",
+        f"select * exclude (rn) from {_one_per_key(STANDIN_CONTRACTS['products'].columns, ('id',))} as kept",
+    )
+)
 def q_dedup_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per key, the rows without a key being one group."""
     return O.dedup_by_key(dirty(spark, sf_dir, "products"), ["id"])

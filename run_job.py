@@ -1,4 +1,4 @@
-"""Entry point for ``spark-submit``; see ``siltworks.jobs``. Executors need no extra files: nothing runs in Python there."""
+"""Entry point for ``spark-submit``; see ``siltworks.jobs``. Executors need no files: no Python runs there."""
 
 from siltworks.jobs import main
 

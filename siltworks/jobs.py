@@ -25,7 +25,7 @@ from siltworks.streaming import events_silver_stream, late_rows, scan_stream, st
 
 
 def _parser() -> argparse.ArgumentParser:
-    parser = argparse.ArgumentParser(prog="siltworks", description=__doc__, formatter_class=argparse.RawTextHelpFormatter)
+    parser = argparse.ArgumentParser("siltworks", description=__doc__, formatter_class=argparse.RawTextHelpFormatter)
     jobs = parser.add_subparsers(dest="job", required=True)
 
     def job(name: str, *required: str, tables: bool = True) -> argparse.ArgumentParser:

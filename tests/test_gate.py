@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import gzip
+
 import pytest
 
 from siltworks.contracts import CONTRACTS, GATE_TABLES, TableContract
@@ -83,6 +85,18 @@ def test_gate_tries_all_tables_in_order_then_raises(spark, tmp_path):
     assert [r["passed"] for r in report] == [t not in ("orders", "users") for t in GATE_TABLES]
 
 
+def test_a_table_that_breaks_in_the_middle(spark, tmp_path):
+    bronze = _bronze(tmp_path, {t: _row(t, "1") for t in GATE_TABLES if t != "orders"})
+    parts = tmp_path / "orders" / "orders.csv"
+    parts.mkdir(parents=True)
+    (parts / "part-0.csv").write_text(_row("orders", "1"))
+    (parts / "part-1.csv.gz").write_bytes(gzip.compress(_row("orders", "2").encode() * 10_000)[:-200])
+    with pytest.raises(GateFailure) as failure:
+        run_gate(spark, bronze)
+    assert failure.value.tables == ["orders"]
+    assert [r["row_count"] for r in failure.value.report.collect()] == [int(t != "orders") for t in GATE_TABLES]
+
+
 def test_gate_passes(spark, tmp_path):
     bronze = _bronze(tmp_path, {t: _row(t, "1") for t in GATE_TABLES})
     report = run_gate(spark, bronze)

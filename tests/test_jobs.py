@@ -67,7 +67,8 @@ def test_jobs_chain(spark, lake):
     try:
         jobs.run(spark, ["publish", "--silver", silver, "--database", database])
         sql = "select u.email, o.status from users u join orders o on o.user_id = u.id"
-        assert _rows(jobs.run(spark, ["query", "--sql", sql, "--database", database]), "*") == [("ann@x.com", "Shipped")]
+        found = jobs.run(spark, ["query", "--sql", sql, "--database", database])
+        assert _rows(found, "*") == [("ann@x.com", "Shipped")]
     finally:
         drop_database(spark, database, cascade=True)
 
@@ -76,9 +77,7 @@ def test_events_job(spark, lake):
     feed = lake / "feed"
     feed.mkdir()
     (feed / "events.csv").write_text((lake / "raw" / "events.csv").read_text())
-    report = jobs.run(
-        spark,
-        ["events", "--source", str(feed), "--silver", f"{lake}/silver", "--checkpoint", f"{lake}/cp", "--watermark", "1 day"],
-    )
+    paths = ["--source", str(feed), "--silver", f"{lake}/silver", "--checkpoint", f"{lake}/cp"]
+    report = jobs.run(spark, ["events", *paths, "--watermark", "1 day"])
     assert _rows(report, "*") == [("events", 0)]
     assert spark.read.parquet(f"{lake}/silver/events").count() == 1

@@ -83,11 +83,13 @@ def test_new_events_after_a_restart(spark, tmp_path):
 def test_a_crash_in_a_batch_loses_and_repeats_nothing(spark, tmp_path):
     schema = "event_id long, ts timestamp, v string"
     stamp = datetime.datetime(2024, 1, 5)
-    for rows in ([(1, stamp, "a"), (2, stamp, "b")], [(2, stamp, "b"), (3, stamp, "c")], [(3, stamp, "c"), (4, stamp, "d")]):
+    a, b, c, d = ((n, stamp, v) for n, v in enumerate("abcd", 1))
+    for rows in ([a, b], [b, c], [c, d]):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/feed")
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/feed")
     silver = events_silver_stream(source, ["event_id"], "ts", "1 day", run_date=DAY)
-    breaking = silver.withColumn("v", F.when(F.col("event_id") == 3, F.raise_error(F.lit("lost"))).otherwise(F.col("v")))
+    break_at_3 = F.when(F.col("event_id") == 3, F.raise_error(F.lit("lost"))).otherwise(F.col("v"))
+    breaking = silver.withColumn("v", break_at_3)
     with pytest.raises(Exception, match="lost"):
         start_events_sink(breaking, f"{tmp_path}/sink", f"{tmp_path}/checkpoint").awaitTermination()
     start_events_sink(silver, f"{tmp_path}/sink", f"{tmp_path}/checkpoint").awaitTermination()
@@ -131,7 +133,8 @@ def test_a_time_without_zone_is_cast(spark, tmp_path):
     _run(spark, events.schema, tmp_path, "31 days")
     sink = spark.read.parquet(f"{tmp_path}/sink")
     assert dict(sink.dtypes)["ts"] == "timestamp"
-    assert sink.select("event_id", F.col("ts").cast("timestamp_ntz")).exceptAll(events.select("event_id", "ts")).count() == 0
+    back = sink.select("event_id", F.col("ts").cast("timestamp_ntz"))
+    assert back.exceptAll(events.select("event_id", "ts")).isEmpty()
 
 
 def test_csv_stream_by_contract(spark, tmp_path):
