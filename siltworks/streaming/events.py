@@ -44,7 +44,7 @@ def events_silver_stream(
     The first arrival of a key survives (the batch job keeps the smallest row), so stream and batch agree
     where duplicates are exact redeliveries. ``watermark`` must cover the real disorder of the stream:
     rows behind it are dropped, see ``late_rows``. A key is remembered until the watermark passes its
-    event time, at least; rows without an event time are never late and are remembered for one batch.
+    event time plus that delay; rows without an event time are never late and are remembered for one batch.
 
     De-duplication has no per-task combine, so a key that is redelivered very often would send all its
     rows to one task. It therefore runs twice: first by key and task group, which spreads such a key over
