@@ -327,9 +327,7 @@ def _present(spec: ProfileSpec, columns: list[str]) -> ProfileSpec:
     )
 
 
-def _profile_sql(name: str) -> str:
-    columns = STANDIN_CONTRACTS[name].columns
-    spec = _present(PROFILES[name], columns)
+def _profile_sql(columns: list[str], spec: ProfileSpec, source: str = "dirty") -> str:
     bad = {
         "cost": "cost <= 0 or cost is null",
         "retail_price": "retail_price < cost or retail_price is null or retail_price < 0",
@@ -339,23 +337,30 @@ def _profile_sql(name: str) -> str:
         def count(condition: str, wanted: bool) -> str:
             return f"count(*) filter (where {condition})" if wanted else "cast(null as bigint)"
 
-        grouped = c in spec.groups or (c,) == spec.key
-        values = f"(select {c}, count(*) as n from dirty group by {c}) as g_{c}"
+        grouped = c in spec.groups or c == ",".join(spec.key)
+        is_null = " or ".join(f"{part} is null" for part in c.split(","))
+        values = f"(select {c}, count(*) as n from {source} group by {c}) as grouped"
         distinct = f"(select count(*) from {values})" if grouped else "cast(null as bigint)"
         repeated = f"(select count(*) from {values} where n > 1)" if grouped else "cast(null as bigint)"
         low, high = (f"cast({f}({c}) as varchar)" for f in ("min", "max"))
         if c not in spec.extremes:
             low = high = "cast(null as varchar)"
         return (
-            f"select '{c}' as column_name, count(*) as row_count, {count(c + ' is null', True)} as null_count,"
+            f"select '{c}' as column_name, count(*) as row_count, {count(is_null, True)} as null_count,"
             f" {count(f'''{c} <> trim({c}, ' ')''', c in spec.padded)} as padded_count,"
             f" {count(f'{c} <> lower({c})', c in spec.lower)} as not_lower_count,"
             f" {count(bad.get(c, 'true'), c in spec.bad)} as bad_count,"
             f" {distinct} as distinct_count, {repeated} as duplicated_values,"
-            f" {low} as min_value, {high} as max_value from dirty"
+            f" {low} as min_value, {high} as max_value from {source}"
         )
 
-    return _with_dirty(name, "\nunion all ".join(row(c) for c in columns))
+    composite = [",".join(spec.key)] if len(spec.key) > 1 else []
+    return "\nunion all ".join(row(c) for c in [*columns, *composite])
+
+
+def _dirty_profile_sql(name: str) -> str:
+    columns = STANDIN_CONTRACTS[name].columns
+    return _with_dirty(name, _profile_sql(columns, _present(PROFILES[name], columns)))
 
 
 def _profile(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -363,26 +368,41 @@ def _profile(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return profile_table(df, _present(PROFILES[name], df.columns))
 
 
-@_query(_profile_sql("products"))
+@_query(_dirty_profile_sql("products"))
 def q_profile_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _profile(spark, sf_dir, "products")
 
 
-@_query(_profile_sql("users"))
+@_query(_dirty_profile_sql("users"))
 def q_profile_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _profile(spark, sf_dir, "users")
 
 
-@_query(_profile_sql("orders"))
+@_query(_dirty_profile_sql("orders"))
 def q_profile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _profile(spark, sf_dir, "orders")
 
 
-@_query(_profile_sql("distribution_centers"))
+@_query(_dirty_profile_sql("distribution_centers"))
 def q_profile_dcs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _profile(spark, sf_dir, "distribution_centers")
 
 
+_LINE_PROFILE = ProfileSpec(
+    key=("l_orderkey", "l_linenumber"),
+    padded=("l_returnflag", "l_linestatus"),
+    lower=("l_returnflag",),
+    groups=("l_orderkey", "l_partkey", "l_returnflag", "l_linestatus"),
+    extremes=("l_linenumber",),
+)
+
+
+@_query(_profile_sql(STANDIN_CONTRACTS["order_items"].columns, _LINE_PROFILE, "lineitem"))
+def q_profile_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key of two columns has a row of its own."""
+    return profile_table(table(spark, sf_dir, "lineitem"), _LINE_PROFILE)
+
+
 # ---- row filters and projections -------------------------------------------------------------------
 
 
