@@ -591,9 +591,30 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_silver_products(spark, "/root/testdata/sf0.001")
 
 
+def _text_queries() -> tuple[dict[str, Query], dict[str, str]]:
+    """The queries of the text subpackage and of its pipeline, where they are installed."""
+    try:
+        from siltworks.llm.queries import ORACLES, QUERIES
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("siltworks.llm", "siltworks.llm.queries"):
+            raise
+        return {}, {}
+    queries, oracles = dict(QUERIES), dict(ORACLES)
+    try:
+        import corpus_pipeline
+    except ModuleNotFoundError as missing:
+        if missing.name != "corpus_pipeline":
+            raise
+        return queries, oracles
+    queries["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return queries, oracles
+
+
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return _QUERIES | _text_queries()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return _ORACLES | _text_queries()[1]
