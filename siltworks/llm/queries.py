@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import fingerprints, lines, mixing, sharding, urls
+from siltworks.llm import fingerprints, lines, mixing, ngram_join, sharding, urls
 from siltworks.llm.tables import text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(_table(spark, sf_dir, "documents"))
+
+
 def op3_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sources(_table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
@@ -54,7 +58,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op3_pareto_mix, op4_line_dedup, op6_url_filter, op9_fingerprints, op10_sharding)
+    f.__name__: f for f in (op1_ngram_join, op3_pareto_mix, op4_line_dedup, op6_url_filter, op9_fingerprints, op10_sharding)
 }
 
 
