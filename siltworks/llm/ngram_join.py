@@ -20,11 +20,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from siltworks.llm.components import components
 from siltworks.llm.shared_keys import Entries, shared_keys
-from siltworks.llm.tables import shuffle_width, written
+from siltworks.llm.tables import arrow_type, shuffle_width, written
 from siltworks.llm.words import Words, chunks, windows, words_of
 
 SHINGLE = 5
@@ -75,16 +74,10 @@ def _sets_and_counts(texts: DataFrame, kind: str, k: int) -> DataFrame:
         columns = [*empty, pa.array(range(_PIECES), kinds[2]), pa.array(packed, kinds[3])]
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "cls", "piece", "counts"])
 
-    id_type = _arrow_type(texts.schema["doc_id"].dataType)
+    id_type = arrow_type(texts, "doc_id")
     return texts.mapInArrow(scan, schema)
 
 
-def _arrow_type(kind: T.DataType) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(kind)
-
-
 def _total_counts(pieces: DataFrame) -> np.ndarray:
     """All tasks' counters added up: a fixed number of cells, of which 64 rows come to the driver."""
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import fingerprints, lines, mixing, ngram_join, sharding, urls
+from siltworks.llm import decontaminate, fingerprints, lines, mixing, ngram_join, sharding, urls
 from siltworks.llm.tables import text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(_table(spark, sf_dir, "documents"))
 
@@ -58,7 +62,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_ngram_join, op3_pareto_mix, op4_line_dedup, op6_url_filter, op9_fingerprints, op10_sharding)
+    f.__name__: f for f in (op1_ngram_join, op3_pareto_mix, op4_line_dedup, op6_url_filter, op7_decontamination, op9_fingerprints, op10_sharding)
 }
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from siltworks.workspace import scratch_dir
 
@@ -33,3 +35,7 @@ def lower_ascii(text: Column) -> Column:
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     ascii_only = F.octet_length(text) == F.char_length(text)
     return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, upper, upper.lower()))
+
+
+def arrow_type(df: DataFrame, column: str) -> pa.DataType:
+    return to_arrow_type(df.schema[column].dataType)
