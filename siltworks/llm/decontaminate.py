@@ -16,7 +16,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.tables import arrow_type
+from siltworks.llm.tables import arrow_map, arrow_type
 from siltworks.llm.words import chunks
 
 ERROR_RATE = 0.05  # of an item's characters
@@ -162,7 +162,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE,
                     if rows:
                         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "errors"])
 
-        hits = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(search, schema)
+        hits = arrow_map(docs.select("doc_id", F.col("text").cast("string").alias("text")), search, schema)
         found = hits if found is None else found.unionAll(hits)
     return spark.createDataFrame([], schema) if found is None else found
 
@@ -179,5 +179,5 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE,
             for batch in batches:
                 yield batch.filter(pa.array([not items.find(text) for text in batch.column(place).to_pylist()], pa.bool_()))
 
-        docs = docs.mapInArrow(keep, docs.schema)
+        docs = arrow_map(docs, keep, docs.schema)
     return docs

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from siltworks.llm.components import components
 from siltworks.llm.shared_keys import Entries, shared_keys
-from siltworks.llm.tables import arrow_type, shuffle_width, written
+from siltworks.llm.tables import arrow_map, arrow_type, shuffle_width, written
 from siltworks.llm.words import Words, chunks, windows, words_of
 
 SHINGLE = 5
@@ -75,7 +75,7 @@ def _sets_and_counts(texts: DataFrame, kind: str, k: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "cls", "piece", "counts"])
 
     id_type = arrow_type(texts, "doc_id")
-    return texts.mapInArrow(scan, schema)
+    return arrow_map(texts, scan, schema)
 
 
 def _total_counts(pieces: DataFrame) -> np.ndarray:
@@ -92,7 +92,8 @@ def _total_counts(pieces: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays(columns, ["piece", "counts"])
 
     width = min(_PIECES, shuffle_width(pieces.sparkSession))
-    rows = pieces.select("piece", "counts").repartition(width, "piece").mapInArrow(add, "piece int, counts binary").collect()
+    dealt = pieces.select("piece", "counts").repartition(width, "piece")
+    rows = arrow_map(dealt, add, "piece int, counts binary").collect()
     total = np.zeros((_PIECES, CELLS // _PIECES), dtype=np.uint32)
     for row in rows:
         total[row["piece"]] = np.frombuffer(row["counts"], dtype=np.uint32)
@@ -170,7 +171,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
 
     with_b = pairs.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
     both = with_b.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "u long, v long")
+    return arrow_map(both.select("a", "b", "text_a", "text_b"), check, "u long, v long")
 
 
 def _fitting(a: str, b: str, percent: int):
@@ -246,7 +247,7 @@ def _with_class(texts: DataFrame, k: int) -> DataFrame:
                 classes = [set_class(t) for t in shingle_sets(words_of(part.column(0), lower=True), k)]
                 yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), part.column(0)], ["cls", "text"])
 
-    return texts.select("text").mapInArrow(scan, "cls long, text string").filter("cls <> 0")
+    return arrow_map(texts.select("text"), scan, "cls long, text string").filter("cls <> 0")
 
 
 def _unconnected(tokens: DataFrame, stars: DataFrame, percent: int) -> DataFrame:

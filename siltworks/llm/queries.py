@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import decontaminate, fingerprints, lines, mixing, ngram_join, sharding, urls
+from siltworks.llm import decontaminate, fingerprints, lines, mixing, ngram_join, sharding, substrings, urls
 from siltworks.llm.tables import text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substrings.dedup_substrings(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -62,7 +67,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_ngram_join, op3_pareto_mix, op4_line_dedup, op6_url_filter, op7_decontamination, op9_fingerprints, op10_sharding)
+    f.__name__: f for f in (op1_ngram_join, op3_pareto_mix, op4_line_dedup, op5_substring_dedup, op6_url_filter, op7_decontamination, op9_fingerprints, op10_sharding)
 }
 
 

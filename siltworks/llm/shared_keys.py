@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from siltworks.llm.tables import shuffle_width
+from siltworks.llm.tables import arrow_map, shuffle_width
 from siltworks.llm.words import mix64
 
 PACKED = "bucket int, k binary, owner binary, extra binary, known boolean"
@@ -71,8 +71,9 @@ def _rows(keys: np.ndarray, owners: np.ndarray, extras: np.ndarray) -> Iterator[
         yield pa.RecordBatch.from_arrays(arrays, schema=_SHARED)
 
 
-def _unpack(column: list[bytes], kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(column), dtype=kind)
+def unpack(column: pa.Array, kind: type) -> np.ndarray:
+    """The numbers of a column of packed arrays, one after the other."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind)
 
 
 def _reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,7 +84,7 @@ def _reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.filter(pa.array(known == passing))
             if not part.num_rows:
                 continue
-            entries = tuple(_unpack(part.column(i).to_pylist(), t) for i, t in ((1, np.uint64), (2, np.int64), (3, np.int32)))
+            entries = tuple(unpack(part.column(i), t) for i, t in ((1, np.uint64), (2, np.int64), (3, np.int32)))
             if passing:
                 yield from _rows(*entries)
             else:
@@ -117,4 +118,4 @@ def shared_keys(df: DataFrame, entries: Callable[[Iterator[pa.RecordBatch]], Ite
                 yield pack(found, buckets)
 
     width = shuffle_width(df.sparkSession)
-    return df.mapInArrow(packed, PACKED).repartition(width, "bucket").mapInArrow(_reduce, SHARED)
+    return arrow_map(arrow_map(df, packed, PACKED).repartition(width, "bucket"), _reduce, SHARED)

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,3 +44,20 @@ def lower_ascii(text: Column) -> Column:
 
 def arrow_type(df: DataFrame, column: str) -> pa.DataType:
     return to_arrow_type(df.schema[column].dataType)
+
+
+_SHIPPED: set[str] = set()
+
+
+def arrow_map(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` on executors that need not have this package: its modules go to them once per session."""
+    context = df.sparkSession.sparkContext
+    package = Path(__file__).resolve().parents[1]
+    if context.applicationId not in _SHIPPED and package.is_dir():
+        home = tempfile.mkdtemp(prefix="siltworks-")  # of the driver alone: Spark serves the file from here
+        with zipfile.ZipFile(f"{home}/siltworks_modules.zip", "w") as modules:
+            for file in sorted(package.rglob("*.py")):
+                modules.write(file, file.relative_to(package.parent))
+        context.addPyFile(f"{home}/siltworks_modules.zip")
+        _SHIPPED.add(context.applicationId)
+    return df.mapInArrow(function, schema)

@@ -20,6 +20,8 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltworks.llm.tables import arrow_map
+
 ALLOW, BLOCK = "allow", "block"
 _SEPARATOR = "\n"  # between host and path in a digest: no host or rule has one
 
@@ -137,6 +139,5 @@ def judge_urls(pages: DataFrame, rules: Iterable[tuple[str, str]], default: str
             yield pa.RecordBatch.from_arrays(columns, ["page_id", "host", "path", "rule", "verdict"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return pages.select("page_id", F.col("url").cast("string")).mapInArrow(
-        judge, f"page_id {kind}, host string, path string, rule string, verdict string"
-    )
+    schema = f"page_id {kind}, host string, path string, rule string, verdict string"
+    return arrow_map(pages.select("page_id", F.col("url").cast("string")), judge, schema)
