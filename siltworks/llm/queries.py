@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import decontaminate, fingerprints, lines, mixing, ngram_join, sharding, substrings, urls
+from siltworks.llm import decontaminate, fingerprints, lines, mixing, ngram_join, quality, sharding, substrings, urls
 from siltworks.llm.tables import text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,11 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(_table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.grade_documents(docs, quality.train(docs, quality.rated(_table(spark, sf_dir, "labels"))))
+
+
 def op3_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sources(_table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
@@ -67,7 +72,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_ngram_join, op3_pareto_mix, op4_line_dedup, op5_substring_dedup, op6_url_filter, op7_decontamination, op9_fingerprints, op10_sharding)
+    f.__name__: f for f in (op1_ngram_join, op2_quality, op3_pareto_mix, op4_line_dedup, op5_substring_dedup, op6_url_filter, op7_decontamination, op9_fingerprints, op10_sharding)
 }
 
 
