@@ -119,3 +119,21 @@ def mix_sources(
     return plain.unionByName(edge).select(
         "doc_id", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), "source"
     )
+
+
+def mix_documents(
+    docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_copies: int = MAX_COPIES, seed: int = 17
+) -> DataFrame:
+    """The rows of ``docs``, all columns, each as often as ``mix_sources`` takes it.
+
+    Rows that agree in id, source and size are taken equally often. One exchange of the texts.
+    """
+    mix = mix_sources(docs, weights, max_copies, seed).filter("copies > 0")
+    taken = mix.groupBy("doc_id", "source", "size").agg(F.max("copies").alias("__copies"))
+    taken = taken.toDF("__id", "__source", "__size", "__copies")
+    sized = docs.withColumn("__words", word_count())
+    same = (
+        sized["doc_id"].eqNullSafe(taken["__id"]) & sized["source"].eqNullSafe(taken["__source"]) & (F.col("__words") == F.col("__size"))
+    )
+    repeated = sized.join(taken, same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
+    return repeated.select(*[sized[f"`{c}`"] for c in docs.columns])

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from siltworks.llm.components import components
 from siltworks.llm.shared_keys import Entries, shared_keys
@@ -265,3 +266,17 @@ def _unconnected(tokens: DataFrame, stars: DataFrame, percent: int) -> DataFrame
     minor = mixed.filter("comp <> major").select("token", F.col("cls").alias("c1"), F.col("n").alias("n1"), F.col("comp").alias("comp1"))
     pairs = mixed.join(minor.hint("merge"), "token").filter((F.col("comp") != F.col("comp1")) & _fitting("n", "n1", percent))
     return pairs.select(F.least("cls", "c1").alias("a"), F.greatest("cls", "c1").alias("b")).distinct()
+
+
+def drop_near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, all columns, that are the smallest id of their component; see ``ngram_join``.
+
+    Rows that repeat an id are one document: the one with the smallest text stays. Rows without an id stay. One
+    exchange of the texts, by id.
+    """
+    groups = ngram_join(docs, k, percent)
+    kept = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
+    rows = docs.filter("doc_id is not null").join(kept.hint("merge"), F.col("doc_id") == F.col("__kept"), "left_semi")
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+    rows = rows.withColumn("__place", F.row_number().over(first)).filter("__place = 1").drop("__place")
+    return rows.unionByName(docs.filter("doc_id is null"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import decontaminate, fingerprints, lines, mixing, ngram_join, quality, sharding, substrings, urls
+from siltworks.llm import decontaminate, fingerprints, lines, mixing, ngram_join, personal, quality, sharding, substrings, urls
 from siltworks.llm.tables import text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,13 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = personal.find_personal(docs, personal.train(personal.labelled_table(docs)))
+    counts = [f"n_{kind}" for kind in personal.KINDS]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(_table(spark, sf_dir, "documents"))
 
@@ -72,7 +79,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_ngram_join, op2_quality, op3_pareto_mix, op4_line_dedup, op5_substring_dedup, op6_url_filter, op7_decontamination, op9_fingerprints, op10_sharding)
+    f.__name__: f
+    for f in (
+        op1_ngram_join, op2_quality, op3_pareto_mix, op4_line_dedup, op5_substring_dedup, op6_url_filter,
+        op7_decontamination, op8_personal_data, op9_fingerprints, op10_sharding,
+    )
 }
 
 
