@@ -118,5 +118,6 @@ def shard_documents(docs: DataFrame, shards: int, slots: int = SLOTS, map_path:
     rows = docs.select(*[F.col(f"`{c}`") for c in kept], virtual_slot(slots=slots).alias("vslot"))
     order = Window.partitionBy("vslot").orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64(text_or_empty()))
     numbered = rows.withColumn("__number", F.row_number().over(order).cast("long") - 1)
-    mapped = numbered.join(F.broadcast(read_map(spark, path, 0)), "vslot")
-    return mapped.select(*[F.col(f"`{c}`") for c in kept], "shard", (F.col("first") + F.col("__number")).alias("slot"), "vslot")
+    places = read_map(spark, path, 0).select("vslot", "shard", F.col("first").alias("__first"))
+    mapped = numbered.join(F.broadcast(places), "vslot")
+    return mapped.select(*[F.col(f"`{c}`") for c in kept], "shard", (F.col("__first") + F.col("__number")).alias("slot"), "vslot")
