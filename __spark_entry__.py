@@ -24,16 +24,26 @@ from siltworks.contracts import GATE_TABLES, TableContract  # noqa: E402
 from siltworks.plans import (  # noqa: E402
     PROFILES,
     RULES,
+    GateFailure,
     ProfileSpec,
+    RefineFailure,
     conform,
     profile_table,
     refine_all,
+    run_gate,
     silver_table,
     validate_all,
     validate_table,
 )
 from siltworks.sources.landing import bronze_path  # noqa: E402
-from siltworks.streaming import events_silver_stream, start_events_sink  # noqa: E402
+from siltworks.streaming import (  # noqa: E402
+    await_sink,
+    events_silver_stream,
+    scan_stream,
+    start_events_sink,
+    stream_session,
+    untimed_events,
+)
 from siltworks.workspace import scratch_dir  # noqa: E402
 from standins import DIRTY_SQL, STANDIN_CONTRACTS, dirty, table  # noqa: E402
 
@@ -144,7 +154,8 @@ def _refine_counts_sql(name: str) -> str:
     inside = " and ".join(f"{c} between {low} and {high}" for c, low, high in rules.ranges) or "true"
     one = _one_per_key(contract.columns, contract.key)
     return f"""select '{name}' as "table", rows_read, null_key_rows, rows_read - null_key_rows - keys as duplicate_rows,
-       keys - rows_written as out_of_range_rows, rows_written
+       keys - rows_written as out_of_range_rows, rows_written, 0 as malformed_rows, true as refined,
+       cast(null as varchar) as error
 from (select (select count(*) from dirty) as rows_read,
              (select count(*) from dirty where not ({keyed})) as null_key_rows,
              (select count(*) from {one} as kept where {keyed}) as keys,
@@ -165,6 +176,57 @@ def q_refine_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refine_all(spark, bronze, scratch_dir(spark, "silver"), names, STANDIN_CONTRACTS, run_date=RUN_DATE)
 
 
+@_query(_silver_sql("products"))
+def q_write_silver_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second write that fails in a task leaves the first one readable."""
+    path = scratch_dir(spark, "silver")
+    silver = silver_table(dirty(spark, sf_dir, "products"), "products", RUN_DATE)
+    S.write_silver(silver, path)
+    try:
+        S.write_silver(silver.withColumns({"name": F.raise_error(F.lit("lost on purpose"))}), path)
+    except Exception as error:
+        if "lost on purpose" not in str(error):
+            raise
+        return _as_text(spark.read.parquet(path))
+    raise AssertionError("the second write should have failed")
+
+
+@_query(
+    f"select * from ({_with_dirty('products', _refine_counts_sql('products'))}) as r_products"
+    " union all select 'users', null, null, null, null, null, null, false, 'PATH_NOT_FOUND'"
+)
+def q_refine_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table is refined, one is missing; the exception has a row for each."""
+    bronze = scratch_dir(spark, "bronze")
+    S.write_strings(dirty(spark, sf_dir, "products"), bronze_path(bronze, "products"))
+    try:
+        refine_all(
+            spark, bronze, scratch_dir(spark, "silver"), ("products", "users"), STANDIN_CONTRACTS, run_date=RUN_DATE
+        )
+    except RefineFailure as failure:
+        return failure.report
+    raise AssertionError("users should have been missing")
+
+
+@_query(
+    f"select p_partkey as id, 1.5 as cost, trim(p_type, ' ') as category, trim(p_name, ' ') as name,"
+    f" trim(p_brand, ' ') as brand, 2.5 as retail_price, 'Men' as department, 'S' as sku, 1 as distribution_center_id,"
+    f" '{RUN_DATE}' as ingestion_date from part"
+)
+def q_refine_bundled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products by the bundled contract and rules, each row delivered twice."""
+    part = table(spark, sf_dir, "part")
+    rows = part.select(
+        F.col("p_partkey").alias("id"), F.lit(1.5).alias("cost"), F.concat("p_type", F.lit(" ")).alias("category"),
+        F.concat(F.lit(" "), "p_name").alias("name"), F.col("p_brand").alias("brand"), F.lit(2.5).alias("retail_price"),
+        F.lit(" Men").alias("department"), F.lit("S").alias("sku"), F.lit(1).alias("distribution_center_id"),
+    )
+    bronze, silver = scratch_dir(spark, "bronze"), scratch_dir(spark, "silver")
+    S.write_strings(rows.unionAll(rows), bronze_path(bronze, "products"))
+    refine_all(spark, bronze, silver, ("products",), run_date=RUN_DATE)
+    return _as_text(S.read_silver(spark, silver, "products"))
+
+
 # ---- scans, landing, publishing --------------------------------------------------------------------
 
 
@@ -215,8 +277,9 @@ def q_land_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     _with_dirty(
         "users",
         "select 'users' as \"table\", true as source_exists, true as contract_exists, true as landed,"
-        " count(*) as row_count from dirty"
-        " union all select 'orders', false, true, false, 0 union all select 'stores', true, false, false, 0",
+        " count(*) as row_count, 0 as malformed_rows, cast(null as varchar) as error from dirty"
+        " union all select 'orders', false, true, false, 0, 0, 'PATH_NOT_FOUND'"
+        " union all select 'stores', true, false, false, 0, 0, null",
     )
 )
 def q_land_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,6 +294,59 @@ def q_land_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     raise AssertionError("landing should have failed")
 
 
+def _raw_lines(rows: DataFrame, line: str, header: str, path: str) -> None:
+    """Files of text lines, each with the header, as a CSV from elsewhere would be."""
+    writer = rows.select(F.expr(line).alias(header)).write.option("header", True)
+    writer.option("quote", "").option("sep", "\x01").option("ignoreLeadingWhiteSpace", False).csv(path)
+
+
+@_query(
+    "select 'products' as \"table\", true as source_exists, true as contract_exists, false as landed, 0 as row_count,"
+    " count(*) filter (where p_partkey % 10 in (0, 1)) as malformed_rows, cast(null as varchar) as error from part"
+)
+def q_land_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with a field too many or too few: the table does not land."""
+    raw = scratch_dir(spark, "raw")
+    line = """case when p_partkey % 10 = 0 then p_partkey || ',1,EXTRA' when p_partkey % 10 = 1 then '' || p_partkey
+              else p_partkey || ',' || p_size end"""
+    _raw_lines(table(spark, sf_dir, "part"), line, "id,note", f"{raw}/products.csv")
+    contracts = {"products": TableContract.of("products", "id", "id long; note string")}
+    try:
+        S.land_bronze(spark, raw, scratch_dir(spark, "bronze"), ("products",), contracts)
+    except S.LandingFailure as failure:
+        return failure.report
+    raise AssertionError("landing should have failed")
+
+
+@_query("select p_partkey as id, 'two' || chr(10) || 'lines of ' || p_name as note from part")
+def q_land_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line breaks inside quotes land as values."""
+    raw, bronze = scratch_dir(spark, "raw"), scratch_dir(spark, "bronze")
+    note = F.concat(F.lit("two\nlines of "), "p_name").alias("note")
+    S.write_strings(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), note), f"{raw}/products.csv")
+    contract = TableContract.of("products", "id", "id long; note string")
+    S.land_bronze(spark, raw, bronze, ("products",), {"products": contract}, multi_line=True)
+    return S.scan_contract(spark, contract, bronze_path(bronze, "products"), multi_line=True)
+
+
+@_query(_silver_sql("products"))
+def q_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A written directory as a table; registering a wrong path after that changes nothing."""
+    database, home = f"db_{uuid.uuid4().hex}", scratch_dir(spark, "register")
+    S.create_database(spark, database, f"{home}/db")
+    S.write_silver(silver_table(dirty(spark, sf_dir, "products"), "products", RUN_DATE), f"{home}/products")
+    S.register_table(spark, f"{database}.products", f"{home}/products")
+    try:
+        S.register_table(spark, f"{database}.products", f"{home}/nowhere")
+    except Exception as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+    rows = _as_text(S.read_table(spark, f"{database}.products"))
+    S.drop_table(spark, f"{database}.products")
+    S.drop_database(spark, database)
+    return rows
+
+
 @_query(_silver_sql("products"))
 def q_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish silver products, read them back through the catalog, drop table and database."""
@@ -283,26 +399,42 @@ def _gate_row_sql(name: str, source: str, width_ok: bool) -> str:
     nulls = f"count(*) filter (where not ({keyed}))"
     return (
         f"select '{name}' as \"table\", true as file_exists, {width_ok} as column_count_ok, {nulls} as pk_null_count,"
-        f" count(*) as row_count, {width_ok} and {nulls} = 0 as passed from {source}"
+        f" count(*) as row_count, {width_ok} and {nulls} = 0 as passed, 0 as malformed_rows,"
+        f" cast(null as varchar) as error from {source}"
     )
 
 
+_GATE_MISSING_SQL = "select 'inventory_items', false, false, -1, 0, false, 0, 'PATH_NOT_FOUND'"
 _DIRTY_NAMES = ("distribution_centers", "products", "orders", "users")
 
 
 @_query(
     "\nunion all ".join(
         [_gate_row_sql(n, f"({DIRTY_SQL[n]}) as d_{n}", n != "users") for n in _DIRTY_NAMES]
-        + [_gate_row_sql("order_items", "lineitem", True), "select 'inventory_items', false, false, -1, 0, false"]
+        + [_gate_row_sql("order_items", "lineitem", True), _GATE_MISSING_SQL]
     )
 )
 def q_validate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four dirty tables, one of them too narrow, one clean table and one that is missing."""
+    return validate_all(spark, _gate_bronze(spark, sf_dir), GATE_TABLES, _gate_contracts())
+
+
+def _gate_bronze(spark: SparkSession, sf_dir: str) -> str:
     bronze = scratch_dir(spark, "bronze")
     for name in _DIRTY_NAMES:
         S.write_strings(dirty(spark, sf_dir, name), bronze_path(bronze, name))
     S.write_strings(table(spark, sf_dir, "lineitem"), bronze_path(bronze, "order_items"))
-    return validate_all(spark, bronze, GATE_TABLES, _gate_contracts())
+    return bronze
+
+
+@_query(_ORACLES["q_validate_all"])
+def q_gate_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate raises once all tables have been checked; the exception has the report."""
+    try:
+        run_gate(spark, _gate_bronze(spark, sf_dir), GATE_TABLES, _gate_contracts())
+    except GateFailure as failure:
+        return failure.report
+    raise AssertionError("the gate should have failed")
 
 
 @_query(_gate_row_sql("order_items", "lineitem", True))
@@ -571,16 +703,80 @@ def q_is_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query(f"select event_id, ts, user_id, event_type, value, props, '{RUN_DATE}' as ingestion_date from events")
 def q_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every third event is delivered twice; each event is in the sink once."""
-    # As a glob, the table may be one file as well as a directory of parts.
-    source = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events[.]parquet")
+    own = stream_session(spark, state_partitions=spark.sparkContext.defaultParallelism)
+    source = _event_source(own, spark, sf_dir)
     feed = source.unionAll(source.filter(F.col("event_id") % 3 == 0))
     home = scratch_dir(spark, "events")
     silver = events_silver_stream(feed, ["event_id"], "ts", "31 days", run_date=RUN_DATE)
-    start_events_sink(
-        silver, f"{home}/sink", f"{home}/checkpoint", state_partitions=spark.sparkContext.defaultParallelism
-    ).awaitTermination()
-    sink = spark.read.parquet(f"{home}/sink")
-    return _as_text(sink.withColumns({"ts": F.col("ts").cast("timestamp_ntz")}))
+    start_events_sink(silver, f"{home}/sink", f"{home}/checkpoint").awaitTermination()
+    return _as_text(_zoneless(spark.read.parquet(f"{home}/sink")))
+
+
+def _event_source(own: SparkSession, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as a stream of files. As a glob, it may be one file as well as a directory of parts."""
+    reader = own.readStream.schema(table(spark, sf_dir, "events").schema).option("maxFilesPerTrigger", 100)
+    return reader.parquet(f"{sf_dir}/events[.]parquet")
+
+
+def _zoneless(sink: DataFrame) -> DataFrame:
+    return sink.withColumns({"ts": F.col("ts").cast("timestamp_ntz")})
+
+
+@_query(
+    "select event_id, ts, 'silver' as kept_in from events where event_id % 7 <> 0"
+    " union all select event_id, null, 'untimed' from events where event_id % 7 = 0"
+    " union all select event_id, null, 'untimed' from events where event_id % 7 = 0"
+)
+def q_events_null_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event is delivered twice, every seventh without its time: those are kept apart, the others once."""
+    own, home = stream_session(spark), scratch_dir(spark, "events")
+    source = _event_source(own, spark, sf_dir)
+    source = source.withColumns({"ts": F.when(F.col("event_id") % 7 != 0, F.col("ts"))})
+    feed = source.unionAll(source)
+    silver = events_silver_stream(feed, ["event_id"], "ts", "31 days")
+    start_events_sink(silver, f"{home}/sink", f"{home}/checkpoint").awaitTermination()
+    start_events_sink(untimed_events(feed, "ts"), f"{home}/apart", f"{home}/apart-checkpoint").awaitTermination()
+    kept = _zoneless(spark.read.parquet(f"{home}/sink")).select("event_id", "ts", F.lit("silver").alias("kept_in"))
+    apart = spark.read.parquet(f"{home}/apart").select("event_id", "ts", F.lit("untimed").alias("kept_in"))
+    return kept.unionByName(apart)
+
+
+@_query(
+    "select (select count(*) from events) as silver_rows,"
+    " (select count(*) from events where ts < (select max(ts) - interval '1' day from events)) as late_rows"
+)
+def q_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events, then in a second run all of them again under new keys: those a day behind are late, and counted."""
+    home = scratch_dir(spark, "late")
+    events = table(spark, sf_dir, "events")
+    events.write.parquet(f"{home}/feed/day=1")
+    late, sink, own = 0, f"{home}/sink", stream_session(spark)
+    for run in (1, 2):
+        if run == 2:
+            again = events.filter(F.col("ts") < events.agg(F.max("ts") - F.expr("interval 1 day")).first()[0])
+            again.withColumns({"event_id": -F.col("event_id") - 1}).write.parquet(f"{home}/feed/day=2")
+        source = own.readStream.schema(events.schema).parquet(f"{home}/feed")
+        silver = events_silver_stream(source, ["event_id"], "ts", "1 day")
+        query = start_events_sink(silver, sink, f"{home}/checkpoint")
+        late = await_sink(query, f"{home}/late_rows")
+    counted = spark.read.parquet(sink).agg(F.count(F.lit(1)).alias("silver_rows"))
+    return counted.select("silver_rows", F.lit(late).cast("long").alias("late_rows"))
+
+
+_EVENTS_CSV = TableContract.of("events", "event_id", "event_id long; ts timestamp; user_id long; event_type string; value double")
+
+
+@_query("select event_id, ts, user_id, event_type, value from events")
+def q_csv_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as CSV files, streamed by contract in batches of two files; each comes twice."""
+    home, own = scratch_dir(spark, "csv-stream"), stream_session(spark)
+    events = table(spark, sf_dir, "events").select(*_EVENTS_CSV.columns).repartition(6, "event_id")
+    for copy in ("a", "b"):
+        S.write_strings(events, f"{home}/feed/copy={copy}")
+    source = scan_stream(own, _EVENTS_CSV, f"{home}/feed/*", max_files_per_trigger=2)
+    silver = events_silver_stream(source, ["event_id"], "ts", "31 days")
+    start_events_sink(silver, f"{home}/sink", f"{home}/checkpoint").awaitTermination()
+    return _zoneless(spark.read.parquet(f"{home}/sink")).select(*_EVENTS_CSV.columns)
 
 
 # ---- driver contract -------------------------------------------------------------------------------

@@ -16,12 +16,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.contracts import CONTRACTS, GATE_TABLES, LANDING_TABLES, load_contracts
+from siltworks.contracts import CONTRACTS, GATE_TABLES, LANDING_TABLES, TableContract, load_contracts
 from siltworks.plans import ProfileSpec, profile_table, refine_all, run_gate
 from siltworks.sources import create_database, land_bronze, register_table, scan_contract, sql_query
 from siltworks.sources.landing import bronze_path
 from siltworks.sources.silver import silver_path
-from siltworks.streaming import events_silver_stream, late_rows, scan_stream, start_events_sink
+from siltworks.sources.silver import write_silver
+from siltworks.streaming import (
+    await_sink,
+    events_silver_stream,
+    scan_stream,
+    start_events_sink,
+    stream_session,
+    untimed_events,
+)
+from siltworks.streaming.events import FILES_PER_BATCH
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -36,6 +45,7 @@ def _parser() -> argparse.ArgumentParser:
             sub.add_argument("--table", action="append", help="repeatable; all tables by default")
         sub.add_argument("--contracts", help="directory of JSON contracts instead of the bundled ones")
         sub.add_argument("--spark-quoting", action="store_true", help="backslash escapes instead of doubled quotes")
+        sub.add_argument("--multi-line", action="store_true", help="line breaks inside quotes; one task per file")
         return sub
 
     job("land", "raw", "bronze")
@@ -43,31 +53,34 @@ def _parser() -> argparse.ArgumentParser:
     job("refine", "bronze", "silver").add_argument("--run-date", type=datetime.date.fromisoformat)
     job("profile", "bronze")
     job("publish", "silver", "database")
-    job("query", "sql", tables=False).add_argument("--database")
+    job("query", "sql", "out", tables=False).add_argument("--database")
     events = job("events", "source", "silver", "checkpoint", "watermark", tables=False)
     events.add_argument("--processing-time")
     events.add_argument("--state-partitions", type=int)
+    events.add_argument("--files-per-batch", type=int, default=FILES_PER_BATCH)
+    events.add_argument("--rocksdb", action="store_true", help="keep state on the executors' disks")
     return parser
 
 
 def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame | None:
-    """Run one job; return its report, or the rows of a query."""
+    """Run one job; return its report. A query's rows, all of them, go to Parquet in ``--out``."""
     args = _parser().parse_args(argv)
     contracts = load_contracts(args.contracts) if args.contracts else CONTRACTS
-    rfc4180 = not args.spark_quoting
+    rfc4180, multi_line = not args.spark_quoting, args.multi_line
     tables = getattr(args, "table", None)
     if args.job == "land":
-        return land_bronze(spark, args.raw, args.bronze, tables or LANDING_TABLES, contracts, rfc4180=rfc4180)
+        return land_bronze(spark, args.raw, args.bronze, tables or LANDING_TABLES, contracts, rfc4180=rfc4180, multi_line=multi_line)
     if args.job == "gate":
-        return run_gate(spark, args.bronze, tables or GATE_TABLES, contracts, rfc4180=rfc4180)
+        return run_gate(spark, args.bronze, tables or GATE_TABLES, contracts, rfc4180=rfc4180, multi_line=multi_line)
     if args.job == "refine":
         return refine_all(
-            spark, args.bronze, args.silver, tables or GATE_TABLES, contracts, run_date=args.run_date, rfc4180=rfc4180
+            spark, args.bronze, args.silver, tables or GATE_TABLES, contracts, run_date=args.run_date, rfc4180=rfc4180,
+            multi_line=multi_line,
         )
     if args.job == "profile":
         report = None
         for table in tables or GATE_TABLES:
-            bronze = scan_contract(spark, contracts[table], bronze_path(args.bronze, table), rfc4180=rfc4180)
+            bronze = scan_contract(spark, contracts[table], bronze_path(args.bronze, table), rfc4180=rfc4180, multi_line=multi_line)
             rows = profile_table(bronze, ProfileSpec.of(contracts[table])).select(F.lit(table).alias("table"), "*")
             report = rows if report is None else report.unionByName(rows)
         return report
@@ -77,21 +90,37 @@ def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame | None:
             register_table(spark, f"{args.database}.{table}", silver_path(args.silver, table))
         return sql_query(spark, "SHOW TABLES", args.database)
     if args.job == "query":
-        return sql_query(spark, args.sql, args.database)
-    contract = contracts["events"]
-    source = scan_stream(spark, contract, args.source, rfc4180=rfc4180)
-    silver = events_silver_stream(source, contract.key, "created_at", args.watermark)
+        written = write_silver(sql_query(spark, args.sql, args.database), args.out)
+        return spark.createDataFrame([(args.out, written)], "out string, rows_written long")
+    return _events(spark, args, contracts["events"], rfc4180)
+
+
+def _events(spark: SparkSession, args: argparse.Namespace, contract: TableContract, rfc4180: bool) -> DataFrame:
+    """The event stream, and the rows without an event time into a table beside it."""
+    own = stream_session(spark, state_partitions=args.state_partitions, rocksdb=args.rocksdb)
+    checkpoint, time = args.checkpoint.rstrip("/"), args.processing_time
+
+    def source() -> DataFrame:
+        return scan_stream(own, contract, args.source, max_files_per_trigger=args.files_per_batch, rfc4180=rfc4180)
+
+    untimed = silver_path(args.silver, "events_untimed")
+    quarantine = start_events_sink(
+        untimed_events(source(), "created_at"), untimed, f"{checkpoint}/untimed", processing_time=time
+    )
+    silver = events_silver_stream(source(), contract.key, "created_at", args.watermark)
     query = start_events_sink(
-        silver, silver_path(args.silver, "events"), args.checkpoint, processing_time=args.processing_time,
-        state_partitions=args.state_partitions,
+        silver, silver_path(args.silver, "events"), f"{checkpoint}/events", processing_time=time
     )
-    query.awaitTermination()
-    return spark.createDataFrame([("events", late_rows(query))], "table string, late_rows long")
+    late = await_sink(query, f"{checkpoint}/late_rows")
+    quarantine.awaitTermination()
+    rows = spark.read.parquet(untimed).count()
+    return spark.createDataFrame([("events", late, rows)], "table string, late_rows long, untimed_rows long")
 
 
 def main() -> None:
     spark = SparkSession.builder.appName("siltworks").getOrCreate()
     try:
-        run(spark, sys.argv[1:]).show(1000, truncate=False)
+        report = run(spark, sys.argv[1:])
+        report.show(max(1, report.count()), truncate=False)  # a report has one row per table or column
     finally:
         spark.stop()

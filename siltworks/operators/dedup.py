@@ -21,17 +21,20 @@ def _orderable(data_type: T.DataType) -> bool:
     return not isinstance(data_type, (T.MapType, T.VariantType))
 
 
-def dedup_by_key(df: DataFrame, keys: Sequence[str], copies: str | None = None) -> DataFrame:
+def dedup_by_key(
+    df: DataFrame, keys: Sequence[str], copies: str | None = None, sums: Sequence[str] = ()
+) -> DataFrame:
     """One row per key: the smallest by the other columns in schema order, NULL smallest.
 
     Rows without a key form one group, as they do in ``dropDuplicates``. ``copies`` names an extra
-    column for the number of rows that had the key.
+    column for the number of rows that had the key. Columns named in ``sums`` take no part in the choice and are
+    added up over those rows.
 
     The minimum combines per task before the shuffle, so a key with very many rows costs one row per
     task; a window would bring all of them to one task. One exchange, by the key.
     """
     keys = list(keys)
-    rest = [f for f in df.schema.fields if f.name not in keys]
+    rest = [f for f in df.schema.fields if f.name not in keys and f.name not in sums]
     if unorderable := [f.name for f in df.schema.fields if not _orderable(f.dataType)]:
         raise ValueError(f"cannot choose a smallest row: map or variant columns {unorderable}")
     if missing := [k for k in keys if k not in df.columns]:
@@ -42,7 +45,8 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], copies: str | None = None)
         aggregates.append(F.min(F.struct(*[named(f.name) for f in rest])).alias(_SURVIVOR))
     if copies or not rest:
         aggregates.append(F.count(F.lit(1)).alias(copies or "__copies"))
+    aggregates += [F.sum(named(c)).alias(c) for c in sums]
     grouped = df.groupBy(*[named(k) for k in keys]).agg(*aggregates)
     survivor = F.col(_SURVIVOR)
-    restored = [named(c) if c in keys else survivor.getField(c).alias(c) for c in df.columns]
+    restored = [named(c) if c in keys or c in sums else survivor.getField(c).alias(c) for c in df.columns]
     return grouped.select(*restored, *([named(copies)] if copies else []))

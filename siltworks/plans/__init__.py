@@ -3,13 +3,14 @@
 from siltworks.plans.conform import RULES, Rules, audit_of, conform, conform_counted, normalise, silver_table
 from siltworks.plans.gate import GateFailure, column_count_check, require_passed, run_gate, validate_all, validate_table
 from siltworks.plans.profile import PROFILES, ProfileSpec, profile_table
-from siltworks.plans.refine import refine_all, refine_table
+from siltworks.plans.refine import RefineFailure, refine_all, refine_table
 
 __all__ = [
     "PROFILES",
     "RULES",
     "GateFailure",
     "ProfileSpec",
+    "RefineFailure",
     "Rules",
     "audit_of",
     "column_count_check",

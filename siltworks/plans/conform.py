@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 from siltworks import functions as X
 from siltworks.contracts import CONTRACTS
+from siltworks.functions import named
 from siltworks.operators import dedup_by_key, drop_null_key
+from siltworks.sources.csv import MALFORMED
 
 LOAD_DATE = "ingestion_date"
-_COPIES = "__copies"
+_COPIES, _BAD = "__copies", "__malformed"
 
 
 @dataclass(frozen=True)
@@ -93,20 +95,24 @@ def conform_counted(
 
     All counts are taken above the exchange. Spark adds up an observation below an exchange again when a
     lost executor's map tasks rerun, but takes each task of the last stage once. So null-key rows travel
-    as one counted group per task instead of being filtered out at the scan.
+    as one counted group per task instead of being filtered out at the scan. Rows that the scan marked as
+    malformed are counted too.
     """
     check_rules(df, rules)
-    groups = dedup_by_key(df, keys, copies=_COPIES)
+    bad = named(MALFORMED).isNotNull() if MALFORMED in df.columns else F.lit(False)
+    rows = df.withColumns({_BAD: bad.cast("long")}).drop(MALFORMED)
+    groups = dedup_by_key(rows, keys, copies=_COPIES, sums=[_BAD])
     keyed = X.has_key(keys)
     copies = F.col(_COPIES)
     observed = groups.observe(
         seen,
         F.sum(copies).alias("rows_read"),
+        F.sum(_BAD).alias("malformed_rows"),
         F.sum(F.when(~keyed, copies)).alias("null_key_rows"),
         F.sum(F.when(keyed, copies - 1)).alias("duplicate_rows"),
         F.count_if(keyed & ~F.coalesce(in_range(rules), F.lit(False))).alias("out_of_range_rows"),
     )
-    kept = drop_null_key(observed, keys).drop(_COPIES)
+    kept = drop_null_key(observed, keys).drop(_COPIES, _BAD)
     ranged = kept.filter(in_range(rules)) if rules.ranges else kept
     return stamp(normalise(ranged, rules), run_date)
 

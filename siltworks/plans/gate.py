@@ -10,15 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.contracts import CONTRACTS, GATE_TABLES, TableContract
-from siltworks.functions import has_key
-from siltworks.sources.csv import scan_strings
+from siltworks.functions import has_key, named
+from siltworks.sources.csv import MALFORMED, scan_strings
 from siltworks.sources.landing import bronze_path
-from siltworks.workspace import side_by_side
+from siltworks.workspace import error_class, side_by_side
 
 log = logging.getLogger(__name__)
 
 REPORT_SCHEMA = (
-    "table string, file_exists boolean, column_count_ok boolean, pk_null_count long, row_count long, passed boolean"
+    "table string, file_exists boolean, column_count_ok boolean, pk_null_count long, row_count long, passed boolean,"
+    " malformed_rows long, error string"
 )
 
 
@@ -26,7 +27,7 @@ class GateFailure(RuntimeError):
     """Some tables failed; ``report`` has one row per table."""
 
     def __init__(self, tables: list[str], report: DataFrame):
-        super().__init__(f"bronze validation failed for: {tables}")
+        super().__init__(f"tables that did not pass the gate: {tables}")
         self.tables = tables
         self.report = report
 
@@ -36,28 +37,31 @@ def column_count_check(df: DataFrame, contract: TableContract, *, check_names: b
     return df.columns == contract.columns if check_names else len(df.columns) == len(contract.columns)
 
 
-def _not_read(contract: TableContract) -> tuple[str, bool, bool, int, int, bool]:
-    return contract.name, False, False, -1, 0, False
+def _not_read(contract: TableContract, error: Exception | None = None) -> tuple:
+    return contract.name, False, False, -1, 0, False, 0, error_class(error) if error else None
 
 
 def validate_table(
-    spark: SparkSession, contract: TableContract, path: str, *, rfc4180: bool = True, check_names: bool = False
+    spark: SparkSession, contract: TableContract, path: str, *, rfc4180: bool = True, check_names: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """One report row for one table.
 
     ``file_exists`` means that the file reads and has a row. ``pk_null_count`` is -1 and ``row_count`` 0
     where they were not computed: the table is unreadable or empty, or its header lacks the key. A wrong
     column count fails the table but does not stop the key check. Only the number of columns is compared,
-    their names too with ``check_names``. Duplicates are not looked for.
+    their names too with ``check_names``. Duplicates are not looked for. ``malformed_rows`` counts rows with more or
+    fewer fields than the header; they do not fail the table. ``error`` is Spark's name for why a table was not read.
 
     The reader opens the first file for its header, which shows whether the path can be read; all the rest
-    is one lazy pass that parses the key columns only.
+    is one lazy pass over whole rows.
     """
     try:
-        df = scan_strings(spark, path, rfc4180=rfc4180)
+        rows = scan_strings(spark, path, rfc4180=rfc4180, multi_line=multi_line, flag_malformed=True)
     except Exception as error:  # whatever keeps the file from being read is the finding
         log.error("%s: cannot read %s: %s", contract.name, path, error)
-        return spark.createDataFrame([_not_read(contract)], REPORT_SCHEMA)
+        return spark.createDataFrame([_not_read(contract, error)], REPORT_SCHEMA)
+    df = rows.drop(MALFORMED)
     if not df.columns:
         log.warning("%s: %s has no header", contract.name, path)
         return spark.createDataFrame([_not_read(contract)], REPORT_SCHEMA)
@@ -67,7 +71,13 @@ def validate_table(
     if missing:
         log.warning("%s: key columns %s not in the header", contract.name, missing)
     key_is_null = F.lit(False) if missing else ~has_key(contract.key)
-    counts = df.agg(F.count_if(key_is_null).alias("nulls"), F.count(F.lit(1)).alias("rows"))
+    counts = rows.agg(
+        F.count_if(key_is_null).alias("nulls"), F.count(F.lit(1)).alias("rows"),
+        # Spark refuses a scan for the flag alone: the comparison, which is always true, names another column.
+        F.count_if(
+            F.col(MALFORMED).isNotNull() & (F.coalesce(named(df.columns[0]), F.lit("")) != F.lit("\x00"))
+        ).alias("malformed"),
+    )
 
     exists = F.col("rows") > 0
     pk_nulls = F.lit(-1).cast("long") if missing else F.when(exists, F.col("nulls")).otherwise(-1)
@@ -78,18 +88,23 @@ def validate_table(
         pk_nulls.alias("pk_null_count"),
         (F.lit(0).cast("long") if missing else F.col("rows")).alias("row_count"),
         (exists & F.lit(width_ok) & (pk_nulls == 0)).alias("passed"),
+        F.col("malformed").alias("malformed_rows"),
+        F.lit(None).cast("string").alias("error"),
     )
 
 
 def validate_all(
     spark: SparkSession, bronze_dir: str, tables: Iterable[str] = GATE_TABLES,
     contracts: Mapping[str, TableContract] = CONTRACTS, *, rfc4180: bool = True, check_names: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """One report row per table. The counts of all tables run as one job, side by side."""
 
     def validate(table: str) -> DataFrame:
         path = bronze_path(bronze_dir, table)
-        return validate_table(spark, contracts[table], path, rfc4180=rfc4180, check_names=check_names)
+        return validate_table(
+            spark, contracts[table], path, rfc4180=rfc4180, check_names=check_names, multi_line=multi_line
+        )
 
     return reduce(DataFrame.unionByName, side_by_side(spark, validate, tables))
 
@@ -106,6 +121,7 @@ def require_passed(report: DataFrame) -> DataFrame:
 def run_gate(
     spark: SparkSession, bronze_dir: str, tables: Iterable[str] = GATE_TABLES,
     contracts: Mapping[str, TableContract] = CONTRACTS, *, rfc4180: bool = True, check_names: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Validate every table, then pass the report on or raise.
 
@@ -117,10 +133,12 @@ def run_gate(
         path = bronze_path(bronze_dir, table)
         try:
             return tuple(
-                validate_table(spark, contracts[table], path, rfc4180=rfc4180, check_names=check_names).first()
+                validate_table(
+                    spark, contracts[table], path, rfc4180=rfc4180, check_names=check_names, multi_line=multi_line
+                ).first()
             )
         except Exception as error:
             log.error("%s: cannot read all of %s: %s", table, path, error)
-            return _not_read(contracts[table])
+            return _not_read(contracts[table], error)
 
     return require_passed(spark.createDataFrame(side_by_side(spark, validate, tables), REPORT_SCHEMA))

@@ -53,13 +53,20 @@ def publish_table(df: DataFrame, table: str, *, path: str | None = None, provide
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
-def register_table(spark: SparkSession, table: str, path: str, *, provider: str = "parquet") -> None:
+def register_table(
+    spark: SparkSession, table: str, path: str, *, provider: str = "parquet", replace_managed: bool = False
+) -> None:
     """Make a directory that is already written a catalog table, without copying it.
 
-    An earlier entry of that name is dropped first; its files go only if the catalog owned them.
+    The directory is read first: if that fails, an earlier entry of that name stays. An earlier entry is replaced;
+    one whose files the catalog owns, and would delete, is refused unless ``replace_managed``.
     """
-    drop_table(spark, table)
-    spark.catalog.createTable(table, path=path, source=provider)
+    schema = spark.read.format(provider).load(path).schema
+    if spark.catalog.tableExists(table):
+        if spark.catalog.getTable(table).tableType == "MANAGED" and not replace_managed:
+            raise ValueError(f"{table} owns its files, which replacing it would delete")
+        drop_table(spark, table)
+    spark.catalog.createTable(table, path=path, source=provider, schema=schema)
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
@@ -73,14 +80,12 @@ def drop_table(spark: SparkSession, table: str, *, missing_ok: bool = True) -> N
 def sql_query(spark: SparkSession, sql: str, database: str | None = None, args: dict | None = None) -> DataFrame:
     """Run SQL over published tables, as a DataFrame: rows stay on the executors until asked for.
 
-    ``database`` is where unqualified table names are looked up, for this query only; the session's current
-    database is switched while the query is analysed. ``args`` binds ``:name`` markers.
+    ``database`` is where unqualified table names are looked up. The query then runs in a session of its own, which
+    shares the catalog but neither temporary views nor settings made at run time, so that queries on other threads
+    keep their database. ``args`` binds ``:name`` markers.
     """
     if database is None:
         return spark.sql(sql, args=args)
-    before = spark.catalog.currentDatabase()
-    spark.catalog.setCurrentDatabase(database)
-    try:
-        return spark.sql(sql, args=args)
-    finally:
-        spark.catalog.setCurrentDatabase(before)
+    own = spark.newSession()
+    own.catalog.setCurrentDatabase(database)
+    return own.sql(sql, args=args)

@@ -1,28 +1,37 @@
 """CSV in and out. A path may be one file, a directory of part files or a glob.
 
 Files are read one record per line, so plain (uncompressed) files split across tasks whatever their
-size. Bad values become NULL and the row stays; short rows are padded with NULL and long rows cut.
+size; ``multi_line`` reads line breaks inside quotes, with one task per file. Bad values become NULL and the row
+stays; short rows are padded with NULL and long rows cut. With ``flag_malformed`` rows are parsed
+whole, whatever columns are asked for, and the column ``MALFORMED`` has the text of such rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import types as T
 
 from siltworks.contracts import TableContract
 
 # RFC 4180 doubles a quote inside a quoted field; Spark's own default is a backslash before it.
 _DOUBLED_QUOTE = {"escape": '"'}
+MALFORMED = "_corrupt_record"  # Spark's own name
 _TIMESTAMP_OUT = "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"
 _TIMESTAMP_NTZ_OUT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
-def _reader(spark: SparkSession, rfc4180: bool) -> DataFrameReader:
-    reader = spark.read.option("header", True)
+def _reader(spark: SparkSession, rfc4180: bool, multi_line: bool = False) -> DataFrameReader:
+    reader = spark.read.option("header", True).option("multiLine", multi_line)
     return reader.options(**_DOUBLED_QUOTE) if rfc4180 else reader
 
 
+def _flagged(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
+
+
 def scan_contract(
-    spark: SparkSession, contract: TableContract, path: str, *, rfc4180: bool = True, check_header: bool = False
+    spark: SparkSession, contract: TableContract, path: str, *, rfc4180: bool = True, check_header: bool = False,
+    multi_line: bool = False, flag_malformed: bool = False,
 ) -> DataFrame:
     """Read with the contract's schema. Columns bind by position: header names are not looked at.
 
@@ -30,16 +39,22 @@ def scan_contract(
     ``rfc4180=False`` reads quotes as Spark does by default (backslash escapes).
     """
     return (
-        _reader(spark, rfc4180)
+        _reader(spark, rfc4180, multi_line)
         .option("enforceSchema", not check_header)
-        .schema(contract.schema)
+        .option("columnPruning", not flag_malformed)
+        .schema(_flagged(contract.schema) if flag_malformed else contract.schema)
         .csv(path)
     )
 
 
-def scan_strings(spark: SparkSession, path: str, *, rfc4180: bool = True) -> DataFrame:
-    """Read every column as string, named by the header."""
-    return _reader(spark, rfc4180).csv(path)
+def scan_strings(
+    spark: SparkSession, path: str, *, rfc4180: bool = True, multi_line: bool = False, flag_malformed: bool = False
+) -> DataFrame:
+    """Read every column as string, named by the header. Rows with more or fewer fields than it are malformed."""
+    rows = _reader(spark, rfc4180, multi_line).csv(path)
+    if not flag_malformed or not rows.columns:
+        return rows
+    return _reader(spark, rfc4180, multi_line).option("columnPruning", False).schema(_flagged(rows.schema)).csv(path)
 
 
 def scan_inferred(spark: SparkSession, path: str, *, rfc4180: bool = True) -> DataFrame:

@@ -9,12 +9,19 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.contracts import CONTRACTS, LANDING_TABLES, TableContract
-from siltworks.sources.csv import scan_strings, write_strings
-from siltworks.workspace import side_by_side
+from siltworks.sources.csv import MALFORMED, scan_strings, write_strings
+from siltworks.sources.replace import Refused, replace_directory
+from siltworks.workspace import error_class, side_by_side
 
 log = logging.getLogger(__name__)
 
-REPORT_SCHEMA = "table string, source_exists boolean, contract_exists boolean, landed boolean, row_count long"
+REPORT_SCHEMA = (
+    "table string, source_exists boolean, contract_exists boolean, landed boolean, row_count long,"
+    " malformed_rows long, error string"
+)
+
+
+Report = tuple[str, bool, bool, bool, int, int, str | None]
 
 
 class LandingFailure(RuntimeError):
@@ -32,39 +39,56 @@ def bronze_path(bronze_dir: str, table: str) -> str:
 
 def land_table(
     spark: SparkSession, table: str, raw_dir: str, bronze_dir: str, contracts: Mapping[str, TableContract] = CONTRACTS,
-    *, rfc4180: bool = True,
-) -> tuple[str, bool, bool, bool, int]:
+    *, rfc4180: bool = True, multi_line: bool = False,
+) -> Report:
     """Land one table and return its report row. A failure is reported, not raised.
 
-    Values are kept, bytes are not: a quoted field may lose quotes that it does not need. The rows are
-    counted by the write itself, in its only stage, so a retried task is not counted twice.
+    Values are kept, bytes are not: a quoted field may lose quotes that it does not need. Rows that would change,
+    with more or fewer fields than the header, are counted as malformed; a table with any does not land, and what
+    landed before stays. Line breaks inside quotes make such rows, unless ``multi_line`` reads them as values, with
+    one task per file; bronze then has to be read with ``multi_line`` too. The rows are counted by the write itself,
+    in its only stage, so a retried task is not counted twice.
     """
     source = f"{raw_dir.rstrip('/')}/{table}.csv"
     try:
-        raw = scan_strings(spark, source, rfc4180=rfc4180)
+        raw = scan_strings(spark, source, rfc4180=rfc4180, multi_line=multi_line, flag_malformed=True)
     except Exception as error:  # missing, unreadable or without a header line
         log.error("%s: cannot read %s: %s", table, source, error)
-        return table, False, table in contracts, False, 0
+        missing = error_class(error)
+        return table, missing != "PATH_NOT_FOUND", table in contracts, False, 0, 0, missing
     if table not in contracts:
         log.error("%s: no contract", table)
-        return table, True, False, False, 0
-    seen = Observation()
+        return table, True, False, False, 0, 0, None
+
+    def write(staged: str) -> dict[str, int]:
+        if MALFORMED not in raw.columns:
+            raise ValueError(f"{source} has no header line")
+        seen = Observation()
+        counted = raw.observe(
+            seen, F.count(F.lit(1)).alias("row_count"), F.count_if(F.col(MALFORMED).isNotNull()).alias("malformed")
+        )
+        write_strings(counted.drop(MALFORMED), staged)
+        return seen.get
+
     try:
-        write_strings(raw.observe(seen, F.count(F.lit(1)).alias("row_count")), bronze_path(bronze_dir, table))
+        counts = replace_directory(spark, bronze_path(bronze_dir, table), write, lambda counts: not counts["malformed"])
+    except Refused as refused:
+        log.error("%s: %s malformed rows", table, refused.result["malformed"])
+        return table, True, True, False, 0, refused.result["malformed"], None
     except Exception as error:  # any failure of one table must not keep the others from landing
         log.error("%s: landing failed: %s", table, error)
-        return table, True, True, False, 0
-    return table, True, True, True, seen.get["row_count"]
+        return table, True, True, False, 0, 0, error_class(error)
+    return table, True, True, True, counts["row_count"], 0, None
 
 
 def land_bronze(
     spark: SparkSession, raw_dir: str, bronze_dir: str, tables: Iterable[str] = LANDING_TABLES,
-    contracts: Mapping[str, TableContract] = CONTRACTS, *, rfc4180: bool = True,
+    contracts: Mapping[str, TableContract] = CONTRACTS, *, rfc4180: bool = True, multi_line: bool = False,
 ) -> DataFrame:
     """Land every table; return one report row per table, or raise once all have been tried."""
 
-    def land(table: str) -> tuple[str, bool, bool, bool, int]:
-        return land_table(spark, table, raw_dir, bronze_dir, contracts, rfc4180=rfc4180)
+    def land(table: str) -> Report:
+        return land_table(spark, table, raw_dir, bronze_dir, contracts, rfc4180=rfc4180, multi_line=multi_line)
 
     rows = side_by_side(spark, land, tables)
     report = spark.createDataFrame(rows, REPORT_SCHEMA)

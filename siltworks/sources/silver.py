@@ -5,20 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from siltworks.sources.replace import replace_directory
+
 
 def silver_path(silver_dir: str, table: str) -> str:
     return f"{silver_dir.rstrip('/')}/{table}"
 
 
 def write_silver(df: DataFrame, path: str) -> int:
-    """Replace the Parquet directory and return the number of rows written.
+    """Replace the Parquet directory and return the number of rows written. A failed write leaves the old one.
 
     The write counts its own rows in its last stage, where a retried task is not counted twice, so the
     plan runs once and the number is that of the rows on disk.
     """
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return seen.get["rows"]
+
+    def write(staged: str) -> int:
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(staged)
+        return seen.get["rows"]
+
+    return replace_directory(df.sparkSession, path, write)
 
 
 def read_silver(spark: SparkSession, silver_dir: str, table: str) -> DataFrame:

@@ -1,5 +1,23 @@
-"""The event stream, cleaned the way the tables are."""
+"""Streams: events conformed as they arrive."""
 
-from siltworks.streaming.events import events_silver_stream, late_rows, scan_stream, start_events_sink
+from siltworks.streaming.events import (
+    await_sink,
+    events_silver_stream,
+    late_rows,
+    late_rows_of,
+    scan_stream,
+    start_events_sink,
+    stream_session,
+    untimed_events,
+)
 
-__all__ = ["events_silver_stream", "late_rows", "scan_stream", "start_events_sink"]
+__all__ = [
+    "await_sink",
+    "events_silver_stream",
+    "late_rows",
+    "late_rows_of",
+    "scan_stream",
+    "start_events_sink",
+    "stream_session",
+    "untimed_events",
+]

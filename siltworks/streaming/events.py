@@ -8,6 +8,8 @@ from __future__ import annotations
 import datetime
 from collections.abc import Sequence
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,29 @@ from siltworks.plans.conform import Rules, check_rules, in_range, normalise, sta
 
 _SALT = "__salt"
 _PARTITIONS = "spark.sql.shuffle.partitions"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_REPORTS = "spark.sql.streaming.numRecentProgressUpdates"
+_SEED = 20240131
+FILES_PER_BATCH = 1000
+
+
+def stream_session(spark: SparkSession, *, state_partitions: int | None = None, rocksdb: bool = False) -> SparkSession:
+    """A session of the stream's own, for its source and everything after it; the caller's settings stay as they are.
+
+    ``state_partitions`` is over how many tasks keys are remembered, ``rocksdb`` keeps them on the executors' disks
+    instead of in their memory. The session holds many progress reports, so that none is missed by ``await_sink``.
+    """
+    own = spark.newSession()
+    for name in (_PARTITIONS, "spark.checkpoint.dir", "spark.sql.session.timeZone"):
+        if (value := spark.conf.get(name, None)) is not None and spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    if state_partitions is not None:
+        own.conf.set(_PARTITIONS, state_partitions)
+    if rocksdb:
+        own.conf.set(_PROVIDER, _ROCKSDB)
+    own.conf.set(_REPORTS, 10_000)
+    return own
 
 
 def scan_stream(
@@ -44,21 +69,23 @@ def events_silver_stream(
     The first arrival of a key survives (the batch job keeps the smallest row), so stream and batch agree
     where duplicates are exact redeliveries. ``watermark`` must cover the real disorder of the stream:
     rows behind it are dropped, see ``late_rows``. A key is remembered until the watermark passes its
-    event time plus that delay; rows without an event time are never late and are remembered for one batch.
+    event time plus that delay. Rows without an event time would be remembered for one batch only, and could be in
+    the sink twice: they are not part of the result, see ``untimed_events``.
 
     De-duplication has no per-task combine, so a key that is redelivered very often would send all its
-    rows to one task. It therefore runs twice: first by key and task group, which spreads such a key over
-    up to ``salts`` tasks and lets one row of each pass, then by key alone. The task group comes from the
-    partition number, which a rerun task keeps. ``salts=1`` leaves the first step out.
+    rows to one task. It therefore runs twice: first by key and salt, which spreads such a key over
+    up to ``salts`` tasks and lets one row of each pass, then by key alone. The salt is drawn per row, also within
+    one source partition; its seed is fixed, so a rerun task draws the same. ``salts=1`` leaves the first step out.
     """
     check_rules(events, rules)
     if isinstance(events.schema[event_time].dataType, T.TimestampNTZType):
         # Watermarks need an instant; the session time zone says which one.
         events = events.withColumns({event_time: named(event_time).cast("timestamp")})
-    keyed = drop_null_key(events, keys).withWatermark(event_time, watermark)
+    timed = events.filter(named(event_time).isNotNull())
+    keyed = drop_null_key(timed, keys).withWatermark(event_time, watermark)
     if salts > 1:
         keyed = (
-            keyed.withColumns({_SALT: F.pmod(F.spark_partition_id(), F.lit(salts))})
+            keyed.withColumns({_SALT: F.floor(F.rand(_SEED) * salts)})
             .dropDuplicatesWithinWatermark([*keys, _SALT])
             .drop(_SALT)
         )
@@ -67,6 +94,11 @@ def events_silver_stream(
     return stamp(normalise(ranged, rules), run_date)
 
 
+def untimed_events(events: DataFrame, event_time: str, run_date: datetime.date | None = None) -> DataFrame:
+    """The rows without an event time, as they came, to be kept apart: for a sink of their own."""
+    return stamp(events.filter(named(event_time).isNull()), run_date)
+
+
 def start_events_sink(
     silver: DataFrame, path: str, checkpoint: str, *, processing_time: str | None = None, name: str | None = None,
     state_partitions: int | None = None,
@@ -75,7 +107,8 @@ def start_events_sink(
 
     Without ``processing_time`` the query takes what is there in bounded batches and ends. Both paths
     must be on storage that every executor sees. ``state_partitions`` is over how many tasks the keys are
-    remembered, by default the session's shuffle partitions; a checkpoint keeps its first number.
+    remembered, by default the session's shuffle partitions; a checkpoint keeps its first number. It is set on the
+    session for the moment of the start: where other threads use the session, take ``stream_session`` instead.
     """
     writer = silver.writeStream.format("parquet").outputMode("append")
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)
@@ -92,6 +125,47 @@ def start_events_sink(
         conf.set(_PARTITIONS, before)
 
 
+def _late_by_batch(query: StreamingQuery) -> dict[int, int]:
+    return {p["batchId"]: sum(op["numRowsDroppedByWatermark"] for op in p["stateOperators"]) for p in query.recentProgress}
+
+
+def await_sink(query: StreamingQuery, late_report: str, poll_seconds: float = 0.5) -> int:
+    """Wait for a query's end; return the rows that all its runs dropped for being behind the watermark.
+
+    Each batch's count is appended to the Parquet table ``late_report`` (``batch_id, late_rows``) soon after the batch,
+    so that later runs from the same checkpoint add to it; a batch that ran again counts once.
+    """
+    spark, kept = SparkSession.active(), {}
+
+    def keep() -> None:
+        new = {b: n for b, n in _late_by_batch(query).items() if kept.get(b) != n}
+        if new:
+            rows = [(batch, late, time.time()) for batch, late in new.items()]
+            table = spark.createDataFrame(rows, "batch_id long, late_rows long, at double")
+            table.coalesce(1).write.mode("append").parquet(late_report)
+            kept.update(new)
+
+    try:
+        while not query.awaitTermination(poll_seconds):
+            keep()
+    finally:
+        keep()
+    return late_rows_of(spark, late_report)
+
+
+def late_rows_of(spark: SparkSession, late_report: str) -> int:
+    """The sum over all batches of a report that ``await_sink`` wrote; 0 if it wrote none."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    path = make(late_report)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return 0
+    last = spark.read.parquet(late_report).groupBy("batch_id").agg(F.max_by("late_rows", "at").alias("late_rows"))
+    return last.agg(F.coalesce(F.sum("late_rows"), F.lit(0))).first()[0]
+
+
 def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped for being behind the watermark, over the progress reports that the query still holds."""
-    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+    """Rows dropped for being behind the watermark, over the progress reports that the query still holds.
+
+    A query holds a hundred of them by default; ``await_sink`` counts every batch.
+    """
+    return sum(_late_by_batch(query).values())

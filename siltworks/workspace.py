@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable
@@ -14,6 +15,8 @@ from pyspark.sql import SparkSession
 A = TypeVar("A")
 B = TypeVar("B")
 
+_MADE: dict[str, list[str]] = {}
+
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused folder below the shared one that the cluster names in ``spark.checkpoint.dir``.
@@ -25,7 +28,28 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.gettempdir()
-    return f"{root.rstrip('/')}/siltworks/{label}-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/siltworks/{label}-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove the scratch folders that this application was given; their tables must have been read by then."""
+    folders = _MADE.pop(spark.sparkContext.applicationId, [])
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    for folder in folders:
+        path = make(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(folders)
+
+
+def error_class(error: Exception) -> str:
+    """Spark's name for what went wrong, else the exception's."""
+    condition = getattr(error, "getCondition", lambda: None)()
+    if condition:
+        return condition
+    named = re.search(r"\[([A-Z][A-Z0-9_.]+)\]", str(error))
+    return named.group(1) if named else type(error).__name__
 
 
 def side_by_side(spark: SparkSession, job: Callable[[A], B], items: Iterable[A], at_once: int = 4) -> list[B]:

@@ -137,7 +137,7 @@ def test_landing_keeps_values_and_splits(spark, tmp_path):
     (tmp_path / "t.csv").write_text("\n".join(["id,name,note,empty", *lines]) + "\n")
     contract = TableContract.of("t", "id", "id integer; name string; note string; empty string")
     report = land_bronze(spark, str(tmp_path), str(tmp_path / "bronze"), ["t"], {"t": contract})
-    assert [tuple(r) for r in report.collect()] == [("t", True, True, True, 1000)]
+    assert [tuple(r) for r in report.collect()] == [("t", True, True, True, 1000, 0, None)]
     landed = scan_contract(spark, contract, bronze_path(str(tmp_path / "bronze"), "t"))
     assert sorted(tuple(r) for r in landed.collect()) == [
         (i, f" n{i} ", f'say "{i}"', None) for i in range(1000)
@@ -168,5 +168,24 @@ def test_landing_a_header_without_rows(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,name\n")
     contract = TableContract.of("a", "id", "id integer; name string")
     report = land_bronze(spark, str(tmp_path), str(tmp_path / "bronze"), ["a"], {"a": contract})
-    assert [tuple(r) for r in report.collect()] == [("a", True, True, True, 0)]
+    assert [tuple(r) for r in report.collect()] == [("a", True, True, True, 0, 0, None)]
     assert scan_strings(spark, bronze_path(str(tmp_path / "bronze"), "a")).columns == ["id", "name"]
+
+
+def test_landing_refuses_rows_that_would_change(spark, tmp_path):
+    contract = TableContract.of("t", "id", "id integer; name string; note string")
+    bronze = str(tmp_path / "bronze")
+    (tmp_path / "t.csv").write_text("id,name,note\n1,a,b\n2,c,d\n")
+    land_bronze(spark, str(tmp_path), bronze, ["t"], {"t": contract})
+    (tmp_path / "t.csv").write_text('id,name,note\n1,a,b,EXTRA\n2,c\n3,"two\nlines",d\n4,e,f\n')
+    with pytest.raises(LandingFailure) as failure:
+        land_bronze(spark, str(tmp_path), bronze, ["t"], {"t": contract})
+    assert tuple(failure.value.report.first()) == ("t", True, True, False, 0, 4, None)
+    with pytest.raises(LandingFailure) as failure:
+        land_bronze(spark, str(tmp_path), bronze, ["t"], {"t": contract}, multi_line=True)
+    assert failure.value.report.first()["malformed_rows"] == 2
+    assert scan_strings(spark, bronze_path(bronze, "t")).count() == 2  # what landed before is still there
+    (tmp_path / "t.csv").write_text('id,name,note\n3,"two\nlines",d\n4,e,f\n')
+    land_bronze(spark, str(tmp_path), bronze, ["t"], {"t": contract}, multi_line=True)
+    landed = scan_contract(spark, contract, bronze_path(bronze, "t"), multi_line=True)
+    assert sorted(tuple(r) for r in landed.collect()) == [(3, "two\nlines", "d"), (4, "e", "f")]

@@ -13,7 +13,7 @@ PAIR = TableContract.of("t", "id", "id integer; name string")
 def _report(spark, tmp_path, text, contract=PAIR, **options):
     path = tmp_path / "t.csv"
     path.write_text(text)
-    return tuple(validate_table(spark, contract, str(path), **options).collect()[0])
+    return tuple(validate_table(spark, contract, str(path), **options).collect()[0])[:6]
 
 
 def test_passes(spark, tmp_path):
@@ -49,13 +49,21 @@ def test_empty(spark, tmp_path, text):
 
 def test_missing(spark, tmp_path):
     row = validate_table(spark, PAIR, str(tmp_path / "nowhere")).collect()[0]
-    assert tuple(row) == ("t", False, False, -1, 0, False)
+    assert tuple(row) == ("t", False, False, -1, 0, False, 0, "PATH_NOT_FOUND")
 
 
 def test_unreadable(spark, tmp_path):
     (tmp_path / "t.csv.gz").write_bytes(b"not a gzip file at all")
     row = validate_table(spark, PAIR, str(tmp_path / "t.csv.gz")).collect()[0]
-    assert tuple(row) == ("t", False, False, -1, 0, False)
+    assert tuple(row)[:6] == ("t", False, False, -1, 0, False)
+    assert row["error"] not in (None, "PATH_NOT_FOUND")
+
+
+def test_malformed_rows_are_counted(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("id,name\n1,a,more\n2\n3,c\n")
+    row = validate_table(spark, PAIR, str(path)).first()
+    assert (row["row_count"], row["malformed_rows"], row["passed"]) == (3, 2, True)
 
 
 def test_composite_key(spark, tmp_path):

@@ -46,7 +46,7 @@ def test_jobs_chain(spark, lake):
     assert _rows(passed, "table", "passed") == [("products", True), ("users", True)]
 
     report = jobs.run(spark, ["refine", "--bronze", bronze, "--silver", silver, "--run-date", "2024-01-31"])
-    counts = {r[0]: r[1:] for r in _rows(report, "*")}
+    counts = {r[0]: r[1:6] for r in _rows(report, "*")}
     assert counts["distribution_centers"] == (4, 1, 1, 1, 1)
     assert counts["order_items"] == (2, 0, 1, 0, 1)
     user = spark.read.parquet(f"{silver}/users").first()
@@ -67,8 +67,12 @@ def test_jobs_chain(spark, lake):
     try:
         jobs.run(spark, ["publish", "--silver", silver, "--database", database])
         sql = "select u.email, o.status from users u join orders o on o.user_id = u.id"
-        found = jobs.run(spark, ["query", "--sql", sql, "--database", database])
-        assert _rows(found, "*") == [("ann@x.com", "Shipped")]
+        out = f"{lake}/out"
+        found = jobs.run(spark, ["query", "--sql", sql, "--database", database, "--out", out])
+        assert _rows(found, "*") == [(out, 1)] and _rows(spark.read.parquet(out), "*") == [("ann@x.com", "Shipped")]
+        many = ["query", "--sql", "select id from range(2500)", "--out", f"{lake}/many"]
+        assert _rows(jobs.run(spark, many), "rows_written") == [(2500,)]
+        assert spark.read.parquet(f"{lake}/many").count() == 2500
     finally:
         drop_database(spark, database, cascade=True)
 
@@ -76,8 +80,15 @@ def test_jobs_chain(spark, lake):
 def test_events_job(spark, lake):
     feed = lake / "feed"
     feed.mkdir()
-    (feed / "events.csv").write_text((lake / "raw" / "events.csv").read_text())
+    lines = (lake / "raw" / "events.csv").read_text().splitlines()
+    untimed = lines[1].replace("2024-01-05 10:00:00 UTC", "")
+    for i in range(3):
+        (feed / f"events{i}.csv").write_text("\n".join([lines[0], lines[1], untimed]) + "\n")
     paths = ["--source", str(feed), "--silver", f"{lake}/silver", "--checkpoint", f"{lake}/cp"]
-    report = jobs.run(spark, ["events", *paths, "--watermark", "1 day"])
-    assert _rows(report, "*") == [("events", 0)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    options = ["--watermark", "1 day", "--files-per-batch", "1", "--state-partitions", "3"]
+    report = jobs.run(spark, ["events", *paths, *options])
+    assert _rows(report, "*") == [("events", 0, 3)]
     assert spark.read.parquet(f"{lake}/silver/events").count() == 1
+    assert spark.read.parquet(f"{lake}/cp/late_rows").select("batch_id").distinct().count() >= 3
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before

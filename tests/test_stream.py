@@ -10,7 +10,15 @@ from pyspark.sql import functions as F
 from siltworks.contracts import CONTRACTS, TableContract
 from siltworks.plans import Rules, conform
 from siltworks.sources import write_strings
-from siltworks.streaming import events_silver_stream, late_rows, scan_stream, start_events_sink
+from siltworks.streaming import (
+    await_sink,
+    events_silver_stream,
+    late_rows,
+    scan_stream,
+    start_events_sink,
+    stream_session,
+    untimed_events,
+)
 from standins import table
 
 DAY = datetime.date(2024, 1, 31)
@@ -160,3 +168,46 @@ def test_missing_rule_column_is_refused(spark, tmp_path):
     source = scan_stream(spark, TableContract.of("t", "id", "id long; ts timestamp"), f"{tmp_path}/feed")
     with pytest.raises(ValueError, match="rules name columns"):
         events_silver_stream(source, ["id"], "ts", "1 day", Rules(trim=("nope",)))
+
+
+def test_a_hot_key_within_one_source_partition(spark, tmp_path):
+    stamp = F.lit(datetime.datetime(2024, 1, 5))
+    hot = spark.range(0, 10_000, numPartitions=1).select(F.lit(1).alias("event_id"), stamp.alias("ts"))
+    hot.write.parquet(f"{tmp_path}/feed")
+    source = spark.readStream.schema(hot.schema).parquet(f"{tmp_path}/feed")
+    silver = events_silver_stream(source, ["event_id"], "ts", "1 day", run_date=DAY)
+    query = start_events_sink(silver, f"{tmp_path}/sink", f"{tmp_path}/checkpoint")
+    query.awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/sink").count() == 1
+    dropped = [op["customMetrics"]["numDroppedDuplicateRows"] for op in query.recentProgress[0]["stateOperators"]]
+    assert sorted(dropped) == [31, 9_968]
+
+
+def test_rows_without_a_time_are_kept_apart(spark, tmp_path):
+    schema = "event_id long, ts timestamp"
+    at = datetime.datetime(2024, 1, 5)
+    for rows in ([(1, None), (2, at)], [(1, None), (3, at)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/feed")
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/feed")
+    silver = events_silver_stream(source, ["event_id"], "ts", "1 day")
+    start_events_sink(silver, f"{tmp_path}/sink", f"{tmp_path}/cp").awaitTermination()
+    start_events_sink(untimed_events(source, "ts"), f"{tmp_path}/apart", f"{tmp_path}/cp2").awaitTermination()
+    assert sorted(r["event_id"] for r in spark.read.parquet(f"{tmp_path}/sink").collect()) == [2, 3]
+    assert [r["event_id"] for r in spark.read.parquet(f"{tmp_path}/apart").collect()] == [1, 1]
+
+
+def test_late_rows_add_up_over_batches_and_restarts(spark, tmp_path):
+    schema, report = "event_id long, ts timestamp", f"{tmp_path}/late"
+    own = stream_session(spark, state_partitions=2)
+
+    def feed(*batches):
+        for rows in batches:
+            rows = [(i, datetime.datetime(2024, 1, day)) for i, day in rows]
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/feed")
+        source = own.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/feed")
+        silver = events_silver_stream(source, ["event_id"], "ts", "1 day")
+        return await_sink(start_events_sink(silver, f"{tmp_path}/sink", f"{tmp_path}/cp"), report)
+
+    assert feed([(1, 20)], [(2, 20)], [(3, 2), (4, 21)], [(5, 21)], [(6, 22)]) == 1
+    assert feed([(7, 3), (8, 3), (9, 23)]) == 3
+    assert sorted(r["event_id"] for r in spark.read.parquet(f"{tmp_path}/sink").collect()) == [1, 2, 4, 5, 6, 9]
