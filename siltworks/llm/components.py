@@ -9,7 +9,7 @@ from siltworks.llm.tables import written
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``node, component`` for links ``u, v``: every linked node with the smallest node it can reach.
+    """``node, component`` for links ``u, v``: every node that can reach a smaller one, and the smallest it can reach.
 
     Each round hangs a node's larger neighbours under its smallest one, then the smaller ones, until nothing
     changes; the rounds needed grow with the logarithm of the longest path. Smallest neighbours combine before
@@ -17,24 +17,23 @@ def components(links: DataFrame) -> DataFrame:
     adaptive execution splits where a node has very many links.
     """
     edges = _pairs(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
-    before = None
-    while True:
+    while not _stars(edges):
         both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = written(both.groupBy("u").agg(F.min("v").alias("m")), "star-least")
-        large = edges.select(F.col("v").alias("u"), F.col("u").alias("v")).unionAll(edges.select("u", "v")).filter("v > u")
-        large = large.join(least, "u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
-        large = _pairs(large)
+        large = edges.select(F.col("v").alias("w"), F.col("u").alias("v")).join(least.hint("merge"), F.col("w") == F.col("u"))
+        large = written(large.select(F.col("v").alias("u"), F.least("m", "w").alias("v")), "star-large")
         down = written(large.groupBy("u").agg(F.min("v").alias("m")), "star-least")
-        small = large.join(down, "u")
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(down.select("u", F.col("m").alias("v")))
-        edges = _pairs(small)
-        # A forest of stars has one link per node below its centre, and keeps the same links.
-        now = edges.agg(F.count(F.lit(1)), F.count_distinct("u"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(now) == before:
-            break
-        before = tuple(now)
-    below = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return below.unionAll(below.select(F.col("component").alias("node"), "component").distinct())
+        small = large.withColumnRenamed("u", "w").join(down.hint("merge"), F.col("w") == F.col("u"))
+        edges = _pairs(small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(down.select("u", F.col("m").alias("v"))))
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node hangs under one smaller node that hangs under none."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("under"), F.lit(0).alias("over"))
+    ends = ends.unionAll(edges.select(F.col("v").alias("x"), F.lit(0).alias("under"), F.lit(1).alias("over")))
+    nodes = ends.groupBy("x").agg(F.sum("under").alias("under"), F.max("over").alias("over"))
+    return nodes.filter((F.col("under") > 1) | (F.col("under") > 0) & (F.col("over") > 0)).isEmpty()
 
 
 def _pairs(edges: DataFrame) -> DataFrame:

@@ -7,14 +7,17 @@ token in its prefixes under both before its sets are compared.
 
 Texts with equal sets are one class, and classes are joined, not texts. Candidates come in two steps, so that a
 group of thousands of near copies does not give all its pairs: first every class is compared with one class of
-each prefix token, then only classes that share a token and are not yet connected.
+each prefix token, then only classes that share a token, are not yet connected, and have
+bitmaps that similar sets can have.
 """
 
 from __future__ import annotations
 
 import hashlib
+import operator
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +33,7 @@ from siltworks.llm.words import Words, chunks, windows, words_of
 SHINGLE = 5
 PERCENT = 80  # links need 100 * intersection >= 80 * union
 CELLS = 1 << 20  # counters that order tokens by frequency: 4 MB, whatever the corpus
+BITS = 8  # longs of a set's parity bitmap
 _PIECES = 64
 _ORDERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))  # odd numbers: each product is an order
 
@@ -53,27 +57,36 @@ def set_class(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def parity_bits(tokens: np.ndarray) -> np.ndarray:
+    """512 bits, each whether an odd number of tokens hash to it: two sets differ in at least as many tokens as bits."""
+    places = np.bincount((tokens >> np.uint64(40)).astype(np.int64) % (64 * BITS), minlength=64 * BITS) & 1
+    return np.packbits(places.astype(np.uint8)).view(np.int64)
+
+
 def _sets_and_counts(texts: DataFrame, kind: str, k: int) -> DataFrame:
-    """Rows of documents (id, set size, class), and per task its token counters in compressed pieces."""
-    schema = f"doc_id {kind}, n long, cls long, piece int, counts binary"
+    """Rows of documents (id, set size, class, bitmap), and per task its token counters in compressed pieces."""
+    bits = [f"b{i}" for i in range(BITS)]
+    names = ["doc_id", "n", "cls", *bits, "piece", "counts"]
+    schema = f"doc_id {kind}, n long, cls long, {', '.join(f'{b} long' for b in bits)}, piece int, counts binary"
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(CELLS, dtype=np.uint32)
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
         for batch in batches:
             for part in chunks(batch, 1):
-                sizes, classes = [], []
+                sizes, classes, parities = [], [], []
                 for tokens in shingle_sets(words_of(part.column(1), lower=True), k):
                     sizes.append(len(tokens))
                     classes.append(set_class(tokens))
+                    parities.append(parity_bits(tokens))
                     np.add.at(counts, (tokens & np.uint64(CELLS - 1)).astype(np.int64), 1)
                 m = part.num_rows
-                columns = [part.column(0), pa.array(sizes, kinds[0]), pa.array(classes, kinds[1]), pa.nulls(m, kinds[2]), pa.nulls(m, kinds[3])]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "cls", "piece", "counts"])
+                maps = [pa.array(column.copy()) for column in np.stack(parities).T]
+                columns = [part.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), *maps, pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names)
         packed = [zlib.compress(x.tobytes(), 1) for x in np.split(counts, _PIECES)]
-        empty = [pa.nulls(_PIECES, t) for t in (id_type, kinds[0], kinds[1])]
-        columns = [*empty, pa.array(range(_PIECES), kinds[2]), pa.array(packed, kinds[3])]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "cls", "piece", "counts"])
+        empty = [pa.nulls(_PIECES, t) for t in (id_type, *[pa.int64()] * (BITS + 2))]
+        columns = [*empty, pa.array(range(_PIECES), pa.int32()), pa.array(packed, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names)
 
     id_type = arrow_type(texts, "doc_id")
     return arrow_map(texts, scan, schema)
@@ -132,15 +145,15 @@ def _prefix_tokens(texts: DataFrame, frequency: np.ndarray, k: int, percent: int
 
 
 class _Sets:
-    """Tokens of a text and their prefixes under the random orders; the last text is remembered."""
+    """Tokens of a document and their prefixes under the random orders; the last document is remembered."""
 
     def __init__(self, k: int, percent: int):
         self.k, self.percent, self.last = k, percent, (None, None)
 
-    def of(self, cls: int, text: str) -> tuple[np.ndarray, list[np.ndarray]]:
-        if self.last[0] != cls:
+    def of(self, doc_id: int, text: str) -> tuple[np.ndarray, list[np.ndarray]]:
+        if self.last[0] != doc_id:
             tokens = next(shingle_sets(words_of(pa.array([text], pa.large_string()), lower=True), self.k))
-            self.last = (cls, (tokens, self._prefixes(tokens)))
+            self.last = (doc_id, (tokens, self._prefixes(tokens)))
         return self.last[1]
 
     def _prefixes(self, tokens: np.ndarray) -> list[np.ndarray]:
@@ -156,7 +169,7 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` of classes that are similar; ``texts`` has a text for each class."""
+    """The pairs ``a, b`` that are similar; ``texts`` has the text of each ``doc_id``."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right = _Sets(k, percent), _Sets(k, percent)
@@ -170,8 +183,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
                         found.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["u", "v"])
 
-    with_b = pairs.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
-    both = with_b.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
+    with_b = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
+    both = with_b.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
     return arrow_map(both.select("a", "b", "text_a", "text_b"), check, "u long, v long")
 
 
@@ -187,85 +200,90 @@ def ngram_join(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> Dat
     lower-cased; a text of fewer words is one shingle; texts without words link with nothing).
 
     NULL and empty texts have no shingles and stand alone. Rows without an id take no part and have a NULL
-    component. Rows that repeat an id are the same document, whose texts are linked through it. An empty table
-    gives no rows.
+    component. Rows that repeat an id are judged each by its own text. An empty table gives no rows. Ids must be
+    whole numbers.
 
     Counters of all tokens, 4 MB at any size, are the only thing that goes through the driver. Prefix tokens of
     one class only are dropped in numpy buckets; what is left is joined by token with plain exchanges, which
     adaptive execution splits. Texts move only for classes that have a candidate.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    scanned = written(_sets_and_counts(texts, kind, k), "ngram-sets")
-    sets = scanned.filter("piece is null").select("doc_id", "n", "cls")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    scanned = written(_sets_and_counts(texts, "long", k), "ngram-sets")
+    sets = scanned.filter("piece is null")
     frequency = _total_counts(scanned.filter("piece is not null"))
+    # Each class is stood for by its smallest id.
+    bits = [F.min(f"b{i}").alias(f"b{i}") for i in range(BITS)]
+    reps = sets.filter("n > 0 and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), *bits)
+    reps = written(reps, "ngram-reps")
 
     named = texts.filter("doc_id is not null")
-    tokens = written(_prefix_tokens(named, frequency, k, percent).distinct(), "ngram-tokens")
-    tokens = tokens.select(F.col("k").alias("token"), F.col("owner").alias("cls"), F.col("extra").alias("n"))
-    pivots = tokens.groupBy("token").agg(F.min(F.struct("cls", "n")).alias("p"), F.max("cls").alias("last"))
-    pivots = pivots.filter("p.cls < last").select("token", F.col("p.cls").alias("a"), F.col("p.n").alias("n_a"))
-    pivots = written(pivots, "ngram-pivots")
-    tokens = written(tokens.join(pivots.select("token").hint("merge"), "token", "left_semi"), "ngram-shared")
-
-    reps = sets.filter("n > 0 and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-    wanted = reps.join(tokens.select("cls").distinct(), "cls", "left_semi")
-    # A repeated id may have several texts: the class picks the right one when its set is hashed again.
-    rep_texts = _with_class(named.join(wanted.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi"), k)
-    rep_texts = written(rep_texts, "ngram-texts")
-
-    first = tokens.join(pivots.hint("merge"), "token").filter((F.col("a") != F.col("cls")) & _fitting("n", "n_a", percent))
-    first = first.select("a", F.col("cls").alias("b")).distinct()
+    found = written(_prefix_tokens(named, frequency, k, percent), "ngram-tokens")
+    found = found.select(F.col("k").alias("token"), F.col("owner").alias("own"), F.col("extra").alias("n"))
+    tokens = written(
+        found.join(reps.select("cls", "doc_id").hint("merge"), F.col("own") == F.col("cls")).select("token", "doc_id", "n", "cls"), "ngram-members"
+    )
+    pivots = tokens.groupBy("token").agg(F.min(F.struct("doc_id", "n")).alias("p"), F.max("doc_id").alias("last"))
+    pivots = pivots.filter("p.doc_id < last").select(F.col("token").alias("of"), F.col("p.doc_id").alias("a"), F.col("p.n").alias("n_a"))
+    rep_texts = written(_rep_texts(named, tokens, k), "ngram-texts")
+
+    first = tokens.join(written(pivots, "ngram-pivots").hint("merge"), F.col("token") == F.col("of"))
+    first = first.filter((F.col("a") != F.col("doc_id")) & _fitting("n", "n_a", percent))
+    first = first.select("a", F.col("doc_id").alias("b")).distinct()
     links = written(_verified(first, rep_texts, k, percent), "ngram-links")
     stars = written(components(links), "ngram-stars")
 
-    rest = written(_unconnected(tokens, stars, percent), "ngram-pairs")
+    rest = _unconnected(tokens, stars, reps, percent)
     more = written(_verified(rest, rep_texts, k, percent), "ngram-links")
-    # Classes of one document id, for ids that come with several texts.
-    same = sets.filter("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("cls").alias("v"), F.max("cls").alias("last")).filter("v < last")
-    same = sets.filter("n > 0").join(same, "doc_id").filter("cls > v").select(F.col("cls").alias("u"), "v")
-    joined = stars.filter("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
-    groups = written(components(joined.unionAll(more).unionAll(same)), "ngram-groups")
-
-    # Smallest document id per group of classes, then back to the documents.
-    labelled = reps.join(groups, reps["cls"] == groups["node"], "left").select(
-        "cls", "doc_id", F.coalesce("component", "cls").alias("grp")
-    )
-    labelled = written(labelled, "ngram-labelled")
-    smallest = written(labelled.groupBy("grp").agg(F.min("doc_id").alias("component_id")), "ngram-smallest")
-    component = written(labelled.join(smallest.hint("merge"), "grp").select("cls", "component_id"), "ngram-components")
-    rows = sets.withColumnRenamed("cls", "own").join(component.hint("merge"), F.col("own") == F.col("cls"), "left")
-    label = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), label.alias("component_id"))
+    joined = components(stars.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(more))
 
+    rows = sets.select("doc_id", "n", F.col("cls").alias("own")).join(reps.select("cls", F.col("doc_id").alias("rep")).hint("merge"), F.col("own") == F.col("cls"), "left")
+    rows = rows.join(joined.hint("merge"), F.col("rep") == F.col("node"), "left")
+    label = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
+    kind = docs.schema["doc_id"].dataType
+    return rows.select(F.col("doc_id").cast(kind), F.col("n").alias("n_shingles"), label.cast(kind).alias("component_id"))
 
-def _with_class(texts: DataFrame, k: int) -> DataFrame:
-    """``cls, text``, one row per class and batch; classes are made distinct after it."""
+
+def _rep_texts(texts: DataFrame, tokens: DataFrame, k: int) -> DataFrame:
+    """``doc_id, text`` of the documents that stand for the tokens' classes. An id may have other texts as well."""
+    wanted = tokens.select(F.col("doc_id").alias("rep"), "cls").distinct()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, 0):
-                classes = [set_class(t) for t in shingle_sets(words_of(part.column(0), lower=True), k)]
-                yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), part.column(0)], ["cls", "text"])
+            for part in chunks(batch, 1):
+                classes = [set_class(t) for t in shingle_sets(words_of(part.column(1), lower=True), k)]
+                same = pa.array(np.array(classes, dtype=np.int64) == part.column(2).to_numpy())
+                yield part.filter(same).select([0, 1])
 
-    return arrow_map(texts.select("text"), scan, "cls long, text string").filter("cls <> 0")
+    found = texts.join(wanted.hint("merge"), F.col("doc_id") == F.col("rep")).select("doc_id", "text", "cls")
+    return arrow_map(found, scan, "doc_id long, text string")
 
 
-def _unconnected(tokens: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes that share a token and are in different components so far.
+def _unconnected(tokens: DataFrame, stars: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs of documents that share a token and are in different components so far.
 
-    A token whose classes are all connected gives none. Where most of a token's classes are in one component,
-    only the others are paired with them.
+    A token whose documents are all connected gives none. Where most of a token's documents are in one component,
+    only the others are paired with them. Sets whose bitmaps differ in more bits than similar sets may differ in
+    tokens are no pair, which leaves few pairs of a group of texts that are alike but not similar.
     """
-    member = tokens.join(stars.hint("merge"), tokens["cls"] == stars["node"], "left")
-    member = written(member.select("token", "cls", "n", F.coalesce("component", "cls").alias("comp")), "ngram-members")
+    member = tokens.join(stars.hint("merge"), F.col("doc_id") == F.col("node"), "left")
+    member = written(member.select("token", "doc_id", "n", "cls", F.coalesce("component", "doc_id").alias("comp")), "ngram-grouped")
     sizes = member.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("m"))
     major = sizes.groupBy("token").agg(F.max(F.struct("m", "comp")).alias("most"), F.count(F.lit(1)).alias("comps"))
-    major = written(major.filter("comps > 1").select("token", F.col("most.comp").alias("major")), "ngram-major")
-    mixed = written(member.join(major.hint("merge"), "token"), "ngram-mixed")
-    minor = mixed.filter("comp <> major").select("token", F.col("cls").alias("c1"), F.col("n").alias("n1"), F.col("comp").alias("comp1"))
-    pairs = mixed.join(minor.hint("merge"), "token").filter((F.col("comp") != F.col("comp1")) & _fitting("n", "n1", percent))
-    return pairs.select(F.least("cls", "c1").alias("a"), F.greatest("cls", "c1").alias("b")).distinct()
+    major = written(major.filter("comps > 1").select(F.col("token").alias("of"), F.col("most.comp").alias("major")), "ngram-major")
+    mixed = member.join(major.hint("merge"), F.col("token") == F.col("of")).drop("of")
+    maps = [f"b{i}" for i in range(BITS)]
+    mapped = reps.select(F.col("cls").alias("rep"), *maps)
+    mixed = written(mixed.join(mapped.hint("merge"), F.col("cls") == F.col("rep")).drop("rep", "cls"), "ngram-mixed")
+    minor = mixed.filter("comp <> major").select(
+        F.col("token").alias("of"), F.col("doc_id").alias("id1"), F.col("n").alias("n1"), F.col("comp").alias("comp1"),
+        *[F.col(b).alias(f"{b}_1") for b in maps],
+    )
+    unlike = reduce(operator.add, [F.bit_count(F.col(b).bitwiseXOR(F.col(f"{b}_1"))) for b in maps])
+    # Similar sets differ in at most (100 - percent) of (100 + percent) of their tokens taken together.
+    alike = unlike * (100 + percent) <= (F.col("n") + F.col("n1")) * (100 - percent)
+    pairs = mixed.join(minor.hint("merge"), F.col("token") == F.col("of"))
+    pairs = pairs.filter((F.col("comp") != F.col("comp1")) & _fitting("n", "n1", percent) & alike)
+    return pairs.select(F.least("doc_id", "id1").alias("a"), F.greatest("doc_id", "id1").alias("b")).distinct()
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
