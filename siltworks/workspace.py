@@ -15,31 +15,36 @@ from pyspark.sql import SparkSession
 A = TypeVar("A")
 B = TypeVar("B")
 
-_MADE: dict[str, list[str]] = {}
+_MADE: list[str] = []
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new, unused folder below the shared one that the cluster names in ``spark.checkpoint.dir``.
-
-    A temporary local folder is used only by a local session without the setting.
-    """
+def _scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.gettempdir()
-    folder = f"{root.rstrip('/')}/siltworks/{label}-{uuid.uuid4().hex}"
-    _MADE.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return f"{root.rstrip('/')}/siltworks"
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A new, unused folder below the shared one that the cluster names in ``spark.checkpoint.dir``.
+
+    A temporary local folder is used only by a local session without the setting.
+    """
+    folder = f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _MADE.append(folder)
     return folder
 
 
 def clear_scratch(spark: SparkSession) -> int:
-    """Remove the scratch folders that this application was given; their tables must have been read by then."""
-    folders = _MADE.pop(spark.sparkContext.applicationId, [])
+    """Remove the scratch folders that this process got for the session's storage; their tables must have been read."""
+    folders = [folder for folder in _MADE if folder.startswith(f"{_scratch_root(spark)}/")]
     make = spark._jvm.org.apache.hadoop.fs.Path
     for folder in folders:
         path = make(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _MADE.remove(folder)
     return len(folders)
 
 

@@ -138,7 +138,7 @@ def test_counts_of_an_empty_table(spark, tmp_path):
     contract = TableContract.of("t", "id", "id integer; name string")
     write_strings(spark.createDataFrame([], "id int, name string"), bronze_path(str(tmp_path), "t"))
     report = refine_table(spark, contract, str(tmp_path), str(tmp_path / "silver"), Rules(trim=("name",)), DAY)
-    assert [tuple(r) for r in report.collect()] == [("t", 0, 0, 0, 0, 0)]
+    assert [tuple(r) for r in report.collect()] == [("t", 0, 0, 0, 0, 0, 0, True, None)]
 
 
 def test_refine_writes_once_and_replaces(spark, tmp_path):

@@ -60,6 +60,7 @@ def test_counts_survive_rerun_tasks(tmp_path):
     kept = sum(v <= 1399 for v in smallest.values())
     assert counts == {
         "rows_read": 4000,
+        "malformed_rows": 0,
         "null_key_rows": 400,
         "duplicate_rows": len(keys) - len(smallest),
         "out_of_range_rows": len(smallest) - kept,
