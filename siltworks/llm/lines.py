@@ -92,6 +92,14 @@ class LineRuns:
         return copies
 
 
+def _between(low: object, high: object) -> Column:
+    """Ids above ``low`` and up to ``high``; without ``high`` also rows without an id."""
+    inside = F.lit(True) if low is None else F.col("doc_id") > F.lit(low)
+    if high is None:
+        return F.coalesce(inside, F.lit(True))
+    return F.coalesce(inside & (F.col("doc_id") <= F.lit(high)), F.lit(False))
+
+
 def dedup_lines(docs: DataFrame, batches: int = 4, fanout: int = 3, runs_path: str | None = None) -> DataFrame:
     """Drop each line whose key an earlier document holds; per row ``doc_id, n_lines, n_dropped, kept``.
 
@@ -112,13 +120,9 @@ def dedup_lines(docs: DataFrame, batches: int = 4, fanout: int = 3, runs_path: s
     steps = [i / batches for i in range(1, batches)] or [1.0]
     bounds = sorted(set(hashed.select(F.percentile_approx("doc_id", steps, 10_000)).first()[0] or []))
     copies = []
-    for i in range(len(bounds) + 1):
-        inside = F.lit(True) if not bounds else F.coalesce(F.col("doc_id") > F.lit(bounds[i - 1]), F.lit(i == len(bounds))) if i else F.lit(True)
-        if i < len(bounds):
-            inside = inside & F.coalesce(F.col("doc_id") <= F.lit(bounds[i]), F.lit(False))
-        keys = hashed.filter(inside).select("doc_id", F.explode("keys").alias("key"))
-        keys = keys.select("doc_id", "key.a", "key.b")
-        copies.append(runs.absorb(keys))
+    for low, high in zip([None, *bounds], [*bounds, None]):
+        keys = hashed.filter(_between(low, high)).select("doc_id", F.explode("keys").alias("key"))
+        copies.append(runs.absorb(keys.select("doc_id", "key.a", "key.b")))
     lost = reduce(DataFrame.unionByName, copies).groupBy("doc_id").agg(F.collect_set(F.struct("a", "b")).alias("lost"))
     lost = lost.withColumnRenamed("doc_id", "lost_id")
 
