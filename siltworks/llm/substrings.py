@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from siltworks.llm.shared_keys import PACKED, Entries, bucket_count, pack, shared_keys, unpack
 from siltworks.llm.tables import arrow_map, shuffle_width, written
-from siltworks.llm.words import chunks, windows, words_of
+from siltworks.llm.words import chunks, mix64, windows, words_of
 
 WINDOW = 20
 GRAM = 6
@@ -98,7 +98,8 @@ def regions(words: np.ndarray, places: np.ndarray, window: int, gram: int) -> li
 def _common_documents(marked: DataFrame, window: int, gram: int) -> DataFrame:
     """``doc_id, ref``: for every window that an earlier document (or the same) has, one document that has it.
 
-    Within a batch the first holder of a window stands for it; over batches the smallest holder does.
+    Within a batch the first holder of a window stands for it; over batches the smallest holder does. Pairs come
+    from many windows, so they travel packed by document and are made distinct there.
     """
     buckets = bucket_count(marked)
 
@@ -114,55 +115,68 @@ def _common_documents(marked: DataFrame, window: int, gram: int) -> DataFrame:
                     owners.append(np.full(j - window + 1 - i, ids[row], dtype=np.int64))
             if not keys:
                 continue
-            key, owner = np.concatenate(keys), np.concatenate(owners)
-            order = np.lexsort((owner, key))
-            key, owner = key[order], owner[order]
-            new = np.ones(len(key), dtype=bool)
-            new[1:] = key[1:] != key[:-1]
-            holder = owner[np.flatnonzero(new)[np.cumsum(new) - 1]]
-            yield _pairs(owner[~new], holder[~new])
+            key, new, owner, holder = _held(np.concatenate(keys), np.concatenate(owners))
+            yield _packed_pairs(owner[~new], holder[~new], buckets)
             firsts = key[new], owner[new], np.zeros(int(new.sum()), dtype=np.int32)
             yield pack(firsts, buckets)
 
-    def _pairs(doc: np.ndarray, ref: np.ndarray) -> pa.RecordBatch:
-        both = np.unique(np.stack((doc, ref), axis=1), axis=0) if len(doc) else np.zeros((0, 2), dtype=np.int64)
-        bucket = both[:, 0] % buckets
-        row = pa.RecordBatch.from_pylist(
-            [
-                {"bucket": int(b), "k": both[bucket == b, 1].tobytes(), "owner": both[bucket == b, 0].tobytes(), "extra": b"", "known": True}
-                for b in np.unique(bucket)
-            ],
-            schema=pa.schema([("bucket", pa.int32()), ("k", pa.binary()), ("owner", pa.binary()), ("extra", pa.binary()), ("known", pa.bool_())]),
-        )
-        return row
-
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(doc: np.ndarray, ref: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(ref)], ["doc_id", "ref"])
-
         keys, owners = [], []
         for batch in batches:
             known = batch.column(4).to_numpy(zero_copy_only=False)
-            passing = batch.filter(pa.array(known))
-            yield out(unpack(passing.column(2), np.int64), unpack(passing.column(1), np.int64))
+            if known.any():
+                yield batch.filter(pa.array(known))
             held = batch.filter(pa.array(~known))
             keys.append(unpack(held.column(1), np.uint64))
             owners.append(unpack(held.column(2), np.int64))
         if not keys:
             return
-        key, owner = np.concatenate(keys), np.concatenate(owners)
-        order = np.lexsort((owner, key))
-        key, owner = key[order], owner[order]
-        new = np.ones(len(key), dtype=bool)
-        new[1:] = key[1:] != key[:-1]
-        if len(key):
-            holder = owner[np.flatnonzero(new)[np.cumsum(new) - 1]]
-            both = np.unique(np.stack((owner[~new], holder[~new]), axis=1), axis=0)
-            yield out(both[:, 0].copy(), both[:, 1].copy())
+        new, owner, holder = _held(np.concatenate(keys), np.concatenate(owners))[1:]
+        yield _packed_pairs(owner[~new], holder[~new], buckets)
 
     width = shuffle_width(marked.sparkSession)
-    dealt = arrow_map(marked, scan, PACKED).repartition(width, "bucket")
-    return arrow_map(dealt, reduce, "doc_id long, ref long").distinct()
+    found = arrow_map(arrow_map(marked, scan, PACKED).repartition(width, "bucket"), reduce, PACKED)
+    return arrow_map(found.repartition(width, "bucket"), _distinct_pairs, "doc_id long, ref long")
+
+
+def _held(key: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys in order, whether each is the first of its kind, its owner, and the smallest owner of its kind."""
+    order = np.lexsort((owner, key))
+    key, owner = key[order], owner[order]
+    new = np.ones(len(key), dtype=bool)
+    new[1:] = key[1:] != key[:-1]
+    return key, new, owner, owner[np.flatnonzero(new)[np.cumsum(new) - 1]]
+
+
+def _distinct(doc: np.ndarray, ref: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((ref, doc))
+    doc, ref = doc[order], ref[order]
+    new = np.ones(len(doc), dtype=bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (ref[1:] != ref[:-1])
+    return doc[new], ref[new]
+
+
+def _packed_pairs(doc: np.ndarray, ref: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Distinct pairs as rows of ``PACKED``, one per bucket of the document, marked as known."""
+    doc, ref = _distinct(doc, ref)
+    bucket = (mix64(doc.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    own, begins = np.unique(bucket[order], return_index=True)
+    parts = [order[i:j] for i, j in zip(begins, [*begins[1:], len(order)])]
+    columns = [
+        pa.array(own, pa.int32()), pa.array([ref[p].tobytes() for p in parts], pa.binary()),
+        pa.array([doc[p].tobytes() for p in parts], pa.binary()), pa.array([b""] * len(parts), pa.binary()),
+        pa.array([True] * len(parts), pa.bool_()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["bucket", "k", "owner", "extra", "known"])
+
+
+def _distinct_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    doc = ref = np.zeros(0, dtype=np.int64)
+    for batch in batches:
+        refs, docs = unpack(batch.column(1), np.int64), unpack(batch.column(2), np.int64)
+        doc, ref = _distinct(np.concatenate((doc, docs)), np.concatenate((ref, refs)))
+    yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(ref)], ["doc_id", "ref"])
 
 
 class SuffixAutomaton:
