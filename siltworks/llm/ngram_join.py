@@ -27,7 +27,7 @@ from pyspark.sql.window import Window
 
 from siltworks.llm.components import components
 from siltworks.llm.shared_keys import Entries, shared_keys
-from siltworks.llm.tables import arrow_map, arrow_type, shuffle_width, written
+from siltworks.llm.tables import arrow_map, arrow_type, release_shuffles, shuffle_width, written
 from siltworks.llm.words import Words, chunks, windows, words_of
 
 SHINGLE = 5
@@ -217,19 +217,22 @@ def ngram_join(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> Dat
     reps = written(reps, "ngram-reps")
 
     named = texts.filter("doc_id is not null")
-    found = written(_prefix_tokens(named, frequency, k, percent), "ngram-tokens")
+    found = _prefix_tokens(named, frequency, k, percent)
     found = found.select(F.col("k").alias("token"), F.col("owner").alias("own"), F.col("extra").alias("n"))
     tokens = written(
         found.join(reps.select("cls", "doc_id").hint("merge"), F.col("own") == F.col("cls")).select("token", "doc_id", "n", "cls"), "ngram-members"
     )
+    release_shuffles(docs.sparkSession)
     pivots = tokens.groupBy("token").agg(F.min(F.struct("doc_id", "n")).alias("p"), F.max("doc_id").alias("last"))
     pivots = pivots.filter("p.doc_id < last").select(F.col("token").alias("of"), F.col("p.doc_id").alias("a"), F.col("p.n").alias("n_a"))
     rep_texts = written(_rep_texts(named, tokens, k), "ngram-texts")
 
+    release_shuffles(docs.sparkSession)
     first = tokens.join(written(pivots, "ngram-pivots").hint("merge"), F.col("token") == F.col("of"))
     first = first.filter((F.col("a") != F.col("doc_id")) & _fitting("n", "n_a", percent))
     first = first.select("a", F.col("doc_id").alias("b")).distinct()
     links = written(_verified(first, rep_texts, k, percent), "ngram-links")
+    release_shuffles(docs.sparkSession)
     stars = written(components(links), "ngram-stars")
 
     rest = _unconnected(tokens, stars, reps, percent)

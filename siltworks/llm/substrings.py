@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltworks.llm.shared_keys import PACKED, Entries, bucket_count, pack, shared_keys, unpack
-from siltworks.llm.tables import arrow_map, shuffle_width, written
+from siltworks.llm.tables import arrow_map, release_shuffles, shuffle_width, written
 from siltworks.llm.words import chunks, mix64, windows, words_of
 
 WINDOW = 20
@@ -326,7 +326,9 @@ def repeated_spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM, pie
     marked = written(_repeated_grams(texts, window, gram), "sub-marked")
     held = texts.join(marked.hint("merge"), F.col("doc_id") == F.col("marked")).select("doc_id", "text", "places")
     held = written(held, "sub-texts")
+    release_shuffles(texts.sparkSession)
     pairs = written(_common_documents(held, window, gram), "sub-pairs")
+    release_shuffles(texts.sparkSession)
     pieces = written(_as_regions(held, window, gram, piece), "sub-regions")
 
     # A shard that very many documents share is given to several tasks, each with a part of the documents.
@@ -346,7 +348,9 @@ def repeated_spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM, pie
     width = shuffle_width(texts.sparkSession)
     routed = references.unionAll(streaming).repartition(width, "ref", "piece", "part")
     spans = _streamed(routed.sortWithinPartitions("ref", "piece", "part", "kind"), window)
-    return written(spans, "sub-spans").groupBy("removed").agg(F.collect_list("spans").alias("spans"))
+    spans = written(spans, "sub-spans")
+    release_shuffles(texts.sparkSession)
+    return spans.groupBy("removed").agg(F.collect_list("spans").alias("spans"))
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:

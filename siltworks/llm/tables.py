@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -26,6 +27,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans whose results are written, instead of when memory runs short.
+
+    Spark drops a shuffle once nothing refers to its plan any more, which a driver with memory to spare finds out late.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """The session's number of shuffle partitions, which its owner sizes to the data."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
