@@ -110,19 +110,25 @@ def fit_ordinal(
     Thresholds are a first one and the logarithms of the gaps between them, so that they stay in order. Features
     of under ``least_texts`` texts keep the weight 0. The same rows give the same model.
     """
-    lengths = np.array([len(r) for r in rows])
-    flat = np.concatenate(rows) if len(rows) else np.zeros(0, dtype=np.int32)
-    used = np.flatnonzero(np.bincount(flat, minlength=DIMENSIONS) >= least_texts)
-    place = np.full(DIMENSIONS, len(used))
-    place[used] = np.arange(len(used))
-    columns, owner = place[flat], np.repeat(np.arange(len(rows)), lengths)
-    inside = columns < len(used)
-    columns, owner = columns[inside], owner[inside]
+    texts_with = np.zeros(DIMENSIONS, dtype=np.int64)
+    for row in rows:
+        texts_with[row] += 1
+    used = np.flatnonzero(texts_with >= least_texts)
+    place = np.full(DIMENSIONS, -1, dtype=np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    # Blocks of rows keep the sums over features small next to the features themselves.
+    blocks = []
+    for at in range(0, len(rows), 2048):
+        columns = [place[row] for row in rows[at : at + 2048]]
+        columns = [c[c >= 0] for c in columns]
+        blocks.append((at, np.concatenate(columns), np.array([len(c) for c in columns])))
     weights, theta = np.zeros(len(used)), np.concatenate(([-0.5], np.zeros(n_grades - 2)))
     moments = [[np.zeros_like(x), np.zeros_like(x)] for x in (weights, theta)]
     for step in range(1, rounds + 1):
         cuts = theta[0] + np.concatenate(([0.0], np.cumsum(np.exp(theta[1:]))))
-        scores = np.bincount(owner, weights[columns], len(rows))
+        scores = np.concatenate(
+            [np.bincount(np.repeat(np.arange(len(n)), n), weights[columns], len(n)) for _, columns, n in blocks]
+        )
         above = 1 / (1 + np.exp(np.clip(cuts[None, :] - scores[:, None], -60, 60)))
         padded = np.hstack((np.ones((len(rows), 1)), above, np.zeros((len(rows), 1))))
         at = np.arange(len(rows))
@@ -136,8 +142,11 @@ def fit_ordinal(
         d_cuts[at, grades + 1] += fall / chance
         d_cut = d_cuts.sum(axis=0)[1:-1]
         d_theta = np.concatenate(([d_cut.sum()], np.exp(theta[1:]) * np.cumsum(d_cut[::-1])[::-1][1:]))
+        d_weights = np.zeros(len(used))
+        for first, columns, n in blocks:
+            d_weights += np.bincount(columns, np.repeat(d_score[first : first + len(n)], n), len(used))
         slopes = (
-            np.bincount(columns, d_score[owner], len(used)) / len(rows) - penalty * weights,
+            d_weights / len(rows) - penalty * weights,
             d_theta / len(rows),
         )
         for values, slope, moment in zip((weights, theta), slopes, moments):
