@@ -2,14 +2,21 @@
 
 The patterns find e-mail addresses, IPv4 addresses, card numbers and telephone numbers in their plain forms. The field
 looks at the shapes of words and their neighbours, learns from a small labelled table, and is decoded by Viterbi for
-all stretches of a batch at once. Its spans are added where no pattern's span is, if their digits are valid.
+all stretches of a batch at once. Its spans are added where no pattern's span is, if they are ``likely``: right numbers
+and a form that may be looser than the patterns'.
 
-The field reads only stretches of words around one with a digit or an ``@``: without either there is no personal
-data of these kinds.
+The labelled table has two parts: a sample of the corpus with the patterns' spans (``labelled_table``), and examples
+made in code of the forms the patterns miss, with look-alikes that are none (``examples``). Stretches of the sample
+that have such a form stay out of it, so that what the patterns miss is not taught to be nothing.
+
+The field reads only stretches of words around one with a digit, an ``@`` or an "at" or "dot" in place of a sign, such
+as ``jane (at) example.com`` or ``jane at example dot com``: without these there is no personal data of these kinds.
+An "at" without brackets counts only before a domain with "dot", as "look at example.com" is plain speech.
 """
 
 from __future__ import annotations
 
+import random
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -37,6 +44,16 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TRIGGER = re.compile(r"[0-9@]")
+_BRACKETED = r"[\[({<][\x20\t]?(?:at|dot)[\x20\t]?[\])}>]"
+_SPOKEN = r"(?:\bat[\x20\t]+|@[\x20\t]*)[a-z0-9-]+(?:[\x20\t]+dot[\x20\t]+[a-z0-9-]+)+"
+_NEAR = re.compile(rf"{_SPOKEN}|{_BRACKETED}|[0-9@]+", re.IGNORECASE | re.ASCII)
+_AT = re.compile(r"\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*|\s*@\s*", re.IGNORECASE)
+_DOT = re.compile(r"\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*|\s+(?:dot|\.)\s+", re.IGNORECASE)
+_BARE_AT = re.compile(r"\s+at\s+(?=\S+\s+dot\s)", re.IGNORECASE)
+_LOOSE_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}")
+_LOOSE_CARD = re.compile(r"[0-9](?:[\s._/\u2013\u2014-]{0,3}[0-9])+")
+_LOOSE_PHONE = re.compile(r"(?=.*[^0-9])\+?\(?[0-9][0-9().\s/\u2013-]*[0-9]", re.DOTALL)
+_MARKS = frozenset(("at", "(at)", "dot", "(dot)"))
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
 Span = tuple[int, int, int]  # start, number of the kind, end
@@ -61,6 +78,20 @@ def valid(kind: str, text: str) -> bool:
     return 12 <= len(digits) <= 19 and luhn(digits) if kind == "card" else 9 <= len(digits) <= 15
 
 
+def likely(kind: str, text: str) -> bool:
+    """Whether a span of the field can be of the kind: valid, or in a looser form with the right numbers in it.
+
+    Signs of e-mail and IP addresses may be in brackets or in words or have blanks around them. For cards and telephone
+    numbers ``valid`` looks at the digits only, so any separators will do, and no ``+`` is needed.
+    """
+    if valid(kind, text):
+        return True
+    if kind == "email":
+        plain = _DOT.sub(".", _AT.sub("@", _BARE_AT.sub("@", text)))
+        return _LOOSE_EMAIL.fullmatch(plain) is not None
+    return kind == "ip" and valid(kind, _DOT.sub(".", text))
+
+
 def _email_at(text: str, at: int, first: int) -> tuple[int, int] | None:
     """The address around an ``@``, not beginning before ``first``."""
     start = at
@@ -88,15 +119,18 @@ def pattern_spans(text: str) -> list[Span]:
 
 
 def stretches(text: str) -> list[list[tuple[int, int]]]:
-    """Words (start, end) near a word with a digit or an ``@``, in runs."""
-    if not _TRIGGER.search(text):
+    """Words (start, end) near a word with a digit, an ``@`` or what stands for a sign, in runs."""
+    marks = [m.span() for m in _NEAR.finditer(text)]
+    if not marks:
         return []
     words = [m.span() for m in _WORD.finditer(text)]
+    starts, ends = np.array(words, dtype=np.int64).T
+    begin, end = np.array(marks, dtype=np.int64).T
+    first = np.searchsorted(ends, begin, "right")
+    after = np.searchsorted(starts, end, "left")
     near = np.zeros(len(words) + 2 * AROUND + 1, dtype=np.int64)
-    for i, (start, end) in enumerate(words):
-        if _TRIGGER.search(text, start, end):
-            near[i] += 1
-            near[i + 2 * AROUND + 1] -= 1
+    np.add.at(near, first, 1)
+    np.add.at(near, after + 2 * AROUND, -1)
     inside = np.cumsum(near)[AROUND : AROUND + len(words)] > 0
     edges = np.flatnonzero(np.diff(np.concatenate(([0], inside, [0]))))
     return [words[i:j] for i, j in zip(edges[::2], edges[1::2])]
@@ -112,10 +146,23 @@ def core(text: str, start: int, end: int) -> tuple[int, int]:
 
 
 _RUNS = re.compile(r"([0-9]+)|([A-Z]+)|([a-z]+)|([^\x00-\x7F]+)")
+_INNER_AT = re.compile(r"[\[({<]at[\])}>]", re.IGNORECASE)
+_INNER_DOT = re.compile(r"[\[({<](?:dot|\.)[\])}>]", re.IGNORECASE)
+_NAME = re.compile(r"[aA9U._%+-]*[aAU][aA9U._%+-]*")
+
+
+def coarse(word: str, plain: str) -> str:
+    """The shape with names of any make as one sign, and signs in brackets as two others."""
+    if "[" in plain or "(" in plain or "{" in plain or "<" in plain:
+        if plain not in _MARKS:
+            plain = _RUNS.sub(lambda m: "9AaU"[m.lastindex - 1], _INNER_DOT.sub("\x01", _INNER_AT.sub("\x02", word)))
+    return plain if plain in _MARKS else _NAME.sub("L", plain)
 
 
 def shape(word: str) -> tuple[str, str]:
-    """The word with runs of digits and letters as one sign, without and with their lengths."""
+    """The word with runs of digits and letters as one sign, without and with their lengths; "at" and "dot" as they are."""
+    if len(word) <= 5 and word.lower() in _MARKS:
+        return word.lower(), word.lower()
 
     def sign(m: re.Match) -> str:
         return "9AaU"[m.lastindex - 1]
@@ -124,14 +171,16 @@ def shape(word: str) -> tuple[str, str]:
 
 
 def observations(words: Sequence[str]) -> np.ndarray:
-    """Per word the numbers of its features: its shapes, its length and its neighbours' shapes."""
+    """Per word the numbers of its features: its shapes, its length and its neighbours' shapes, and coarser shapes."""
     plain, exact = zip(*map(shape, words))
+    rough = ("<", *map(coarse, words, plain), ">")
     plain = ("<", "<", *plain, ">", ">")
     rows = []
     for i, word in enumerate(words):
         named = (
             f"p{plain[i + 2]}", f"e{exact[i]}", f"b{plain[i + 1]}|{plain[i + 2]}", f"n{plain[i + 2]}|{plain[i + 3]}",
             f"bb{plain[i]}|{plain[i + 1]}", f"l{min(len(word), 24)}|{plain[i + 2][:1]}",
+            f"c{rough[i + 1]}", f"t{rough[i]}|{rough[i + 1]}|{rough[i + 2]}",
         )
         rows.append([xxhash.xxh64_intdigest(x) % DIMENSIONS for x in named])
     return np.array(rows, dtype=np.int64)
@@ -250,10 +299,110 @@ def _tags_of(text: str, words: Sequence[tuple[int, int]], spans: Sequence[Span])
     return tags
 
 
+def _missed(text: str, words: Sequence[tuple[int, int]], spans: Sequence[Span], most: int = 9) -> bool:
+    """Whether up to ``most`` words have a likely form that no span overlaps."""
+    cores = [core(text, *w) for w in words]
+    for i, (start, _) in enumerate(cores):
+        for _, end in cores[i : i + most]:
+            if any(s[0] < end and start < s[2] for s in spans):
+                break
+            for kind in range(len(KINDS)):
+                a, _, b = _bare(text, (start, kind, end))
+                part = text[a:b]
+                loose = _LOOSE_CARD if kind == 2 else _LOOSE_PHONE if kind == 3 else None
+                if likely(KINDS[kind], part) and (loose is None or loose.fullmatch(part)):
+                    return True
+    return False
+
+
+def _forms(r: random.Random) -> list[tuple[int, str]]:
+    """One span of each form that the patterns miss, with its kind."""
+
+    def word(least: int, most: int) -> str:
+        made = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(least, most)))
+        return made.capitalize() if r.random() < 0.15 else made
+
+    def name() -> str:
+        return r.choice(("{}", "{}", "{}", "{}.{}", "{}_{}", "{}{n}", "{}.{}{n}", "{}-{}")).format(word(1, 9), word(2, 9), n=r.randint(1, 99))
+
+    def host() -> str:
+        return r.choice(("{}", "{}", "{}", "{}-{}", "{}{n}")).format(word(2, 10), word(2, 8), n=r.randint(1, 99))
+
+    ends = ("com", "org", "net", "de", "co.uk", "example.com", "edu", "io")
+    out: list[tuple[int, str]] = []
+    for at in (" (at) ", " [at] ", "(at)", "[at]", " @ ", "@ ", " @", " @", " (AT) ", " ( at ) ", "{at}", " {at} "):
+        out.append((0, f"{name()}{at}{host()}.{r.choice(ends)}"))
+    for at, dot in ((" (at) ", " (dot) "), (" [at] ", " [dot] "), ("(at)", "(dot)"), ("[at]", "[dot]"), (" at ", " dot "), (" at ", " dot "), (" AT ", " DOT "), ("@", "[.]"), ("@", " dot "), ("@", " (dot) "), (" @ ", " dot ")):
+        out.append((0, f"{name()}{at}{host()}{dot}{r.choice(ends).replace('.', dot)}"))
+    parts = [str(r.choice((r.randint(0, 9), r.randint(10, 99), r.randint(100, 255)))) for _ in range(4)]
+    for dot in ("[.]", "(.)", " . ", "[dot]", "(dot)", " [dot] ", " (dot) ", " dot ", " [.] "):
+        out.append((1, dot.join(parts)))
+    out += [(1, f"{'.'.join(parts[:3])}[.]{parts[3]}"), (1, f"{parts[0]}[.]{'.'.join(parts[1:])}")]
+    for sep in (".", "/", "_", " - ", "  ", "\u2013", " / ", "--"):
+        for sizes in ((4, 4, 4, 4), (4, 6, 5)):
+            digits = "".join(str(r.randint(1, 9)) for _ in range(sum(sizes) - 1))
+            digits += next(d for d in "0123456789" if luhn(digits + d))
+            cut = [sum(sizes[:i]) for i in range(len(sizes))]
+            out.append((2, sep.join(digits[c : c + n] for c, n in zip(cut, sizes))))
+
+    def number(form: str) -> str:
+        return "".join(str(r.randint(1, 9)) if c == "9" else c for c in form)
+
+    for form in (
+        "999-999-9999", "999.999.9999", "999 999 9999", "(999) 999-9999", "(999)999-9999", "1-999-999-9999", "1 (999) 999-9999",
+        "999/999-9999", "0099 99 9999999", "00 99 99 9999 9999", "099/9999999", "0999 9999999", "099 9999 9999", "09 99 99 99 99",
+        "(099) 9999 9999", "+99/99/9999999", "0999-999999", "999\u2013999\u20139999",
+    ):
+        out.append((3, number(form)))
+    return out
+
+
+def _look_alikes(r: random.Random) -> list[str]:
+    """Words with digits, ``@``, "at" or "dot" that are no personal data."""
+    n = r.randint
+    digits = "".join(str(n(0, 9)) for _ in range(n(5, 19)))
+    return [
+        f"{n(1900, 2099)}-{n(1, 12):02}-{n(1, 28):02}", f"{n(1, 28):02}.{n(1, 12):02}.{n(1900, 2099)}", f"{n(1, 12)}/{n(1, 28)}/{n(1900, 2099)}",
+        f"{n(1900, 2099)}-{n(1, 12):02}-{n(1, 28):02} {n(0, 23):02}:{n(0, 59):02}:{n(0, 59):02}", f"{n(1900, 2020)}-{n(1900, 2099)}",
+        f"{n(0, 9)}.{n(0, 99)}", f"{n(0, 9)}.{n(0, 9)}.{n(0, 99)}", f"{n(1, 999)},{n(100, 999)},{n(100, 999)}.{n(10, 99)}", digits, f"{n(1, 99)}.", f"{n(1, 99)}",
+        f"978-{n(0, 9)}-{n(10, 99)}-{n(100000, 999999)}-{n(0, 9)}", f"{n(100, 999)}-{n(10, 99)}-{n(1000, 9999)}", f"{n(1, 99)} {n(100, 999)} {n(100, 999)}",
+        " ".join(str(n(0, 10 ** n(1, 5))) for _ in range(n(5, 9))), f"pp. {n(1, 999)}-{n(1000, 1999)}", f"1. {n(2, 9)}. {n(3, 9)}. {n(4, 9)}",
+        f"{n(1, 99)} @ {n(1, 99)}.{n(10, 99)}", f"@{r.choice(('jane', 'news', 'acme2'))}", f"at {n(1, 12)}:{n(10, 59)}", f"(at) {r.choice(('noon', 'home', 'least'))}",
+        f"dot {n(1, 9)}", f"at the dot on page {n(1, 99)}", f"({n(1900, 2099)})", f"{n(10, 99)}%", f"{n(0, 2**128):032x}", f"{n(0, 2**32):08x}-{n(0, 2**16):04x}",
+        f"x{n(1, 99)}_{n(1, 99)}", f"${n(1, 999)}.{n(10, 99)}", f"RFC-{n(100, 9999)}",
+    ]
+
+
+def example_texts(seed: int = 1, rounds: int = 24) -> list[tuple[str, list[Span]]]:
+    """Texts with the forms that the patterns miss and their spans, and texts with look-alikes and none."""
+    r = random.Random(seed)
+    plain = ("so", "the", "Call", "write", "of", "and", "now", "reach", "us", "Mail", "token", "then", "from", "Words", "is", "are", "order", "in", "to", "h\u00e9", "lo")
+    signs = ("", "", "", "", ",", ".", ":")
+    out = []
+    for _ in range(rounds):
+        for kind, form in [*_forms(r), *((-1, x) for x in _look_alikes(r))]:
+            ahead = " ".join(r.choice(plain) for _ in range(r.randint(0, 3)))
+            ahead += (r.choice(("", "", ":")) + " ") if ahead else ""
+            text = f"{ahead}{form}{r.choice(signs)} {' '.join(r.choice(plain) for _ in range(r.randint(0, 3)))}"
+            out.append((text, [(len(ahead), kind, len(ahead) + len(form))] if kind >= 0 else []))
+    return out
+
+
+def examples() -> list[tuple[list[str], list[str]]]:
+    """``words, tags`` of the example texts' stretches, the same at every call."""
+    out = []
+    for text, spans in example_texts():
+        for words in stretches(text):
+            cores = [core(text, *w) for w in words]
+            out.append(([text[i:j] for i, j in cores], _tags_of(text, words, spans or pattern_spans(text))))
+    return out
+
+
 def labelled_table(docs: DataFrame, most: int = SAMPLE) -> DataFrame:
     """``words, tags`` of stretches in at most ``most`` documents that have any, chosen by hash of their ids.
 
     The patterns' spans are the labels, so the table needs no hand; a table labelled by hand has the same form.
+    Stretches with a likely form that the patterns miss are left out.
     """
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter(F.col("text").rlike("[0-9@]"))
     chosen = texts.select(F.col("doc_id").alias("chosen")).distinct().orderBy(F.xxhash64("chosen"), "chosen").limit(most)
@@ -264,6 +413,8 @@ def labelled_table(docs: DataFrame, most: int = SAMPLE) -> DataFrame:
             for text in batch.column(0).to_pylist():
                 spans = pattern_spans(text)
                 for words in stretches(text):
+                    if _missed(text, words, spans):
+                        continue
                     cores = [core(text, *w) for w in words]
                     rows.append(([text[i:j] for i, j in cores], _tags_of(text, words, spans)))
             kind = pa.list_(pa.string())
@@ -274,13 +425,17 @@ def labelled_table(docs: DataFrame, most: int = SAMPLE) -> DataFrame:
     return arrow_map(sample, scan, "words array<string>, tags array<string>")
 
 
-def train(labelled: DataFrame, most: int = 50_000) -> Field | None:
-    """Fit on a small labelled table, at most ``most`` stretches; None if it is empty. Equal tables give equal fields."""
+def train(labelled: DataFrame, most: int = 50_000, more: Sequence[tuple[list[str], list[str]]] = ()) -> Field | None:
+    """Fit on a small labelled table, at most ``most`` stretches, and on ``more``; None if both are empty.
+
+    Equal tables give equal fields.
+    """
     rows = labelled.filter(F.size("words") > 0).orderBy(F.xxhash64("words"), "words", "tags").limit(most).collect()
     number = {tag: i for i, tag in enumerate(TAGS)}
-    if not rows:
+    table = [*((r["words"], r["tags"]) for r in rows), *more]
+    if not table:
         return None
-    return fit_field([observations(r["words"]) for r in rows], [np.array([number[t] for t in r["tags"]]) for r in rows])
+    return fit_field([observations(words) for words, _ in table], [np.array([number[t] for t in tags]) for _, tags in table])
 
 
 def field_spans(field: Field, texts: Sequence[str]) -> list[list[Span]]:
@@ -309,11 +464,20 @@ def field_spans(field: Field, texts: Sequence[str]) -> list[list[Span]]:
     return [sorted(tuple(s) for s in own) for own in spans]
 
 
+def _bare(text: str, span: Span) -> Span:
+    """An address without round brackets around it, which a word's core keeps for the sake of numbers."""
+    start, kind, end = span
+    if kind < 2:
+        start += start < end and text[start] == "("
+        end -= start < end and text[end - 1] == ")"
+    return start, kind, end
+
+
 def merged(text: str, base: Sequence[Span], seen: Sequence[Span]) -> list[Span]:
-    """The base spans and those of the field that are valid and overlap none taken before."""
+    """The base spans and those of the field that are likely and overlap none taken before."""
     out = list(base)
-    for span in seen:
-        if valid(KINDS[span[1]], text[span[0] : span[2]]) and all(span[2] <= s[0] or s[2] <= span[0] for s in out):
+    for span in (_bare(text, s) for s in seen):
+        if likely(KINDS[span[1]], text[span[0] : span[2]]) and all(span[2] <= s[0] or s[2] <= span[0] for s in out):
             out.append(span)
     return sorted(out)
 

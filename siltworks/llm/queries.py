@@ -59,7 +59,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    found = personal.find_personal(docs, personal.train(personal.labelled_table(docs)))
+    found = personal.find_personal(docs, personal.train(personal.labelled_table(docs), more=personal.examples()))
     counts = [f"n_{kind}" for kind in personal.KINDS]
     return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
 

@@ -411,6 +411,27 @@ def test_personal_data_of_odd_rows(spark):
     assert personal.find_personal(empty, None).collect() == []
 
 
+def test_field_adds_forms_of_each_kind(spark):
+    """By the registered query's way of training; values and neighbours are not those of the examples."""
+    forms = [
+        ("email", "jane (at) example.com"), ("email", "tom.ray [at] firm.org"), ("email", "jane @ example.com"),
+        ("email", "liz(at)firm(dot)net"), ("email", "ann at school dot edu"), ("ip", "10[.]20[.]30[.]40"),
+        ("ip", "192 dot 168 dot 7 dot 21"), ("card", "4387.5130.3523.7269"), ("card", "4387/5130/3523/7269"),
+        ("phone", "555-123-4567"), ("phone", "(269) 555-3296"), ("phone", "0049 30 1234567"),
+    ]
+    none = ["look at example.com for", "version 2.0.1 of 2021-03-04", "id 2123465659789240 here", "see you (at) noon", "3 @ 4.50 each", "a 123-45-6789 b"]
+    rows = [(i, f"please use {form} for this", "en", "s", 0) for i, (_, form) in enumerate(forms)]
+    rows += [(100 + i, text, "en", "s", 0) for i, text in enumerate(none)]
+    for corpus in (_people(random.Random(3), 100), rows, []):
+        df = spark.createDataFrame(corpus, corpora.DOCS)
+        field = personal.train(personal.labelled_table(df), more=personal.examples())
+        found = {r["doc_id"]: r for r in personal.find_personal(corpora.table(spark, rows), field).collect()}
+        assert all(r["base"] == "" for r in found.values())
+        for i, (kind, form) in enumerate(forms):
+            assert found[i]["spans"] == f"{kind}:11:{11 + len(form)}", form
+        assert [found[100 + i]["spans"] for i in range(len(none))] == [""] * len(none)
+
+
 # ---- quality ---------------------------------------------------------------------------------------
 
 
