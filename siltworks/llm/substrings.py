@@ -89,7 +89,7 @@ def regions(words: np.ndarray, places: np.ndarray, window: int, gram: int) -> li
     if len(words) < window:
         return []
     marked = np.zeros(len(words), dtype=bool)
-    marked[places] = True
+    marked[places[places < len(words)]] = True  # places are of all texts of the id
     open_ = marked[minimizers(windows(words, gram), window - gram + 1)]
     edges = np.flatnonzero(np.diff(np.concatenate(([False], open_, [False])).astype(np.int8)))
     return [(int(i), int(j) + window - 1) for i, j in zip(edges[::2], edges[1::2])]
@@ -234,7 +234,7 @@ class SuffixAutomaton:
 
 
 def _as_regions(marked: DataFrame, window: int, gram: int, piece: int) -> DataFrame:
-    """Per document and piece of at most ``piece`` words: starts of its regions, and the regions' words.
+    """Per document, text of it (by hash, ``own``) and piece of at most ``piece`` words: starts of its regions, and the regions' words.
 
     Regions are cut with an overlap of a window less one word, so that each window is in a piece.
     """
@@ -255,17 +255,18 @@ def _as_regions(marked: DataFrame, window: int, gram: int, piece: int) -> DataFr
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, places = batch.column(0).to_pylist(), batch.column(2)
+            ids, places, owns = batch.column(0).to_pylist(), batch.column(2), batch.column(3).to_pylist()
             rows = []
             for row, words in _documents(batch, 1):
                 for number, part in enumerate(cut(regions(words, np.asarray(places[row].values), window, gram))):
                     starts = np.array([x for i, j in part for x in (i, j - i)], dtype=np.int64)
-                    rows.append((ids[row], number, starts.tobytes(), np.concatenate([words[i:j] for i, j in part]).tobytes()))
-            columns = list(zip(*rows)) or [[]] * 4
-            kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "piece", "starts", "words"])
+                    rows.append((ids[row], owns[row], number, starts.tobytes(), np.concatenate([words[i:j] for i, j in part]).tobytes()))
+            columns = list(zip(*rows)) or [[]] * 5
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+            names = ["doc_id", "own", "piece", "starts", "words"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    return arrow_map(marked, scan, "doc_id long, piece int, starts binary, words binary")
+    return arrow_map(marked, scan, "doc_id long, own long, piece int, starts binary, words binary")
 
 
 def _numbered(starts: bytes, words: bytes, side: int) -> tuple[list[int], list[int]]:
@@ -296,35 +297,39 @@ def _spans(ends: list[int], window: int) -> bytes:
 
 
 def _streamed(routed: DataFrame, window: int) -> DataFrame:
-    """``removed, spans``: documents' spans that occur earlier in a shard; shards come before their documents."""
+    """``removed, own, spans``: texts' spans that occur earlier in a shard; shards come before their documents."""
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, automaton, origin = None, None, []
         for batch in batches:
-            docs, spans = [], []
-            for ref, piece, part, kind, doc, starts, words in zip(*(c.to_pylist() for c in batch.columns)):
-                if (ref, piece, part) != shard:
-                    shard, automaton = (ref, piece, part), None
+            docs, owns, spans = [], [], []
+            for ref, ref_own, piece, part, kind, doc, own, starts, words in zip(*(c.to_pylist() for c in batch.columns)):
+                if (ref, ref_own, piece, part) != shard:
+                    shard, automaton = (ref, ref_own, piece, part), None
                 symbols, places = _numbered(starts, words, kind)
                 if kind == 0:
                     automaton, origin = SuffixAutomaton(symbols), places
                     continue
                 ends = []
                 for at, first in automaton.matches(symbols, window):
-                    if (ref, origin[first]) < (doc, places[at]):
+                    if (ref, ref_own, origin[first]) < (doc, own, places[at]):
                         ends.append(places[at])
                 if ends:
                     docs.append(doc)
+                    owns.append(own)
                     spans.append(_spans(ends, window))
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(spans, pa.binary())], ["removed", "spans"])
+            columns = [pa.array(docs, pa.int64()), pa.array(owns, pa.int64()), pa.array(spans, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["removed", "own", "spans"])
 
-    return arrow_map(routed, stream, "removed long, spans binary")
+    return arrow_map(routed, stream, "removed long, own long, spans binary")
 
 
-def repeated_spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM, piece: int = PIECE) -> DataFrame:
-    """``removed, spans`` for ``doc_id`` (long) and ``text``: a list of packed spans of word numbers per document."""
+def _found_spans(texts: DataFrame, window: int, gram: int, piece: int) -> DataFrame:
+    """``removed, own, spans``: packed spans of word numbers by document and hash of the text, in several rows."""
     marked = written(_repeated_grams(texts, window, gram), "sub-marked")
-    held = texts.join(marked.hint("merge"), F.col("doc_id") == F.col("marked")).select("doc_id", "text", "places")
+    held = texts.join(marked.hint("merge"), F.col("doc_id") == F.col("marked")).select(
+        "doc_id", "text", "places", F.xxhash64("text").alias("own")
+    )
     held = written(held, "sub-texts")
     release_shuffles(texts.sparkSession)
     pairs = written(_common_documents(held, window, gram), "sub-pairs")
@@ -334,23 +339,30 @@ def repeated_spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM, pie
     # A shard that very many documents share is given to several tasks, each with a part of the documents.
     parts = pairs.groupBy("ref").agg(F.ceil(F.count(F.lit(1)) / PER_TASK).cast("int").alias("parts"))
     shards = written(
-        pieces.join(parts.hint("merge"), F.col("doc_id") == F.col("ref")).select("ref", "piece", "parts", "starts", "words"), "sub-shards"
-    )
-    heads = shards.select("ref", F.col("piece").alias("shard_piece"), "parts")
+        pieces.join(parts.hint("merge"), F.col("doc_id") == F.col("ref")).select("ref", "own", "piece", "parts", "starts", "words"), "sub-shards"
+    ).withColumnRenamed("own", "ref_own")
+    heads = shards.select("ref", "ref_own", F.col("piece").alias("shard_piece"), "parts")
     routes = pairs.withColumnRenamed("doc_id", "doc").join(heads.hint("merge"), "ref")
     part = F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")
-    routes = routes.select("ref", "shard_piece", part.alias("part"), "doc")
+    routes = routes.select("ref", "ref_own", "shard_piece", part.alias("part"), "doc")
     streaming = routes.join(pieces.hint("merge"), F.col("doc") == F.col("doc_id")).select(
-        "ref", F.col("shard_piece").alias("piece"), "part", F.lit(1).alias("kind"), "doc_id", "starts", "words"
+        "ref", "ref_own", F.col("shard_piece").alias("piece"), "part", F.lit(1).alias("kind"), "doc_id", "own", "starts", "words"
     )
     copies = shards.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    references = copies.select("ref", "piece", "part", F.lit(0).alias("kind"), F.col("ref").alias("doc_id"), "starts", "words")
+    references = copies.select(
+        "ref", "ref_own", "piece", "part", F.lit(0).alias("kind"), F.col("ref").alias("doc_id"), F.col("ref_own").alias("own"), "starts", "words"
+    )
     width = shuffle_width(texts.sparkSession)
-    routed = references.unionAll(streaming).repartition(width, "ref", "piece", "part")
-    spans = _streamed(routed.sortWithinPartitions("ref", "piece", "part", "kind"), window)
+    routed = references.unionAll(streaming).repartition(width, "ref", "ref_own", "piece", "part")
+    spans = _streamed(routed.sortWithinPartitions("ref", "ref_own", "piece", "part", "kind"), window)
     spans = written(spans, "sub-spans")
     release_shuffles(texts.sparkSession)
-    return spans.groupBy("removed").agg(F.collect_list("spans").alias("spans"))
+    return spans
+
+
+def repeated_spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM, piece: int = PIECE) -> DataFrame:
+    """``removed, spans`` for ``doc_id`` (long, unique) and ``text``: a list of packed spans of word numbers per document."""
+    return _found_spans(texts, window, gram, piece).groupBy("removed").agg(F.collect_list("spans").alias("spans"))
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -361,13 +373,14 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     the input, not on what is left.
 
     NULL and empty texts have no words. Rows without an id keep all their words and take none from others. Rows
-    that repeat an id are one document, and its spans are removed from each of them by word number. Very long
-    texts become several shards. An empty table gives no rows. Ids must be whole numbers.
+    that repeat an id and its text are one document. Different texts of one id are documents of their own, in the order
+    of their hashes: what one has is removed from the next. Very long texts become several shards. An empty table gives no rows. Ids must be whole numbers.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    spans = repeated_spans(texts.filter("doc_id is not null"), window)
+    spans = _found_spans(texts.filter("doc_id is not null"), window, GRAM, PIECE)
+    spans = spans.groupBy("removed", "own").agg(F.collect_list("spans").alias("spans"))
     joined = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(
-        spans.hint("merge"), F.col("doc_id") == F.col("removed"), "left"
+        spans.hint("merge"), (F.col("doc_id") == F.col("removed")) & (F.xxhash64("text") == F.col("own")), "left"
     )
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -138,6 +138,26 @@ def test_substrings_of_odd_rows(spark):
     assert (None, 0, 0, "") in found and (None, 8, 0, "no id here but words enough to shingle") in found
 
 
+def test_substrings_of_an_id_with_different_texts(spark):
+    def some(name: str, n: int) -> list[str]:
+        return [f"{name}{i}" for i in range(n)]
+
+    passage, shared = some("p", 25), some("s", 25)
+    long_text, short = " ".join(some("a", 60) + passage + shared), " ".join(some("b", 4) + shared)
+    last = " ".join(some("c", 3) + passage + some("d", 30))
+    rows = [(7, long_text), (7, short), (7, long_text), (9, last), (7, None), (None, last)]
+    found = [tuple(r) for r in dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
+    assert len(found) == len(rows)
+    assert (9, 58, 25, " ".join(some("c", 3) + some("d", 30))) in found
+    assert (None, 58, 0, last) in found and (7, 0, 0, "") in found
+    # The shared passage goes from one of the two texts, whichever comes second, and both copies of a text are alike.
+    longs, shorts = [f[1:] for f in found if f[1] == 110], [f[1:] for f in found if f[1] == 29]
+    assert (longs, shorts) in (
+        ([(110, 0, long_text)] * 2, [(29, 25, " ".join(some("b", 4)))]),
+        ([(110, 25, " ".join(some("a", 60) + passage))] * 2, [(29, 0, short)]),
+    )
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_automaton_finds_first_ends(seed):
     r = random.Random(seed)
