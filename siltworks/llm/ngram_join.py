@@ -196,6 +196,8 @@ def _fitting(a: str, b: str, percent: int):
 def ngram_join(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, component_id``, the smallest id that links lead to.
 
+    These are the components of all links, not the links: pairs already in one component are not verified.
+
     Two documents link when 100 * intersection >= percent * union of their sets of k-word shingles (A-Z
     lower-cased; a text of fewer words is one shingle; texts without words link with nothing).
 
