@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import decontaminate, fingerprints, lines, mixing, ngram_join, personal, quality, sharding, substrings, urls
+from siltworks.llm import (
+    alignment,
+    decontaminate,
+    fingerprints,
+    lines,
+    mixing,
+    negatives,
+    ngram_join,
+    personal,
+    quality,
+    sharding,
+    substrings,
+    token_counts,
+    urls,
+)
 from siltworks.llm.tables import text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,11 +92,33 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, files = _table(spark, sf_dir, "documents"), ("byte_bpe_50k.json", "piece_bpe_32k.model")
+    return alignment.align_tokens(docs, *map(_tokenizer, files), digest=True).withColumnRenamed("groups", "groups_sha256")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine_negatives(vectors.withColumn("label", shifted), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_ngram_join, op2_quality, op3_pareto_mix, op4_line_dedup, op5_substring_dedup, op6_url_filter,
-        op7_decontamination, op8_personal_data, op9_fingerprints, op10_sharding,
+        op7_decontamination, op8_personal_data, op9_fingerprints, op10_sharding, op11_token_counts, op12_token_alignment,
+        op13_hard_negatives,
     )
 }
 
@@ -119,4 +155,28 @@ select doc_id, count(*) as n_lines, count(*) filter (where not stays) as n_dropp
 from judged group by doc_id"""
 
 
-ORACLES: dict[str, str] = {"op4_line_dedup": _line_oracle(), "op6_url_filter": _url_oracle()}
+def _negatives_oracle() -> str:
+    """All anchors against all rows, as the test tables have them: ids once each, components NULL-free and finite."""
+    return """with rows_in as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         [floor(256 * cast(x as double)) for x in embedding] as q
+  from embeddings where label is not null and embedding is not null),
+scored as (select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same,
+                  cast(list_inner_product(a.q, b.q) as bigint) as score
+           from rows_in as a join rows_in as b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+positives as (select * from (select anchor_id, other_id as positive_id, score as positive_score,
+                                    row_number() over (partition by anchor_id order by score desc, other_id) as place
+                             from scored where same) as ranked where place <= 5),
+fitting as (select p.anchor_id, positive_id, positive_score, other_id as negative_id, score as negative_score,
+                   row_number() over (partition by p.anchor_id, positive_id order by score desc, other_id) as place
+            from positives as p join scored as s on p.anchor_id = s.anchor_id and not same
+             and 80 * positive_score <= 100 * score and score <= positive_score)
+select anchor_id, positive_id, cast(place as integer) as rank, negative_id, positive_score, negative_score
+from fitting where place <= 5"""
+
+
+ORACLES: dict[str, str] = {
+    "op4_line_dedup": _line_oracle(),
+    "op6_url_filter": _url_oracle(),
+    "op13_hard_negatives": _negatives_oracle(),
+}

@@ -22,7 +22,7 @@ def test_stages_are_the_ordered_ones():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "n-gram Jaccard join", "benchmark decontamination", "mixing sources", "sharding",
     ]
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(registry.queries())
 
 
@@ -69,7 +69,7 @@ def test_without_ratings_everything_is_kept(spark):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_oracles_agree(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         con.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     theirs = con.execute(ORACLES[name])
     columns = [d[0] for d in theirs.description]
