@@ -360,6 +360,34 @@ def q_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+@_query(
+    f"select 'managed' as kept_as, * from ({_silver_sql('products')}) as m"
+    f" union all select 'external', * from ({_silver_sql('products')}) as e"
+)
+def q_publish_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish silver products twice, managed and external; the second time fails in a task and changes nothing."""
+    database, home = f"db_{uuid.uuid4().hex}", scratch_dir(spark, "publish-retry")
+    S.create_database(spark, database, f"{home}/db")
+    silver = silver_table(dirty(spark, sf_dir, "products"), "products", RUN_DATE)
+    failing = silver.withColumns({"name": F.raise_error(F.lit("lost on purpose")).cast("string")})
+    kept = None
+    for name, path in (("managed", None), ("external", f"{home}/external")):
+        S.publish_table(silver, f"{database}.{name}", path=path)
+        try:
+            S.publish_table(failing, f"{database}.{name}", path=path)
+        except Exception as error:
+            if "lost on purpose" not in str(error):
+                raise
+        else:
+            raise AssertionError("the second publish should have failed")
+        # Published once more under another name: the rows outlive the database, which is dropped below.
+        S.write_silver(S.read_table(spark, f"{database}.{name}"), f"{home}/{name}-read")
+        rows = _as_text(spark.read.parquet(f"{home}/{name}-read")).select(F.lit(name).alias("kept_as"), "*")
+        kept = rows if kept is None else kept.unionByName(rows)
+    S.drop_database(spark, database, cascade=True)
+    return kept
+
+
 @_query(
     _with_dirty(
         "users",

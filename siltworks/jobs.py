@@ -20,8 +20,7 @@ from siltworks.contracts import CONTRACTS, GATE_TABLES, LANDING_TABLES, TableCon
 from siltworks.plans import ProfileSpec, profile_table, refine_all, run_gate
 from siltworks.sources import create_database, land_bronze, register_table, scan_contract, sql_query
 from siltworks.sources.landing import bronze_path
-from siltworks.sources.silver import silver_path
-from siltworks.sources.silver import write_silver
+from siltworks.sources.silver import silver_location, silver_path, write_silver
 from siltworks.streaming import (
     await_sink,
     events_silver_stream,
@@ -50,7 +49,9 @@ def _parser() -> argparse.ArgumentParser:
 
     job("land", "raw", "bronze")
     job("gate", "bronze")
-    job("refine", "bronze", "silver").add_argument("--run-date", type=datetime.date.fromisoformat)
+    refine = job("refine", "bronze", "silver")
+    refine.add_argument("--run-date", type=datetime.date.fromisoformat)
+    refine.add_argument("--keep-versions", type=int, help="keep silver tables as so many versions")
     job("profile", "bronze")
     job("publish", "silver", "database")
     job("query", "sql", "out", tables=False).add_argument("--database")
@@ -75,7 +76,7 @@ def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame | None:
     if args.job == "refine":
         return refine_all(
             spark, args.bronze, args.silver, tables or GATE_TABLES, contracts, run_date=args.run_date, rfc4180=rfc4180,
-            multi_line=multi_line,
+            multi_line=multi_line, keep_versions=args.keep_versions,
         )
     if args.job == "profile":
         report = None
@@ -87,7 +88,7 @@ def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame | None:
     if args.job == "publish":
         create_database(spark, args.database)
         for table in tables or GATE_TABLES:
-            register_table(spark, f"{args.database}.{table}", silver_path(args.silver, table))
+            register_table(spark, f"{args.database}.{table}", silver_location(spark, args.silver, table))
         return sql_query(spark, "SHOW TABLES", args.database)
     if args.job == "query":
         written = write_silver(sql_query(spark, args.sql, args.database), args.out)

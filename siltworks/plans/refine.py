@@ -14,6 +14,7 @@ from siltworks.sources.csv import scan_contract
 from siltworks.sources.landing import bronze_path
 from siltworks.sources.replace import replace_directory
 from siltworks.sources.silver import silver_path
+from siltworks.sources.versions import NewVersion
 from siltworks.workspace import error_class, side_by_side
 
 log = logging.getLogger(__name__)
@@ -35,7 +36,7 @@ class RefineFailure(RuntimeError):
 
 def _refine(
     spark: SparkSession, contract: TableContract, rules: Rules, bronze_dir: str, silver_dir: str,
-    run_date: datetime.date | None, rfc4180: bool, multi_line: bool = False,
+    run_date: datetime.date | None, rfc4180: bool, multi_line: bool = False, keep_versions: int | None = None,
 ) -> dict[str, object]:
     bronze = scan_contract(
         spark, contract, bronze_path(bronze_dir, contract.name), rfc4180=rfc4180, multi_line=multi_line, flag_malformed=True
@@ -46,21 +47,33 @@ def _refine(
         conform_counted(bronze, contract.key, rules, run_date, seen).write.parquet(staged)
         return audit_of(seen)
 
-    counts = replace_directory(spark, silver_path(silver_dir, contract.name), write)
+    path = silver_path(silver_dir, contract.name)
+    if keep_versions is None:
+        counts = replace_directory(spark, path, write)
+    else:
+        version = NewVersion(spark, path)
+        try:
+            counts = write(version.location)
+        except BaseException:
+            version.discard()
+            raise
+        version.commit(keep_versions)
     return {"table": contract.name, **counts, "refined": True, "error": None}
 
 
 def refine_table(
     spark: SparkSession, contract: TableContract, bronze_dir: str, silver_dir: str, rules: Rules | None = None,
     run_date: datetime.date | None = None, *, rfc4180: bool = True, multi_line: bool = False,
+    keep_versions: int | None = None,
 ) -> DataFrame:
     """Replace one silver table from its bronze CSV in a single run of the plan; return a report row.
 
     ``rules`` default to the bundled ones of the contract's name, or to none. ``malformed_rows`` counts rows with
     too many or too few fields or with a value that is not of its type. A failed run leaves the earlier table.
+    With ``keep_versions`` the table is kept as so many versions, see ``write_silver``.
     """
     rules = rules if rules is not None else RULES.get(contract.name, Rules())
-    row = _refine(spark, contract, rules, bronze_dir, silver_dir, run_date, rfc4180, multi_line)
+    row = _refine(spark, contract, rules, bronze_dir, silver_dir, run_date, rfc4180, multi_line, keep_versions)
     return spark.createDataFrame([row], REPORT_SCHEMA)
 
 
@@ -68,13 +81,15 @@ def refine_all(
     spark: SparkSession, bronze_dir: str, silver_dir: str, tables: Iterable[str] = GATE_TABLES,
     contracts: Mapping[str, TableContract] = CONTRACTS, rules: Mapping[str, Rules] = RULES,
     run_date: datetime.date | None = None, *, rfc4180: bool = True, multi_line: bool = False,
+    keep_versions: int | None = None,
 ) -> DataFrame:
     """``refine_table`` for each table; one report row per table, or ``RefineFailure`` once all have been tried."""
 
     def refine(table: str) -> dict[str, object]:
         try:
             return _refine(
-                spark, contracts[table], rules.get(table, Rules()), bronze_dir, silver_dir, run_date, rfc4180, multi_line
+                spark, contracts[table], rules.get(table, Rules()), bronze_dir, silver_dir, run_date, rfc4180, multi_line,
+                keep_versions,
             )
         except Exception as error:  # any failure of one table must not keep the others from being refined
             log.error("%s: not refined: %s", table, error)

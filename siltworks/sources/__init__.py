@@ -13,7 +13,8 @@ from siltworks.sources.catalog import (
 )
 from siltworks.sources.csv import scan_contract, scan_inferred, scan_strings, write_strings
 from siltworks.sources.landing import LandingFailure, land_bronze, land_table
-from siltworks.sources.silver import read_silver, write_silver
+from siltworks.sources.silver import read_silver, silver_location, write_silver
+from siltworks.sources.versions import read_current, take_back, versions, write_version
 
 __all__ = [
     "LandingFailure",
@@ -25,13 +26,18 @@ __all__ = [
     "land_bronze",
     "land_table",
     "publish_table",
+    "read_current",
     "read_silver",
     "read_table",
     "register_table",
     "scan_contract",
     "scan_inferred",
     "scan_strings",
+    "silver_location",
     "sql_query",
+    "take_back",
+    "versions",
     "write_silver",
     "write_strings",
+    "write_version",
 ]

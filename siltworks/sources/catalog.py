@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from siltworks.sources.replace import qualified, remove_directory
+from siltworks.sources.versions import KEPT, NewVersion
+
 
 def _quoted(name: str) -> str:
     return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
@@ -47,10 +52,94 @@ def insert_rows(df: DataFrame, table: str) -> None:
     df.write.insertInto(table)
 
 
-def publish_table(df: DataFrame, table: str, *, path: str | None = None, provider: str = "parquet") -> None:
-    """Create or replace a table from the rows; with ``path`` its files outlive a drop."""
-    writer = df.write.mode("overwrite").format(provider)
-    (writer.option("path", path) if path else writer).saveAsTable(table)
+def _sibling(table: str, mark: str) -> str:
+    """Another name in the same database."""
+    return f"{table}__{mark}_{uuid.uuid4().hex[:12]}"
+
+
+def _provider(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)}").filter("col_name = 'Provider'").collect()
+    return rows[0]["data_type"].lower() if rows else ""
+
+
+def _columns(schema: T.StructType) -> list[tuple[str, str]]:
+    return [(field.name, field.dataType.simpleString()) for field in schema.fields]
+
+
+def _rename(spark: SparkSession, table: str, to: str) -> None:
+    spark.sql(f"ALTER TABLE {_quoted(table)} RENAME TO {_quoted('.'.join(to.split('.')[-2:]))}")
+
+
+def _put_in_place(spark: SparkSession, staged: str, table: str) -> None:
+    """Give the staged entry the table's name. The earlier entry waits under another name until that has worked."""
+    earlier = _sibling(table, "old") if spark.catalog.tableExists(table) else None
+    if earlier:
+        _rename(spark, table, earlier)
+    try:
+        _rename(spark, staged, table)
+    except BaseException:
+        if earlier:
+            _rename(spark, earlier, table)
+        raise
+    if earlier:
+        drop_table(spark, earlier)
+
+
+def _point(spark: SparkSession, table: str, location: str, provider: str, schema: T.StructType) -> None:
+    """Let the table's entry name another directory, in one step if it is external and its columns stay the same.
+
+    Else an entry is made under another name first, so that nothing is lost if it cannot be made.
+    """
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType == "EXTERNAL":
+        if _provider(spark, table) == provider.lower() and _columns(spark.table(table).schema) == _columns(schema):
+            spark.sql(f"ALTER TABLE {_quoted(table)} SET{_location(location)}")
+            return
+    staged = _sibling(table, "new")
+    spark.catalog.createTable(staged, path=location, source=provider, schema=schema)
+    try:
+        _put_in_place(spark, staged, table)
+    except BaseException:
+        drop_table(spark, staged)  # of an external table this removes the entry only
+        raise
+
+
+def publish_table(
+    df: DataFrame, table: str, *, path: str | None = None, provider: str = "parquet", keep_versions: int = KEPT
+) -> None:
+    """Create or replace a table from the rows. A publish that fails leaves the earlier table and its rows.
+
+    With ``path`` the table's files outlive a drop. Each publish then writes a version of its own below ``path`` and
+    points the entry at it, in one step while the columns stay the same; ``keep_versions`` of them are kept, and
+    ``versions.read_current`` reads the last one without the catalog. Without ``path`` the rows are written as a
+    table under another name, which takes the place of the earlier one by two renames of entries. The rows may come
+    from the table that is replaced.
+    """
+    spark = df.sparkSession
+    if path:
+        version = NewVersion(spark, path)
+        try:
+            df.write.format(provider).save(version.location)
+            _point(spark, table, version.location, provider, spark.read.format(provider).load(version.location).schema)
+        except BaseException:
+            version.discard()
+            raise
+        version.commit(keep_versions)
+        return
+    staged = _sibling(table, "new")
+    try:
+        df.write.format(provider).saveAsTable(staged)
+        _put_in_place(spark, staged, table)
+    except BaseException:
+        _remove_staged(spark, staged)
+        raise
+
+
+def _remove_staged(spark: SparkSession, staged: str) -> None:
+    """The entry, if it was made, and the files that a write left where it would have been."""
+    drop_table(spark, staged)
+    *database, name = staged.split(".")
+    home = spark.catalog.getDatabase(database[-1] if database else spark.catalog.currentDatabase()).locationUri
+    remove_directory(spark, f"{home.rstrip('/')}/{name}")
 
 
 def register_table(
@@ -58,15 +147,13 @@ def register_table(
 ) -> None:
     """Make a directory that is already written a catalog table, without copying it.
 
-    The directory is read first: if that fails, an earlier entry of that name stays. An earlier entry is replaced;
-    one whose files the catalog owns, and would delete, is refused unless ``replace_managed``.
+    The directory is read first, and the new entry made before the earlier one goes: if either fails, an earlier entry
+    of that name stays. One whose files the catalog owns, and would delete, is refused unless ``replace_managed``.
     """
     schema = spark.read.format(provider).load(path).schema
-    if spark.catalog.tableExists(table):
-        if spark.catalog.getTable(table).tableType == "MANAGED" and not replace_managed:
-            raise ValueError(f"{table} owns its files, which replacing it would delete")
-        drop_table(spark, table)
-    spark.catalog.createTable(table, path=path, source=provider, schema=schema)
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType == "MANAGED" and not replace_managed:
+        raise ValueError(f"{table} owns its files, which replacing it would delete")
+    _point(spark, table, qualified(spark, path), provider, schema)
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:

@@ -19,14 +19,20 @@ class Refused(RuntimeError):
         self.result = result
 
 
-def _files(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     """The Hadoop file system of a path, and a way to make its paths."""
     make = spark._jvm.org.apache.hadoop.fs.Path
     return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its storage and from its root, as Spark itself would read it."""
+    files, make = file_system(spark, path)
+    return files.makeQualified(make(path)).toString().rstrip("/")
+
+
 def remove_directory(spark: SparkSession, path: str) -> None:
-    files, make = _files(spark, path)
+    files, make = file_system(spark, path)
     files.delete(make(path), True)
 
 
@@ -37,9 +43,10 @@ def replace_directory(
 
     If the write fails, or ``accept`` refuses its result, the new directory is removed and ``path`` stays as it
     was. The swap is two renames of a directory on the same storage; between them, for a moment, there is no
-    ``path``. A process that dies there leaves the old content beside it, under ``.old-``.
+    ``path``; where that matters, see ``sources.versions``. A process that dies there leaves the old content beside it,
+    under ``.old-``. A relative path is one from the session's working directory, as Spark reads it.
     """
-    path = path.rstrip("/")
+    path = qualified(spark, path)
     mark = uuid.uuid4().hex
     parent, _, name = path.rpartition("/")
     staged, old = f"{parent}/.new-{mark}-{name}", f"{parent}/.old-{mark}-{name}"
@@ -50,7 +57,7 @@ def replace_directory(
     except BaseException:
         remove_directory(spark, staged)
         raise
-    files, make = _files(spark, path)
+    files, make = file_system(spark, path)
     had_one = files.exists(make(path))
     if had_one and not files.rename(make(path), make(old)):
         raise OSError(f"cannot move {path} aside")
