@@ -318,6 +318,29 @@ def q_land_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
     raise AssertionError("landing should have failed")
 
 
+@_query(
+    "select 'bronze' as output, l_orderkey || '' as id, l_shipdate || '' as note, null as reason from lineitem"
+    " where l_partkey % 50 not in (0, 1)"
+    " union all select 'rejects', 'products.csv', l_orderkey || ',\"a, \"\"b\"\"\",' || l_shipdate, 'too many fields'"
+    " from lineitem where l_partkey % 50 = 0"
+    " union all select 'rejects', 'products.csv', '' || l_orderkey, 'too few fields' from lineitem where l_partkey % 50 = 1"
+)
+def q_land_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some rows have a field too many or too few: they land in the table of rejects, the others in bronze."""
+    raw, bronze = scratch_dir(spark, "raw"), scratch_dir(spark, "bronze")
+    line = """case when l_partkey % 50 = 0 then l_orderkey || ',"a, \"\"b\"\"\",' || l_shipdate
+              when l_partkey % 50 = 1 then '' || l_orderkey else l_orderkey || ',' || l_shipdate end"""
+    _raw_lines(table(spark, sf_dir, "lineitem"), line, "id,note", f"{raw}/products.csv")
+    contracts = {"products": TableContract.of("products", "id", "id string; note string")}
+    S.land_bronze(spark, raw, bronze, ("products",), contracts, max_rejected=0.1)
+    kept = S.scan_contract(spark, contracts["products"], bronze_path(bronze, "products"))
+    rejects = S.read_rejects(spark, bronze, "products")
+    source = F.regexp_extract("file", "([a-z]+[.]csv)/part", 1)
+    return kept.select(F.lit("bronze").alias("output"), "id", "note", F.lit(None).cast("string").alias("reason")).unionByName(
+        rejects.select(F.lit("rejects").alias("output"), source.alias("id"), F.col("line").alias("note"), "reason")
+    )
+
+
 @_query("select p_partkey as id, 'two' || chr(10) || 'lines of ' || p_name as note from part")
 def q_land_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line breaks inside quotes land as values."""

@@ -47,7 +47,8 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--multi-line", action="store_true", help="line breaks inside quotes; one task per file")
         return sub
 
-    job("land", "raw", "bronze")
+    land = job("land", "raw", "bronze")
+    land.add_argument("--max-rejected", type=float, default=0.0, help="share of malformed rows up to which a table lands without them")
     job("gate", "bronze")
     refine = job("refine", "bronze", "silver")
     refine.add_argument("--run-date", type=datetime.date.fromisoformat)
@@ -70,7 +71,10 @@ def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame | None:
     rfc4180, multi_line = not args.spark_quoting, args.multi_line
     tables = getattr(args, "table", None)
     if args.job == "land":
-        return land_bronze(spark, args.raw, args.bronze, tables or LANDING_TABLES, contracts, rfc4180=rfc4180, multi_line=multi_line)
+        return land_bronze(
+            spark, args.raw, args.bronze, tables or LANDING_TABLES, contracts, rfc4180=rfc4180, multi_line=multi_line,
+            max_rejected=args.max_rejected,
+        )
     if args.job == "gate":
         return run_gate(spark, args.bronze, tables or GATE_TABLES, contracts, rfc4180=rfc4180, multi_line=multi_line)
     if args.job == "refine":

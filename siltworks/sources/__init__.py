@@ -12,7 +12,7 @@ from siltworks.sources.catalog import (
     sql_query,
 )
 from siltworks.sources.csv import scan_contract, scan_inferred, scan_strings, write_strings
-from siltworks.sources.landing import LandingFailure, land_bronze, land_table
+from siltworks.sources.landing import LandingFailure, land_bronze, land_table, read_rejects
 from siltworks.sources.silver import read_silver, silver_location, write_silver
 from siltworks.sources.versions import read_current, take_back, versions, write_version
 
@@ -27,6 +27,7 @@ __all__ = [
     "land_table",
     "publish_table",
     "read_current",
+    "read_rejects",
     "read_silver",
     "read_table",
     "register_table",

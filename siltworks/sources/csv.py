@@ -62,14 +62,15 @@ def scan_inferred(spark: SparkSession, path: str, *, rfc4180: bool = True) -> Da
     return _reader(spark, rfc4180).option("inferSchema", True).csv(path)
 
 
-def write_strings(df: DataFrame, path: str) -> None:
+def write_strings(df: DataFrame, path: str, *, partition_by: str | None = None) -> None:
     """Replace a CSV directory so that the scans above read the same values back.
 
-    Every part file has the header, padding is kept and timestamps keep their microseconds. CSV has no form
+    ``partition_by`` puts the rows into one directory per value of that column. Every part file has the header, padding is kept and timestamps keep their microseconds. CSV has no form
     for an empty string, which reads back as NULL, and values must not hold line breaks; no scan gives either.
     """
+    writer = df.write.mode("overwrite")
     (
-        df.write.mode("overwrite")
+        (writer.partitionBy(partition_by) if partition_by else writer)
         .option("header", True)
         .options(**_DOUBLED_QUOTE)
         .option("ignoreLeadingWhiteSpace", False)

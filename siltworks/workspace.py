@@ -48,6 +48,17 @@ def clear_scratch(spark: SparkSession) -> int:
     return len(folders)
 
 
+def session_like(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session of its own with the caller's settings and some others, which leaves those of the caller alone."""
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(name):
+            own.conf.set(name, value)
+    for name, value in settings.items():
+        own.conf.set(name, value)
+    return own
+
+
 def error_class(error: Exception) -> str:
     """Spark's name for what went wrong, else the exception's."""
     condition = getattr(error, "getCondition", lambda: None)()

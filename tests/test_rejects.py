@@ -1,0 +1,94 @@
+"""Landing that goes on past bad rows: one write, bronze and a table of rejects."""
+
+from __future__ import annotations
+
+import pytest
+
+from siltworks.contracts import TableContract
+from siltworks.sources import LandingFailure, land_bronze, read_rejects, scan_contract, scan_strings
+from siltworks.sources.landing import _PART, bronze_path, split_rows
+
+CONTRACT = TableContract.of("t", "id", "id integer; name string; note string")
+GOOD = [f"{i},n{i},\"say \"\"{i}\"\", so\"" for i in range(20)]
+BAD = {
+    "1,a,b,EXTRA": "too many fields",
+    "2,c": "too few fields",
+    "  7 ": "too few fields",
+    '3,"with, comma",é,"four ""th"",",': "too many fields",
+    '4,"not closed': "too few fields",
+    "5,\\,\t {\"json\": 1},x,y": "too many fields",
+}
+
+
+def _land(spark, home, **options):
+    return land_bronze(spark, str(home), f"{home}/bronze", ["t"], {"t": CONTRACT}, **options)
+
+
+def _rejects(spark, home):
+    return {r["line"]: (r["reason"], r["file"].rsplit("/", 1)[1]) for r in read_rejects(spark, f"{home}/bronze", "t").collect()}
+
+
+def _write(home, *files):
+    (home / "t.csv").mkdir(exist_ok=True)
+    for i, lines in enumerate(files):
+        (home / "t.csv" / f"f{i}.csv").write_text("\n".join(["id,name,note", *lines]) + "\n", encoding="utf-8")
+
+
+def test_rejects_are_kept_verbatim_with_file_and_reason(spark, tmp_path):
+    bad = list(BAD)
+    _write(tmp_path, GOOD[:10] + bad[:3], bad[3:] + GOOD[10:])
+    report = _land(spark, tmp_path, max_rejected=0.25).first()
+    assert (report["landed"], report["row_count"], report["malformed_rows"], report["error"]) == (True, 20, 6, None)
+    assert _rejects(spark, tmp_path) == {line: (reason, f"f{int(i >= 3)}.csv") for i, (line, reason) in enumerate(BAD.items())}
+    landed = scan_contract(spark, CONTRACT, bronze_path(f"{tmp_path}/bronze", "t"))
+    assert sorted(tuple(r) for r in landed.collect()) == [(i, f"n{i}", f'say "{i}", so') for i in range(20)]
+    assert scan_strings(spark, bronze_path(f"{tmp_path}/bronze", "t")).columns == ["id", "name", "note"]
+
+
+def test_too_many_rejects_keep_what_landed_before_and_say_why(spark, tmp_path):
+    _write(tmp_path, GOOD)
+    _land(spark, tmp_path)
+    _write(tmp_path, GOOD[:5] + list(BAD))
+    with pytest.raises(LandingFailure) as failure:
+        _land(spark, tmp_path, max_rejected=0.5)
+    report = failure.value.report.first()
+    assert (report["landed"], report["row_count"], report["malformed_rows"]) == (False, 0, 6)
+    assert scan_strings(spark, bronze_path(f"{tmp_path}/bronze", "t")).count() == 20
+    assert set(_rejects(spark, tmp_path)) == set(BAD)
+    _write(tmp_path, GOOD[:7])
+    _land(spark, tmp_path)
+    assert _rejects(spark, tmp_path) == {}  # those of the earlier landing are gone
+    assert scan_strings(spark, bronze_path(f"{tmp_path}/bronze", "t")).count() == 7
+
+
+def test_a_table_of_rejects_only(spark, tmp_path):
+    _write(tmp_path, list(BAD))
+    report = _land(spark, tmp_path, max_rejected=1.0).first()
+    assert (report["landed"], report["row_count"], report["malformed_rows"]) == (True, 0, 6)
+    assert scan_strings(spark, bronze_path(f"{tmp_path}/bronze", "t")).columns == ["id", "name", "note"]
+    assert len(_rejects(spark, tmp_path)) == 6
+
+
+def test_rejects_of_backslash_quoting_and_of_line_breaks(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('id,name,note\n1,"a \\" , b",c\n2,"a \\" , b",c,d\n')
+    assert _land(spark, tmp_path, rfc4180=False, max_rejected=0.5).first()["row_count"] == 1
+    assert [x[0] for x in _rejects(spark, tmp_path).values()] == ["too many fields"]
+    (tmp_path / "t.csv").write_text('id,name,note\n1,"two\nlines",c\n2,"two\nlines",c,d\n')
+    assert _land(spark, tmp_path, multi_line=True, max_rejected=0.5).first()["malformed_rows"] == 1
+    (line, (reason, _)), = _rejects(spark, tmp_path).items()
+    assert line.strip() == '2,"two\nlines",c,d' and reason == "too many fields"
+
+
+def test_a_long_quoted_field_is_no_trouble(spark, tmp_path):
+    long = '"' + 'x""' * 30_000 + '"'
+    _write(tmp_path, [f"1,{long},a,b", f"2,{long},a"])
+    assert _land(spark, tmp_path, max_rejected=0.5).first()["row_count"] == 1
+    assert [x[0] for x in _rejects(spark, tmp_path).values()] == ["too many fields"]
+
+
+def test_both_outputs_come_from_one_scan_without_a_sort(spark, tmp_path):
+    _write(tmp_path, GOOD)
+    raw = scan_strings(spark, f"{tmp_path}/t.csv", flag_malformed=True)
+    plan = split_rows(raw)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1 and "Exchange" not in plan and "Sort" not in plan
+    assert _PART in split_rows(raw).columns
