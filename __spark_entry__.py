@@ -37,9 +37,12 @@ from siltworks.plans import (  # noqa: E402
 )
 from siltworks.sources.landing import bronze_path  # noqa: E402
 from siltworks.streaming import (  # noqa: E402
+    arrivals_silver_stream,
     await_sink,
     events_silver_stream,
+    scan_arrivals,
     scan_stream,
+    start_arrivals,
     start_events_sink,
     stream_session,
     untimed_events,
@@ -814,6 +817,35 @@ def q_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("silver_rows", F.lit(late).cast("long").alias("late_rows"))
 
 
+@_query(
+    "with fed as (select event_id, ts from events union all select -event_id - 1, ts from events),"
+    " kept as (select event_id, case when event_id % 11 <> 0 then ts end as ts, case when event_id % 11 = 0 then 'untimed'"
+    " when event_id < 0 and ts <= date_trunc('milliseconds', (select max(ts) from events where event_id % 11 <> 0)) - interval '1' day"
+    " then 'late' else 'silver' end as kept_in from fed)"
+    " select * from kept union all select * from kept where kept_in = 'untimed'"
+)
+def q_late_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events, every fifth again in a second run, and in a third all of them under new keys; every eleventh comes
+    without its time, and twice. Silver, late and untimed rows are all there is, from one read of each delivery."""
+    home, own = scratch_dir(spark, "arrivals"), stream_session(spark)
+    ts = F.when(F.col("event_id") % 11 != 0, F.col("ts"))
+    events, kept = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts")), None
+    for run in (1, 2, 3):
+        keys = F.col("event_id") if run < 3 else -F.col("event_id") - 1
+        fed = events.select(keys.alias("event_id"), "ts").withColumns({"ts": ts})
+        feed = fed.filter("event_id % 5 = 0 and ts is not null") if run == 2 else fed.unionAll(fed.filter("ts is null"))
+        feed.write.parquet(f"{home}/feed/day={run}")
+        source = own.readStream.schema(fed.schema).parquet(f"{home}/feed")
+        start_arrivals(source.drop("day"), "ts", "1 day", f"{home}/arrivals", f"{home}/cp/arrivals").awaitTermination()
+        silver = arrivals_silver_stream(own, f"{home}/arrivals", fed.schema, ["event_id"], "1 day")
+        start_events_sink(silver, f"{home}/silver", f"{home}/cp/silver").awaitTermination()
+    for kind in ("silver", "late", "untimed"):
+        rows = spark.read.parquet(f"{home}/silver") if kind == "silver" else scan_arrivals(spark, f"{home}/arrivals", kind, fed.schema)
+        rows = _zoneless(rows).select("event_id", "ts", F.lit(kind).alias("kept_in"))
+        kept = rows if kept is None else kept.unionByName(rows)
+    return kept
+
+
 _EVENTS_CSV = TableContract.of("events", "event_id", "event_id long; ts timestamp; user_id long; event_type string; value double")
 
 

@@ -22,12 +22,14 @@ from siltworks.sources import create_database, land_bronze, register_table, scan
 from siltworks.sources.landing import bronze_path
 from siltworks.sources.silver import silver_location, silver_path, write_silver
 from siltworks.streaming import (
-    await_sink,
-    events_silver_stream,
+    BatchReport,
+    arrivals_silver_stream,
+    await_all,
+    scan_arrivals,
     scan_stream,
+    start_arrivals,
     start_events_sink,
     stream_session,
-    untimed_events,
 )
 from siltworks.streaming.events import FILES_PER_BATCH
 
@@ -101,25 +103,27 @@ def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame | None:
 
 
 def _events(spark: SparkSession, args: argparse.Namespace, contract: TableContract, rfc4180: bool) -> DataFrame:
-    """The event stream, and the rows without an event time into a table beside it."""
+    """The arrivals, from one read of the source, and the silver stream of the timely ones among them.
+
+    With a processing time both run on; if one fails, the other is stopped and the job fails.
+    """
     own = stream_session(spark, state_partitions=args.state_partitions, rocksdb=args.rocksdb)
-    checkpoint, time = args.checkpoint.rstrip("/"), args.processing_time
-
-    def source() -> DataFrame:
-        return scan_stream(own, contract, args.source, max_files_per_trigger=args.files_per_batch, rfc4180=rfc4180)
-
-    untimed = silver_path(args.silver, "events_untimed")
-    quarantine = start_events_sink(
-        untimed_events(source(), "created_at"), untimed, f"{checkpoint}/untimed", processing_time=time
-    )
-    silver = events_silver_stream(source(), contract.key, "created_at", args.watermark)
-    query = start_events_sink(
-        silver, silver_path(args.silver, "events"), f"{checkpoint}/events", processing_time=time
-    )
-    late = await_sink(query, f"{checkpoint}/late_rows")
-    quarantine.awaitTermination()
-    rows = spark.read.parquet(untimed).count()
-    return spark.createDataFrame([("events", late, rows)], "table string, late_rows long, untimed_rows long")
+    checkpoint, time, schema = args.checkpoint.rstrip("/"), args.processing_time, contract.schema
+    source = scan_stream(own, contract, args.source, max_files_per_trigger=args.files_per_batch, rfc4180=rfc4180)
+    arrived = silver_path(args.silver, "events_arrivals")
+    with BatchReport(own, f"{checkpoint}/batches"):
+        arrivals = start_arrivals(
+            source, "created_at", args.watermark, arrived, f"{checkpoint}/arrivals", processing_time=time
+        )
+        if not time:
+            arrivals.awaitTermination()
+        silver = start_events_sink(
+            arrivals_silver_stream(own, arrived, schema, contract.key, args.watermark, max_files_per_trigger=args.files_per_batch),
+            silver_path(args.silver, "events"), f"{checkpoint}/events", processing_time=time,
+        )
+        await_all([arrivals, silver])
+    late, untimed = (scan_arrivals(spark, arrived, kind, schema).count() for kind in ("late", "untimed"))
+    return spark.createDataFrame([("events", late, untimed)], "table string, late_rows long, untimed_rows long")
 
 
 def main() -> None:

@@ -8,17 +8,16 @@ from __future__ import annotations
 import datetime
 from collections.abc import Sequence
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from siltworks.contracts import TableContract
 from siltworks.functions import named
 from siltworks.operators import drop_null_key
 from siltworks.plans.conform import Rules, check_rules, in_range, normalise, stamp
+from siltworks.streaming.reports import BatchReport, add_recent, batch_report
 
 _SALT = "__salt"
 _PARTITIONS = "spark.sql.shuffle.partitions"
@@ -78,20 +77,28 @@ def events_silver_stream(
     one source partition; its seed is fixed, so a rerun task draws the same. ``salts=1`` leaves the first step out.
     """
     check_rules(events, rules)
+    timed = as_instant(events, event_time).filter(named(event_time).isNotNull())
+    first = first_of_key(drop_null_key(timed, keys).withWatermark(event_time, watermark), keys, salts)
+    ranged = first.filter(in_range(rules)) if rules.ranges else first
+    return stamp(normalise(ranged, rules), run_date)
+
+
+def as_instant(events: DataFrame, event_time: str) -> DataFrame:
+    """Watermarks need an instant; of a time without a zone the session time zone says which one."""
     if isinstance(events.schema[event_time].dataType, T.TimestampNTZType):
-        # Watermarks need an instant; the session time zone says which one.
-        events = events.withColumns({event_time: named(event_time).cast("timestamp")})
-    timed = events.filter(named(event_time).isNotNull())
-    keyed = drop_null_key(timed, keys).withWatermark(event_time, watermark)
+        return events.withColumns({event_time: named(event_time).cast("timestamp")})
+    return events
+
+
+def first_of_key(events: DataFrame, keys: Sequence[str], salts: int) -> DataFrame:
+    """The first arrival of each key of a stream with a watermark, in two steps if ``salts`` is more than one."""
     if salts > 1:
-        keyed = (
-            keyed.withColumns({_SALT: F.floor(F.rand(_SEED) * salts)})
+        events = (
+            events.withColumns({_SALT: F.floor(F.rand(_SEED) * salts)})
             .dropDuplicatesWithinWatermark([*keys, _SALT])
             .drop(_SALT)
         )
-    first = keyed.dropDuplicatesWithinWatermark(list(keys))
-    ranged = first.filter(in_range(rules)) if rules.ranges else first
-    return stamp(normalise(ranged, rules), run_date)
+    return events.dropDuplicatesWithinWatermark(list(keys))
 
 
 def untimed_events(events: DataFrame, event_time: str, run_date: datetime.date | None = None) -> DataFrame:
@@ -99,6 +106,11 @@ def untimed_events(events: DataFrame, event_time: str, run_date: datetime.date |
     return stamp(events.filter(named(event_time).isNull()), run_date)
 
 
+def trigger(writer: DataStreamWriter, processing_time: str | None) -> DataStreamWriter:
+    """Every so often, or over what is there in bounded batches."""
+    return writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
+
+
 def start_events_sink(
     silver: DataFrame, path: str, checkpoint: str, *, processing_time: str | None = None, name: str | None = None,
     state_partitions: int | None = None,
@@ -112,8 +124,7 @@ def start_events_sink(
     """
     writer = silver.writeStream.format("parquet").outputMode("append")
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)
-    writer = writer.queryName(name) if name else writer
-    writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
+    writer = trigger(writer.queryName(name) if name else writer, processing_time)
     if state_partitions is None:
         return writer.start()
     conf = silver.sparkSession.conf
@@ -125,47 +136,44 @@ def start_events_sink(
         conf.set(_PARTITIONS, before)
 
 
-def _late_by_batch(query: StreamingQuery) -> dict[int, int]:
-    return {p["batchId"]: sum(op["numRowsDroppedByWatermark"] for op in p["stateOperators"]) for p in query.recentProgress}
+def await_all(queries: Sequence[StreamingQuery], poll_seconds: float = 0.5) -> None:
+    """Wait until all queries have ended. If one fails, the others are stopped and its error is raised."""
+    try:
+        while any(query.isActive for query in queries):
+            for query in queries:
+                query.awaitTermination(poll_seconds)  # raises what made the query fail
+    finally:
+        for query in queries:
+            query.stop()
 
 
 def await_sink(query: StreamingQuery, late_report: str, poll_seconds: float = 0.5) -> int:
     """Wait for a query's end; return the rows that all its runs dropped for being behind the watermark.
 
-    Each batch's count is appended to the Parquet table ``late_report`` (``batch_id, late_rows``) soon after the batch,
-    so that later runs from the same checkpoint add to it; a batch that ran again counts once.
+    The sums are kept in ``late_report``, see ``BatchReport``, so that later runs from the same checkpoint add to them;
+    a batch that ran again counts once. To listen from before the start, use ``BatchReport`` itself.
     """
-    spark, kept = SparkSession.active(), {}
-
-    def keep() -> None:
-        new = {b: n for b, n in _late_by_batch(query).items() if kept.get(b) != n}
-        if new:
-            rows = [(batch, late, time.time()) for batch, late in new.items()]
-            table = spark.createDataFrame(rows, "batch_id long, late_rows long, at double")
-            table.coalesce(1).write.mode("append").parquet(late_report)
-            kept.update(new)
-
+    spark = SparkSession.active()
+    report = BatchReport(spark, late_report)
     try:
         while not query.awaitTermination(poll_seconds):
-            keep()
+            add_recent(report, query)
+            report.write_now_and_then()
     finally:
-        keep()
+        add_recent(report, query)
+        report.write()
     return late_rows_of(spark, late_report)
 
 
 def late_rows_of(spark: SparkSession, late_report: str) -> int:
-    """The sum over all batches of a report that ``await_sink`` wrote; 0 if it wrote none."""
-    make = spark._jvm.org.apache.hadoop.fs.Path
-    path = make(late_report)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return 0
-    last = spark.read.parquet(late_report).groupBy("batch_id").agg(F.max_by("late_rows", "at").alias("late_rows"))
-    return last.agg(F.coalesce(F.sum("late_rows"), F.lit(0))).first()[0]
+    """The sum over all queries of a report; 0 if there is none."""
+    return batch_report(spark, late_report).agg(F.coalesce(F.sum("late_rows"), F.lit(0))).first()[0]
 
 
 def late_rows(query: StreamingQuery) -> int:
     """Rows dropped for being behind the watermark, over the progress reports that the query still holds.
 
-    A query holds a hundred of them by default; ``await_sink`` counts every batch.
+    A query holds a hundred of them by default; ``BatchReport`` counts every batch.
     """
-    return sum(_late_by_batch(query).values())
+    last = {p["batchId"]: sum(op["numRowsDroppedByWatermark"] for op in p["stateOperators"]) for p in query.recentProgress}
+    return sum(last.values())

@@ -8,6 +8,7 @@ import pytest
 
 from siltworks import jobs
 from siltworks.contracts import CONTRACTS
+from siltworks.streaming import batch_report
 from siltworks.sources import drop_database
 
 VALUES = {
@@ -90,5 +91,7 @@ def test_events_job(spark, lake):
     report = jobs.run(spark, ["events", *paths, *options])
     assert _rows(report, "*") == [("events", 0, 3)]
     assert spark.read.parquet(f"{lake}/silver/events").count() == 1
-    assert spark.read.parquet(f"{lake}/cp/late_rows").select("batch_id").distinct().count() >= 3
+    sums = {(r["batches"], r["input_rows"], r["late_rows"]) for r in batch_report(spark, f"{lake}/cp/batches").collect()}
+    assert (3, 6, 0) in sums and len(sums) == 2
+    assert jobs.run(spark, ["events", *paths, *options]).first()["untimed_rows"] == 3  # nothing new, nothing twice
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
