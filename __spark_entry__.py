@@ -27,10 +27,15 @@ from siltworks.plans import (  # noqa: E402
     GateFailure,
     ProfileSpec,
     RefineFailure,
+    add_load,
     conform,
+    file_findings,
+    merge_delivery,
+    profile_of_state,
     profile_table,
     refine_all,
     run_gate,
+    silver_of_state,
     silver_table,
     validate_all,
     validate_table,
@@ -151,6 +156,20 @@ def q_write_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_text(spark.read.parquet(path))
 
 
+@_query(_silver_sql("products"))
+def q_silver_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products in four deliveries, the third of which comes again: silver of the merged survivors is that of all rows."""
+    database, home = f"db_{uuid.uuid4().hex}", scratch_dir(spark, "increment")
+    S.create_database(spark, database, f"{home}/db")
+    rows, contract, state = dirty(spark, sf_dir, "products"), STANDIN_CONTRACTS["products"], f"{database}.products"
+    part = F.pmod(F.xxhash64(*rows.columns), F.lit(4))
+    for delivery in (0, 1, 2, 2, 3):
+        merge_delivery(rows.filter(part == delivery), state, contract.key, buckets=8)
+    S.write_silver(silver_of_state(spark, state, contract.key, RULES["products"], RUN_DATE), f"{home}/silver")
+    S.drop_database(spark, database, cascade=True)
+    return _as_text(spark.read.parquet(f"{home}/silver"))
+
+
 def _refine_counts_sql(name: str) -> str:
     contract, rules = STANDIN_CONTRACTS[name], RULES[name]
     keyed = " and ".join(f"{k} is not null" for k in contract.key)
@@ -498,6 +517,27 @@ def q_validate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate_table(spark, STANDIN_CONTRACTS["order_items"], path)
 
 
+@_query(
+    "select l_linenumber % 3 as part, count(*) as row_count, count(*) filter (where l_linenumber % 3 = 1 and l_partkey % 20 = 0)"
+    " as short_rows, count(*) filter (where l_linenumber % 3 = 1 and l_partkey % 20 = 1) as long_rows, 0 as unreadable_rows,"
+    " count(*) filter (where l_linenumber % 3 = 1 and l_partkey % 20 = 2) as null_key_rows, l_linenumber % 3 <> 1 as passed"
+    " from lineitem group by l_linenumber % 3"
+)
+def q_gate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of three directories of files, one of them with rows that are too short, too long or without a key."""
+    home = scratch_dir(spark, "gate-files")
+    for part in (0, 1, 2):
+        rows = table(spark, sf_dir, "lineitem").filter(F.col("l_linenumber") % 3 == part)
+        bad = """case when l_partkey % 20 = 0 then '' || l_orderkey when l_partkey % 20 = 1 then l_orderkey || ',1,"2,3",4'
+                 when l_partkey % 20 = 2 then ',' || l_partkey else l_orderkey || ',' || l_partkey end"""
+        _raw_lines(rows, bad if part == 1 else "l_orderkey || ',' || l_partkey", "id,note", f"{home}/orders.csv/part={part}")
+    contract = TableContract.of("orders", "id", "id long; note string")
+    counts = [c for c in file_findings(spark, contract, f"{home}/orders.csv/part=*").columns if c.endswith(("_rows", "_count"))]
+    found = file_findings(spark, contract, f"{home}/orders.csv/part=*")
+    part = F.regexp_extract("file", "part=([0-9])/", 1).cast("long").alias("part")
+    return found.groupBy(part).agg(*[F.sum(c).alias(c) for c in counts], F.bool_and("passed").alias("passed"))
+
+
 # ---- profiles --------------------------------------------------------------------------------------
 
 
@@ -589,6 +629,21 @@ def q_profile_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile_table(table(spark, sf_dir, "lineitem"), _LINE_PROFILE)
 
 
+@_query(_dirty_profile_sql("users"))
+def q_profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users in three loads, the second of which comes again: the merged profile is that of all rows."""
+    database, home = f"db_{uuid.uuid4().hex}", scratch_dir(spark, "profile-state")
+    S.create_database(spark, database, f"{home}/db")
+    rows, state = dirty(spark, sf_dir, "users"), f"{database}.users"
+    spec, part = _present(PROFILES["users"], rows.columns), F.pmod(F.xxhash64(*rows.columns), F.lit(3))
+    for load in (0, 1, 1, 2):
+        add_load(rows.filter(part == load), spec, state, f"load-{load}", buckets=8)
+    types = {c: rows.schema[c].dataType for c in spec.extremes}
+    profile_of_state(spark, state, spec, types).write.parquet(f"{home}/profile")
+    S.drop_database(spark, database, cascade=True)
+    return spark.read.parquet(f"{home}/profile")
+
+
 # ---- row filters and projections -------------------------------------------------------------------
 
 

@@ -1,4 +1,4 @@
-"""Command line for ``spark-submit``: land, gate, refine, profile, publish, query and events.
+"""Command line for ``spark-submit``: land, gate, files, refine, deliver, profile, publish, query and events.
 
     spark-submit run_job.py land   --raw hdfs:///data/raw --bronze hdfs:///data/bronze
     spark-submit run_job.py refine --bronze hdfs:///data/bronze --silver hdfs:///data/silver --table products
@@ -11,15 +11,28 @@ from __future__ import annotations
 import argparse
 import datetime
 import sys
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.contracts import CONTRACTS, GATE_TABLES, LANDING_TABLES, TableContract, load_contracts
-from siltworks.plans import ProfileSpec, profile_table, refine_all, run_gate
+from siltworks.plans import (
+    RULES,
+    ProfileSpec,
+    Rules,
+    file_findings,
+    merge_delivery,
+    profile_table,
+    refine_all,
+    run_gate,
+    silver_of_state,
+)
+from siltworks.plans.increment import BUCKETS
 from siltworks.sources import create_database, land_bronze, register_table, scan_contract, sql_query
 from siltworks.sources.landing import bronze_path
+from siltworks.sources.versions import KEPT
 from siltworks.sources.silver import silver_location, silver_path, write_silver
 from siltworks.streaming import (
     BatchReport,
@@ -32,6 +45,7 @@ from siltworks.streaming import (
     stream_session,
 )
 from siltworks.streaming.events import FILES_PER_BATCH
+from siltworks.workspace import side_by_side
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -55,6 +69,11 @@ def _parser() -> argparse.ArgumentParser:
     refine = job("refine", "bronze", "silver")
     refine.add_argument("--run-date", type=datetime.date.fromisoformat)
     refine.add_argument("--keep-versions", type=int, help="keep silver tables as so many versions")
+    deliver = job("deliver", "bronze", "silver", "database")
+    deliver.add_argument("--run-date", type=datetime.date.fromisoformat)
+    deliver.add_argument("--buckets", type=int, default=BUCKETS, help="of a table's first delivery")
+    deliver.add_argument("--keep-versions", type=int, default=KEPT)
+    job("files", "bronze")
     job("profile", "bronze")
     job("publish", "silver", "database")
     job("query", "sql", "out", tables=False).add_argument("--database")
@@ -84,6 +103,15 @@ def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame | None:
             spark, args.bronze, args.silver, tables or GATE_TABLES, contracts, run_date=args.run_date, rfc4180=rfc4180,
             multi_line=multi_line, keep_versions=args.keep_versions,
         )
+    if args.job == "deliver":
+        return _deliver(spark, args, contracts, rfc4180, multi_line)
+    if args.job == "files":
+        found = [
+            file_findings(spark, contracts[table], bronze_path(args.bronze, table), rfc4180=rfc4180, multi_line=multi_line, only_bad=True)
+            .select(F.lit(table).alias("table"), "*")
+            for table in tables or GATE_TABLES
+        ]
+        return reduce(DataFrame.unionByName, found)
     if args.job == "profile":
         report = None
         for table in tables or GATE_TABLES:
@@ -102,6 +130,24 @@ def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame | None:
     return _events(spark, args, contracts["events"], rfc4180)
 
 
+def _deliver(
+    spark: SparkSession, args: argparse.Namespace, contracts: Mapping[str, TableContract], rfc4180: bool, multi_line: bool
+) -> DataFrame:
+    """Merge what is in bronze into the survivors of earlier deliveries, and write the silver tables from those."""
+    create_database(spark, args.database)
+
+    def deliver(table: str) -> tuple:
+        contract, state = contracts[table], f"{args.database}.{table}_survivors"
+        delivery = scan_contract(spark, contract, bronze_path(args.bronze, table), rfc4180=rfc4180, multi_line=multi_line)
+        counts = merge_delivery(delivery, state, contract.key, buckets=args.buckets)
+        silver = silver_of_state(spark, state, contract.key, RULES.get(table, Rules()), args.run_date)
+        written = write_silver(silver, silver_path(args.silver, table), keep_versions=args.keep_versions)
+        return table, counts["keys"], counts["new"], counts["again"], written
+
+    rows = side_by_side(spark, deliver, args.table or GATE_TABLES)
+    return spark.createDataFrame(rows, "table string, keys long, new long, again long, rows_written long")
+
+
 def _events(spark: SparkSession, args: argparse.Namespace, contract: TableContract, rfc4180: bool) -> DataFrame:
     """The arrivals, from one read of the source, and the silver stream of the timely ones among them.
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from siltworks.contracts import CONTRACTS, GATE_TABLES, TableContract
 from siltworks.functions import has_key, named
-from siltworks.sources.csv import MALFORMED, scan_strings
+from siltworks.sources.csv import MALFORMED, field_count, scan_strings
 from siltworks.sources.landing import bronze_path
 from siltworks.workspace import error_class, side_by_side
 
@@ -93,6 +93,41 @@ def validate_table(
     )
 
 
+def file_findings(
+    spark: SparkSession, contract: TableContract, path: str, *, rfc4180: bool = True, multi_line: bool = False,
+    only_bad: bool = False,
+) -> DataFrame:
+    """One row per file of a table: which of them have short or long rows, or rows without a key.
+
+    ``file, row_count, short_rows, long_rows, unreadable_rows, null_key_rows, passed``: a file passes if it has none
+    of these. Files without a row do not appear; if the header lacks a key column, every row is without a key.
+    ``only_bad`` leaves out the files that pass. One pass over whole rows; tasks send a row per file that they read.
+    A path that cannot be read raises, as any scan of it does.
+    """
+    rows = scan_strings(spark, path, rfc4180=rfc4180, multi_line=multi_line, flag_malformed=True)
+    columns = [c for c in rows.columns if c != MALFORMED]
+    if not columns:
+        raise ValueError(f"{path} has no header line")
+    missing = [k for k in contract.key if k not in columns]
+    bad, fields = F.col(MALFORMED).isNotNull(), field_count(F.col(MALFORMED), rfc4180)
+    # Spark refuses a scan for the flag alone: this, which is always true, names another column.
+    any_row = F.coalesce(named(columns[0]), F.lit("")) != F.lit("\x00")
+    kind = F.when(bad, F.when(fields < len(columns), "short").when(fields > len(columns), "long").otherwise("unreadable"))
+    null_key = any_row if missing else ~has_key(contract.key) & any_row
+    marked = rows.select(
+        F.col("_metadata.file_path").alias("file"), kind.alias("kind"),
+        (~bad & null_key).alias("null_key"),
+    )
+    counts = marked.groupBy("file").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        *[F.count_if(F.col("kind") == kind).alias(f"{kind}_rows") for kind in ("short", "long", "unreadable")],
+        F.count_if("null_key").alias("null_key_rows"),
+    )
+    flawed = F.col("short_rows") + F.col("long_rows") + F.col("unreadable_rows") + F.col("null_key_rows")
+    judged = counts.withColumn("passed", flawed == 0)
+    return judged.filter(~F.col("passed")) if only_bad else judged
+
+
 def validate_all(
     spark: SparkSession, bronze_dir: str, tables: Iterable[str] = GATE_TABLES,
     contracts: Mapping[str, TableContract] = CONTRACTS, *, rfc4180: bool = True, check_names: bool = False,

@@ -54,7 +54,7 @@ PROFILES: Mapping[str, ProfileSpec] = {
 }
 
 
-def _row_measures(df: DataFrame, spec: ProfileSpec) -> DataFrame:
+def row_measures(df: DataFrame, spec: ProfileSpec) -> DataFrame:
     """Every check that looks at one row, for all columns, in one pass without an exchange of rows."""
 
     def entry(label: str, is_null: Column) -> Column:
@@ -79,19 +79,19 @@ def _row_measures(df: DataFrame, spec: ProfileSpec) -> DataFrame:
 
     entries = [entry(name, X.named(name).isNull()) for name in df.columns]
     if len(spec.key) > 1:
-        entries.append(entry(_label(spec.key), ~X.has_key(spec.key)))
+        entries.append(entry(label_of(spec.key), ~X.has_key(spec.key)))
     return df.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
 
 
-def _label(key: tuple[str, ...]) -> str:
+def label_of(key: tuple[str, ...]) -> str:
     return ",".join(key)
 
 
-def _group_measures(df: DataFrame, spec: ProfileSpec) -> DataFrame:
-    """Distinct and repeated values of the key and of each ``groups`` column, in one scan.
+def value_groups(df: DataFrame, spec: ProfileSpec) -> DataFrame:
+    """Rows per value of the key and of each ``groups`` column, in one scan: ``set_id, __label, copies`` and the columns.
 
     The grouping sets count rows per (column, value), combined per task before the exchange, so a value
-    that fills the table is one row per task; a second small count folds that to one row per column.
+    that fills the table is one row per task. Columns that a row is not about are NULL.
     """
     sets = list(dict.fromkeys([spec.key, *[(name,) for name in spec.groups]]))
     columns = list(dict.fromkeys(name for group in sets for name in group))
@@ -100,12 +100,24 @@ def _group_measures(df: DataFrame, spec: ProfileSpec) -> DataFrame:
     )
     # A set's id has one bit per grouping column, leftmost highest, set where the column is not in it.
     ids = [int("".join("0" if c in group else "1" for c in columns), 2) for group in sets]
-    labels = [part for i, group in zip(ids, sets) for part in (F.lit(i).cast("long"), F.lit(_label(group)))]
+    labels = [part for i, group in zip(ids, sets) for part in (F.lit(i).cast("long"), F.lit(label_of(group)))]
     # Every id has a label; saying so keeps the join from testing it for NULL on each expanded row.
     label = F.coalesce(F.create_map(*labels)[F.col("set_id")], F.lit(""))
-    return grouped.groupBy("set_id").agg(
+    return grouped.withColumn("__label", label)
+
+
+def _group_measures(df: DataFrame, spec: ProfileSpec) -> DataFrame:
+    """Distinct and repeated values, folded to one row per column by a second small count."""
+    folded = value_groups(df, spec).groupBy("set_id", "__label").agg(
         F.count(F.lit(1)).alias("distinct_count"), F.count_if(F.col("copies") > 1).alias("duplicated_values")
-    ).select(label.alias("column_name"), "distinct_count", "duplicated_values")
+    )
+    return folded.select(F.col("__label").alias("column_name"), "distinct_count", "duplicated_values")
+
+
+def check_spec(df: DataFrame, spec: ProfileSpec) -> None:
+    named = {*spec.key, *spec.padded, *spec.lower, *spec.groups, *spec.extremes, *spec.bad}
+    if missing := sorted(named - set(df.columns)):
+        raise ValueError(f"profile names columns {missing}, which are not in {df.columns}")
 
 
 def profile_table(df: DataFrame, spec: ProfileSpec) -> DataFrame:
@@ -114,18 +126,15 @@ def profile_table(df: DataFrame, spec: ProfileSpec) -> DataFrame:
     ``distinct_count`` counts NULL as a value; ``duplicated_values`` counts values found more than once.
     Checks that the spec does not ask for are NULL.
     """
-    known = set(df.columns)
-    named = {*spec.key, *spec.padded, *spec.lower, *spec.groups, *spec.extremes, *spec.bad}
-    if missing := sorted(named - known):
-        raise ValueError(f"profile names columns {missing}, which are not in {df.columns}")
+    check_spec(df, spec)
     groups = _group_measures(df, spec)
-    grouped = F.col("column_name").isin(_label(spec.key), *spec.groups)
+    grouped = F.col("column_name").isin(label_of(spec.key), *spec.groups)
 
     def counted(name: str) -> Column:
         return F.when(grouped, F.coalesce(F.col(name), F.lit(0))).alias(name)  # an empty table has no groups
 
     # At most one row per grouping set, whatever the size of the table: safe to broadcast.
-    return _row_measures(df, spec).join(F.broadcast(groups), "column_name", "left").select(
+    return row_measures(df, spec).join(F.broadcast(groups), "column_name", "left").select(
         "column_name",
         "row_count",
         "null_count",

@@ -9,6 +9,7 @@ from siltworks.sources.catalog import (
     publish_table,
     read_table,
     register_table,
+    replace_table,
     sql_query,
 )
 from siltworks.sources.csv import scan_contract, scan_inferred, scan_strings, write_strings
@@ -31,6 +32,7 @@ __all__ = [
     "read_silver",
     "read_table",
     "register_table",
+    "replace_table",
     "scan_contract",
     "scan_inferred",
     "scan_strings",

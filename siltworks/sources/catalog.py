@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -125,9 +126,14 @@ def publish_table(
             raise
         version.commit(keep_versions)
         return
+    replace_table(spark, table, lambda staged: df.write.format(provider).saveAsTable(staged))
+
+
+def replace_table(spark: SparkSession, table: str, write: Callable[[str], None]) -> None:
+    """Let ``write`` make a table of another name, then give that the table's name. A failure leaves the earlier one."""
     staged = _sibling(table, "new")
     try:
-        df.write.format(provider).saveAsTable(staged)
+        write(staged)
         _put_in_place(spark, staged, table)
     except BaseException:
         _remove_staged(spark, staged)

@@ -8,7 +8,8 @@ whole, whatever columns are asked for, and the column ``MALFORMED`` has the text
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltworks.contracts import TableContract
@@ -20,6 +21,15 @@ _TIMESTAMP_OUT = "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"
 _TIMESTAMP_NTZ_OUT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
+# Fields in quotes, for counting the separators outside them: quotes inside are doubled, or follow a backslash.
+_DOUBLED, _ESCAPED = r'"[^"]*+(?:""[^"]*+)*+"', r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+
+
+def field_count(line: Column, rfc4180: bool = True) -> Column:
+    """How many fields a line has, for telling short rows from long ones among those that the reader has marked."""
+    return F.size(F.split(F.regexp_replace(line, _DOUBLED if rfc4180 else _ESCAPED, ""), ",", -1))
+
+
 def _reader(spark: SparkSession, rfc4180: bool, multi_line: bool = False) -> DataFrameReader:
     reader = spark.read.option("header", True).option("multiLine", multi_line)
     return reader.options(**_DOUBLED_QUOTE) if rfc4180 else reader

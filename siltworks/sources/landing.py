@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from siltworks.contracts import CONTRACTS, LANDING_TABLES, TableContract
 from siltworks.functions import named
-from siltworks.sources.csv import MALFORMED, scan_strings, write_strings
+from siltworks.sources.csv import MALFORMED, field_count, scan_strings, write_strings
 from siltworks.sources.replace import Refused, file_system, qualified, remove_directory, replace_directory
 from siltworks.workspace import error_class, session_like, side_by_side
 
@@ -28,8 +28,6 @@ REPORT_SCHEMA = (
 
 REJECTS_SCHEMA = "file string, reason string, line string"
 _PART, _KEPT, _REJECTED = "__part", "kept", "rejected"
-# Fields in quotes, for counting the separators outside them: quotes inside are doubled, or follow a backslash.
-_DOUBLED, _ESCAPED = '"[^"]*+(?:""[^"]*+)*+"', r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 # Both outputs of a task are open at a time; else Spark would sort the rows by output first.
 _TWO_OUTPUTS = {"spark.sql.maxConcurrentOutputFileWriters": "2"}
 
@@ -67,8 +65,7 @@ def split_rows(raw: DataFrame, rfc4180: bool = True) -> DataFrame:
     """
     columns = [c for c in raw.columns if c != MALFORMED]
     line, bad = named(MALFORMED), named(MALFORMED).isNotNull()
-    outside = F.regexp_replace(line, _DOUBLED if rfc4180 else _ESCAPED, "")
-    fields = F.size(F.split(outside, ",", -1))
+    fields = field_count(line, rfc4180)
     reason = F.when(fields < len(columns), "too few fields").when(fields > len(columns), "too many fields").otherwise("unreadable")
     why = F.to_json(F.struct(F.col("_metadata.file_path").alias("file"), reason.alias("reason"), line.alias("line")))
     return raw.select(
