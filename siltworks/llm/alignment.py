@@ -17,6 +17,7 @@ import hashlib
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import chain, repeat
 from pathlib import Path
 
 import numpy as np
@@ -30,10 +31,11 @@ from siltworks.llm.words import chunks
 
 SLICE = 1 << 22  # pairs of a broadcast: 12 bytes each
 PART = 1 << 17  # pieces of text that are aligned at a time
-REMEMBERED = 200_000  # pieces of text a task keeps the tokens of
+REMEMBERED = 400_000  # pieces of text that a worker keeps the tokens of
 FLUSH = 1 << 22  # pairs a task counts before it passes the counts on
 
-_UNUSUAL = re.compile(r"[^\S ]|  |▁")  # white space besides single spaces, and what one tokenizer reads as a space
+_RARE = re.compile(r"[^\S \n]|▁")  # other white space, and what one tokenizer reads as a space
+_NO_CUT = re.compile(r"\s | \s| $")
 # A space between two characters that are neither white space nor read as a space: both begin a token with it.
 _CUT = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
 
@@ -43,34 +45,39 @@ def diagonal_groups(ends_a: Sequence[int], ends_b: Sequence[int]) -> tuple[np.nd
     stretch_i, stretch_j, stretch_n, odd_i, odd_j = [], [], [], [], []
     i = j = 0
     n = len(ends_a)
+    ends_a, ends_b = [*ends_a, -1], [*ends_b, -2]  # no probe passes the end
     while i < n:
-        x, y = ends_a[i], ends_b[j]
-        if x == y:
-            k, step = 1, 2
-            while (part := ends_a[i + k : i + k + step]) and part == ends_b[j + k : j + k + step]:
-                k += len(part)
-                step += step
-            while step > 1:  # the difference lies within the last probe
-                step >>= 1
-                if (part := ends_a[i + k : i + k + step]) and part == ends_b[j + k : j + k + step]:
-                    k += len(part)
+        if ends_a[i] == ends_b[j]:
+            k = 1
+            if ends_a[i + 1] == ends_b[j + 1]:
+                k = step = 2
+                while ends_a[i + k : i + k + step] == ends_b[j + k : j + k + step]:
+                    k += step
+                    step += step
+                while step > 2:  # the difference lies within the last probe
+                    step >>= 1
+                    if ends_a[i + k : i + k + step] == ends_b[j + k : j + k + step]:
+                        k += step
+                k += ends_a[i + k] == ends_b[j + k]
             stretch_i.append(i)
             stretch_j.append(j)
             stretch_n.append(k)
             i += k
             j += k
-        else:
-            while x != y:
-                if x < y:
-                    i += 1
-                    x = ends_a[i]
-                else:
-                    j += 1
-                    y = ends_b[j]
-            i += 1
-            j += 1
-            odd_i.append(i)
-            odd_j.append(j)
+            if i == n:
+                break
+        x, y = ends_a[i], ends_b[j]
+        while x != y:  # an irregular group: on to the next end that both have
+            if x < y:
+                i += 1
+                x = ends_a[i]
+            else:
+                j += 1
+                y = ends_b[j]
+        i += 1
+        j += 1
+        odd_i.append(i)
+        odd_j.append(j)
     length = np.array(stretch_n, dtype=np.int64)
     step = np.arange(1, int(length.sum()) + 1) - np.repeat(np.cumsum(length) - length, length)
     groups = []
@@ -144,56 +151,70 @@ class _Pieces:
         # How ids are spelt in the text of groups: first in a group, or after another one.
         self.spelt_a = np.array([f";{i}" for i in range(self.size_a)] + [f",{i}" for i in range(self.size_a)], dtype=object)
         self.spelt_b = np.array([f"|{i}" for i in range(self.size_b)] + [f",{i}" for i in range(self.size_b)], dtype=object)
-        self.forget()
+        self.ids, self.first = [np.zeros(0, np.int32)] * 2, [np.zeros(1, np.int64)] * 2
+        self.exact, self.met = np.zeros(0, dtype=bool), np.zeros(0, dtype=np.int64)
 
     def forget(self) -> None:
-        self.number.clear()
-        self.ids = [np.zeros(0, np.int32), np.zeros(0, np.int32)]
-        self.first = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
-        self.exact = np.zeros(0, dtype=bool)
+        """Start over, with the pieces that came in more than one call of ``numbers``."""
+        kept = np.flatnonzero(self.met > 1) if self.number else np.zeros(0, dtype=np.int64)
+        if len(kept) > REMEMBERED // 2:
+            kept = kept[:0]
+        words = list(self.number)
+        tokens = [self.tokens(side, kept) for side in (0, 1)] if len(kept) else [(np.zeros(0, np.int32), kept)] * 2
+        self.number = {words[i]: at for at, i in enumerate(kept.tolist())}
+        self.ids = [ids for ids, _ in tokens]
+        self.first = [np.concatenate([[0], np.cumsum(counts)]).astype(np.int64) for _, counts in tokens]
+        self.exact = self.exact[kept]
+        self.met = np.ones(len(kept), dtype=np.int64)
 
     def numbers(self, parts: list[str]) -> np.ndarray:
         """The number of each piece of text; new ones are tokenized."""
-        new = [part for part in dict.fromkeys(parts) if part not in self.number]
-        if new:
+        found = np.fromiter(map(self.number.get, parts, repeat(-1)), np.int64, len(parts))
+        unknown = np.flatnonzero(found < 0).tolist()
+        if unknown:
+            new = list(dict.fromkeys([parts[i] for i in unknown]))
             spaced = [" " + part for part in new]
-            tokens_a = self._ids_a(spaced)
-            tokens_b = self.b.encode(new, num_threads=1)
-            bytes_a, bytes_b = self.bytes_a, self.bytes_b
-            exact = [
-                b"".join([bytes_a[i] for i in a]) == (text := part.encode()) and b"".join([bytes_b[i] for i in b]) == text
-                for part, a, b in zip(spaced, tokens_a, tokens_b)
-            ]
-            for side, tokens in ((0, tokens_a), (1, tokens_b)):
-                counts = np.fromiter(map(len, tokens), np.int64, len(tokens))
-                flat = np.fromiter((i for own in tokens for i in own), np.int32, int(counts.sum()))
-                self.ids[side] = np.concatenate([self.ids[side], flat])
-                self.first[side] = np.concatenate([self.first[side], self.first[side][-1] + np.cumsum(counts)])
-            self.exact = np.concatenate([self.exact, np.array(exact, dtype=bool)])
+            sizes = np.fromiter(map(len, map(str.encode, spaced)), np.int64, len(new))
+            exact = np.ones(len(new), dtype=bool)
+            for side, (ids, counts), spelt, length in (
+                (0, self._tokens_a(spaced, sizes), self.bytes_a, self.length_a),
+                (1, _ragged(self.b.encode(new, num_threads=1)), self.bytes_b, self.length_b),
+            ):
+                first = np.concatenate([[0], np.cumsum(counts)])
+                upto = np.concatenate([[0], np.cumsum(length[ids])])
+                exact &= upto[first[1:]] - upto[first[:-1]] == sizes
+                if not exact.all() or b"".join(map(spelt.__getitem__, ids.tolist())) != "".join(spaced).encode():
+                    own = ids.tolist()
+                    for k, text in enumerate(spaced):
+                        exact[k] &= b"".join([spelt[i] for i in own[first[k] : first[k + 1]]]) == text.encode()
+                self.ids[side] = np.concatenate([self.ids[side], ids])
+                self.first[side] = np.concatenate([self.first[side], self.first[side][-1] + first[1:]])
+            self.exact = np.concatenate([self.exact, exact])
+            self.met = np.concatenate([self.met, np.zeros(len(new), dtype=np.int64)])
             at = len(self.number)
             self.number.update(zip(new, range(at, at + len(new))))
-        return np.fromiter(map(self.number.__getitem__, parts), np.int64, len(parts))
+            found[unknown] = [self.number[parts[i]] for i in unknown]
+        self.met[found] += 1  # once for each call, however often it has the piece
+        return found
 
-    def _ids_a(self, texts: list[str]) -> list[list[int]]:
-        """The tokens of texts that begin with a space: many at a time as one text, cut again by their bytes.
+    def _tokens_a(self, texts: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of texts that begin with a space, one after the other, and how many each has.
 
-        Only texts that end and begin with a cut may be joined; the others are tokenized one by one.
+        Texts that begin and end with a cut are tokenized many at a time as one text and cut again by their bytes;
+        if any other is among them, one by one.
         """
-        out: list[list[int]] = [[]] * len(texts)
-        plain = [i for i, text in enumerate(texts) if not text[1:2].isspace() and not text[-1].isspace() and len(text) > 1]
-        rest = sorted(set(range(len(texts))).difference(plain))
-        for i, encoded in zip(rest, self.a.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
-            out[i] = encoded.ids
-        for at in range(0, len(plain), 64):
-            own = plain[at : at + 64]
-            ids = self.a.encode("".join([texts[i] for i in own]), add_special_tokens=False).ids
-            ends = np.cumsum(self.length_a[ids])
-            cuts = np.searchsorted(ends, np.cumsum([len(texts[i].encode()) for i in own])) + 1
-            start = 0
-            for i, cut in zip(own, cuts.tolist()):
-                out[i] = ids[start:cut]
-                start = cut
-        return out
+        flat, counts = [], []
+        for at in range(0, len(texts), 64):
+            own = texts[at : at + 64]
+            joined = "".join(own)
+            if _NO_CUT.search(joined) or joined[-1].isspace():
+                ids, n = _ragged([x.ids for x in self.a.encode_batch_fast(own, add_special_tokens=False)])
+            else:
+                ids = np.array(self.a.encode(joined, add_special_tokens=False).ids, dtype=np.int32)
+                n = np.diff(np.searchsorted(np.cumsum(self.length_a[ids]), np.cumsum(sizes[at : at + 64])) + 1, prepend=0)
+            flat.append(ids)
+            counts.append(n)
+        return np.concatenate(flat), np.concatenate(counts)
 
     def tokens(self, side: int, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of the pieces in order, and how many each has."""
@@ -203,8 +224,24 @@ class _Pieces:
         return self.ids[side][np.arange(int(counts.sum())) + np.repeat(first[numbers] - begins, counts)], counts
 
 
+def _ragged(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    counts = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int32, int(counts.sum())), counts
+
+
+_OPEN: list[_Pieces] = []
+
+
+def _of_this_worker(tokenizers: Tokenizers) -> _Pieces:
+    """What earlier tasks of the same process have opened and remembered, if it was for the same vocabularies."""
+    if not _OPEN or _OPEN[0].tokenizers != tokenizers:
+        _OPEN[:] = [_Pieces(tokenizers)]
+    return _OPEN[0]
+
+
 def _split(text: str) -> list[str]:
-    if _UNUSUAL.search(text) is None and text[0] != " " != text[-1]:
+    plain = "  " not in text and " \n" not in text and "\n " not in text and text[0] != " " != text[-1]
+    if plain and _RARE.search(text) is None:
         return text.split(" ")
     return _CUT.split(text)
 
@@ -306,7 +343,7 @@ def token_groups(docs: DataFrame, byte_level: str, pieces: str, digest: bool = F
     )
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Pieces(shared.value)
+        known = _of_this_worker(shared.value)
         every = size_a * size_b
         for batch in batches:
             for part in chunks(batch, 1, 1 << 20):
