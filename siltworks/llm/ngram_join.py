@@ -5,6 +5,10 @@ in whatever order all tokens are put. Here the first order is by rising frequenc
 of the prefixes; it generates the candidates. Two more orders are random; a candidate pair must also share a
 token in its prefixes under both before its sets are compared.
 
+Of a pair, the smaller set (of equal ones that with the smaller class) shares such a token already among its first
+n - ceil(2t / (1 + t) n) + 1. Tokens that no set has there make no pair. For sets of equal size that are alike but not
+similar, as pages from one template, these shorter prefixes hold only tokens of their own.
+
 Texts with equal sets are one class, and classes are joined, not texts. Candidates come in two steps, so that a
 group of thousands of near copies does not give all its pairs: first every class is compared with one class of
 each prefix token, then only classes that share a token, are not yet connected, and have
@@ -50,6 +54,11 @@ def needed(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def needed_by_smaller(n: int, percent: int) -> int:
+    """The least overlap that a set of n tokens can have with a similar set that is not smaller."""
+    return -(-2 * percent * n // (100 + percent))
+
+
 def set_class(tokens: np.ndarray) -> int:
     """A 64-bit name of the set; 0 for the empty set."""
     if not len(tokens):
@@ -115,7 +124,10 @@ def _total_counts(pieces: DataFrame) -> np.ndarray:
 
 
 def _prefix_tokens(texts: DataFrame, frequency: np.ndarray, k: int, percent: int) -> DataFrame:
-    """``k, owner, extra``: prefix tokens that several classes have, with the classes and their sizes."""
+    """``k, owner, extra``: prefix tokens that several classes have, with the classes and twice their sizes.
+
+    The extra is odd where the token is also in the shorter prefix of the class as the smaller set of a pair.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(frequency)
     most = 1 << 20
 
@@ -133,7 +145,8 @@ def _prefix_tokens(texts: DataFrame, frequency: np.ndarray, k: int, percent: int
                     prefix = tokens[order[: n - needed(n, percent) + 1]]
                     keys.append(prefix)
                     owners.append(np.full(len(prefix), cls, dtype=np.int64))
-                    sizes.append(np.full(len(prefix), n, dtype=np.int32))
+                    shorter = n - needed_by_smaller(n, percent) + 1
+                    sizes.append((2 * n + (np.arange(len(prefix)) < shorter)).astype(np.int32))
                     held += len(prefix)
                 if held >= most:
                     yield tuple(np.concatenate(x) for x in (keys, owners, sizes))
@@ -145,15 +158,15 @@ def _prefix_tokens(texts: DataFrame, frequency: np.ndarray, k: int, percent: int
 
 
 class _Sets:
-    """Tokens of a document and their prefixes under the random orders; the last document is remembered."""
+    """Tokens of a class and their prefixes under the random orders; the last class is remembered."""
 
     def __init__(self, k: int, percent: int):
         self.k, self.percent, self.last = k, percent, (None, None)
 
-    def of(self, doc_id: int, text: str) -> tuple[np.ndarray, list[np.ndarray]]:
-        if self.last[0] != doc_id:
+    def of(self, cls: int, text: str) -> tuple[np.ndarray, list[np.ndarray]]:
+        if self.last[0] != cls:
             tokens = next(shingle_sets(words_of(pa.array([text], pa.large_string()), lower=True), self.k))
-            self.last = (doc_id, (tokens, self._prefixes(tokens)))
+            self.last = (cls, (tokens, self._prefixes(tokens)))
         return self.last[1]
 
     def _prefixes(self, tokens: np.ndarray) -> list[np.ndarray]:
@@ -169,7 +182,7 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` that are similar; ``texts`` has the text of each ``doc_id``."""
+    """The pairs ``a, b`` of classes that are similar; ``texts`` has a text of each ``cls``."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right = _Sets(k, percent), _Sets(k, percent)
@@ -183,8 +196,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
                         found.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["u", "v"])
 
-    with_b = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
-    both = with_b.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
+    with_b = pairs.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
+    both = with_b.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
     return arrow_map(both.select("a", "b", "text_a", "text_b"), check, "u long, v long")
 
 
@@ -202,8 +215,8 @@ def ngram_join(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> Dat
     lower-cased; a text of fewer words is one shingle; texts without words link with nothing).
 
     NULL and empty texts have no shingles and stand alone. Rows without an id take no part and have a NULL
-    component. Rows that repeat an id are judged each by its own text. An empty table gives no rows. Ids must be
-    whole numbers.
+    component. Rows that repeat an id are rows of their own, each judged by its own text: one id may be in two
+    components, which that does not connect. An empty table gives no rows. Ids must be whole numbers.
 
     Counters of all tokens, 4 MB at any size, are the only thing that goes through the driver. Prefix tokens of
     one class only are dropped in numpy buckets; what is left is joined by token with plain exchanges, which
@@ -219,76 +232,90 @@ def ngram_join(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> Dat
     reps = written(reps, "ngram-reps")
 
     named = texts.filter("doc_id is not null")
+    size, shorter = F.shiftright("extra", 1), F.col("extra").bitwiseAND(F.lit(1)) == 1
     found = _prefix_tokens(named, frequency, k, percent)
-    found = found.select(F.col("k").alias("token"), F.col("owner").alias("own"), F.col("extra").alias("n"))
-    tokens = written(
-        found.join(reps.select("cls", "doc_id").hint("merge"), F.col("own") == F.col("cls")).select("token", "doc_id", "n", "cls"), "ngram-members"
-    )
+    found = written(found.select(F.col("k").alias("token"), F.col("owner").alias("cls"), size.alias("n"), shorter.alias("shorter")), "ngram-found")
     release_shuffles(docs.sparkSession)
-    pivots = tokens.groupBy("token").agg(F.min(F.struct("doc_id", "n")).alias("p"), F.max("doc_id").alias("last"))
-    pivots = pivots.filter("p.doc_id < last").select(F.col("token").alias("of"), F.col("p.doc_id").alias("a"), F.col("p.n").alias("n_a"))
-    rep_texts = written(_rep_texts(named, tokens, k), "ngram-texts")
+    pivots = found.groupBy("token").agg(
+        F.min(F.struct("cls", "n")).alias("p"), F.max("cls").alias("last"), F.bool_or("shorter").alias("pairs")
+    )
+    pivots = pivots.filter("pairs and p.cls < last").select(F.col("token").alias("of"), F.col("p.cls").alias("a"), F.col("p.n").alias("n_a"))
+    tokens = written(found.join(pivots.hint("merge"), F.col("token") == F.col("of")).drop("of"), "ngram-members")
+    rep_texts = written(_rep_texts(named, tokens, reps, k), "ngram-texts")
 
     release_shuffles(docs.sparkSession)
-    first = tokens.join(written(pivots, "ngram-pivots").hint("merge"), F.col("token") == F.col("of"))
-    first = first.filter((F.col("a") != F.col("doc_id")) & _fitting("n", "n_a", percent))
-    first = first.select("a", F.col("doc_id").alias("b")).distinct()
+    first = tokens.filter((F.col("a") != F.col("cls")) & _fitting("n", "n_a", percent))
+    first = first.select("a", F.col("cls").alias("b")).distinct()
     links = written(_verified(first, rep_texts, k, percent), "ngram-links")
     release_shuffles(docs.sparkSession)
     stars = written(components(links), "ngram-stars")
 
     rest = _unconnected(tokens, stars, reps, percent)
     more = written(_verified(rest, rep_texts, k, percent), "ngram-links")
-    joined = components(stars.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(more))
-
-    rows = sets.select("doc_id", "n", F.col("cls").alias("own")).join(reps.select("cls", F.col("doc_id").alias("rep")).hint("merge"), F.col("own") == F.col("cls"), "left")
-    rows = rows.join(joined.hint("merge"), F.col("rep") == F.col("node"), "left")
-    label = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
+    joined = written(components(stars.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(more)), "ngram-joined")
+
+    # A component is named by its smallest id, that of its class which has the smallest.
+    both = joined.select("node", "component").unionAll(joined.select(F.col("component").alias("node"), "component").distinct())
+    ids = both.join(reps.select("cls", "doc_id").hint("merge"), F.col("node") == F.col("cls")).select("node", "component", "doc_id")
+    least = ids.groupBy("component").agg(F.min("doc_id").alias("label")).withColumnRenamed("component", "of")
+    labels = ids.join(least.hint("merge"), F.col("component") == F.col("of")).select("node", "label")
+    own = reps.select("cls", "doc_id").join(labels.hint("merge"), F.col("cls") == F.col("node"), "left")
+    own = own.select(F.col("cls").alias("of"), F.coalesce("label", "doc_id").alias("label"))
+    rows = sets.select("doc_id", "n", "cls").join(own.hint("merge"), F.col("cls") == F.col("of"), "left")
+    label = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id"))
     kind = docs.schema["doc_id"].dataType
     return rows.select(F.col("doc_id").cast(kind), F.col("n").alias("n_shingles"), label.cast(kind).alias("component_id"))
 
 
-def _rep_texts(texts: DataFrame, tokens: DataFrame, k: int) -> DataFrame:
-    """``doc_id, text`` of the documents that stand for the tokens' classes. An id may have other texts as well."""
-    wanted = tokens.select(F.col("doc_id").alias("rep"), "cls").distinct()
+def _rep_texts(texts: DataFrame, tokens: DataFrame, reps: DataFrame, k: int) -> DataFrame:
+    """``cls, text`` of the tokens' classes, each by the document that stands for it, which may have other texts as well."""
+    classes = tokens.select(F.col("cls").alias("own")).distinct()
+    wanted = reps.select("cls", F.col("doc_id").alias("rep")).join(classes.hint("merge"), F.col("cls") == F.col("own")).select("cls", "rep")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, 1):
                 classes = [set_class(t) for t in shingle_sets(words_of(part.column(1), lower=True), k)]
-                same = pa.array(np.array(classes, dtype=np.int64) == part.column(2).to_numpy())
-                yield part.filter(same).select([0, 1])
+                same = pa.array(np.array(classes, dtype=np.int64) == part.column(0).to_numpy())
+                yield part.filter(same)
 
-    found = texts.join(wanted.hint("merge"), F.col("doc_id") == F.col("rep")).select("doc_id", "text", "cls")
-    return arrow_map(found, scan, "doc_id long, text string")
+    found = texts.join(wanted.hint("merge"), F.col("doc_id") == F.col("rep")).select("cls", "text")
+    return arrow_map(found, scan, "cls long, text string")
 
 
 def _unconnected(tokens: DataFrame, stars: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs of documents that share a token and are in different components so far.
+    """Pairs of classes that share a token, the smaller set in its shorter prefix, and are in different components so far.
 
-    A token whose documents are all connected gives none. Where most of a token's documents are in one component,
+    A token whose classes are all connected gives none. Where most of a token's classes are in one component,
     only the others are paired with them. Sets whose bitmaps differ in more bits than similar sets may differ in
     tokens are no pair, which leaves few pairs of a group of texts that are alike but not similar.
     """
-    member = tokens.join(stars.hint("merge"), F.col("doc_id") == F.col("node"), "left")
-    member = written(member.select("token", "doc_id", "n", "cls", F.coalesce("component", "doc_id").alias("comp")), "ngram-grouped")
-    sizes = member.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("m"))
-    major = sizes.groupBy("token").agg(F.max(F.struct("m", "comp")).alias("most"), F.count(F.lit(1)).alias("comps"))
-    major = written(major.filter("comps > 1").select(F.col("token").alias("of"), F.col("most.comp").alias("major")), "ngram-major")
-    mixed = member.join(major.hint("merge"), F.col("token") == F.col("of")).drop("of")
+    member = tokens.select("token", "cls", "n", "shorter").join(stars.hint("merge"), F.col("cls") == F.col("node"), "left")
+    member = written(member.select("token", "cls", "n", "shorter", F.coalesce("component", "cls").alias("comp")), "ngram-grouped")
+    sizes = member.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("m"), F.bool_or("shorter").alias("pairs"))
+    major = sizes.groupBy("token").agg(
+        F.max(F.struct("m", "comp")).alias("most"), F.count(F.lit(1)).alias("comps"), F.bool_or("pairs").alias("pairs")
+    )
+    major = major.filter("comps > 1 and pairs").select(F.col("token").alias("of"), F.col("most.comp").alias("major"))
+    mixed = member.join(written(major, "ngram-major").hint("merge"), F.col("token") == F.col("of")).drop("of")
     maps = [f"b{i}" for i in range(BITS)]
     mapped = reps.select(F.col("cls").alias("rep"), *maps)
-    mixed = written(mixed.join(mapped.hint("merge"), F.col("cls") == F.col("rep")).drop("rep", "cls"), "ngram-mixed")
-    minor = mixed.filter("comp <> major").select(
-        F.col("token").alias("of"), F.col("doc_id").alias("id1"), F.col("n").alias("n1"), F.col("comp").alias("comp1"),
-        *[F.col(b).alias(f"{b}_1") for b in maps],
+    mixed = written(mixed.join(mapped.hint("merge"), F.col("cls") == F.col("rep")).drop("rep"), "ngram-mixed")
+    smaller = mixed.filter("shorter").select(
+        F.col("token").alias("of"), F.col("cls").alias("cls1"), F.col("n").alias("n1"), F.col("comp").alias("comp1"),
+        (F.col("comp") == F.col("major")).alias("major1"), *[F.col(b).alias(f"{b}_1") for b in maps],
     )
     unlike = reduce(operator.add, [F.bit_count(F.col(b).bitwiseXOR(F.col(f"{b}_1"))) for b in maps])
     # Similar sets differ in at most (100 - percent) of (100 + percent) of their tokens taken together.
     alike = unlike * (100 + percent) <= (F.col("n") + F.col("n1")) * (100 - percent)
-    pairs = mixed.join(minor.hint("merge"), F.col("token") == F.col("of"))
-    pairs = pairs.filter((F.col("comp") != F.col("comp1")) & _fitting("n", "n1", percent) & alike)
-    return pairs.select(F.least("doc_id", "id1").alias("a"), F.greatest("doc_id", "id1").alias("b")).distinct()
+    ordered = (F.col("n1") < F.col("n")) | (F.col("n1") == F.col("n")) & (F.col("cls1") < F.col("cls"))
+    fits = ordered & (F.col("comp") != F.col("comp1")) & _fitting("n", "n1", percent) & alike
+    pairs = None
+    for larger, some in ((mixed, smaller.filter("not major1")), (mixed.filter("comp <> major"), smaller.filter("major1"))):
+        part = larger.join(some.hint("merge"), F.col("token") == F.col("of")).filter(fits)
+        part = part.select(F.least("cls", "cls1").alias("a"), F.greatest("cls", "cls1").alias("b"))
+        pairs = part if pairs is None else pairs.unionAll(part)
+    return pairs.distinct()
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

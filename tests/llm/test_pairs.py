@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 
 from siltworks.llm.components import components
+from siltworks.llm import ngram_join as ngram_join_module
 from siltworks.llm.ngram_join import drop_near_duplicates, needed, ngram_join
 from siltworks.llm.substrings import SuffixAutomaton, dedup_substrings, minimizers
 from siltworks.llm.words import windows, words_of
@@ -59,6 +60,61 @@ def test_ngram_join_of_a_large_group_of_near_copies(spark):
     assert found == corpora.near_components(rows)
 
 
+def _plain_row_components(rows):
+    """By row: an id with two texts stands in the component of each."""
+    numbered = corpora.near_components([(i, text) for i, (_, text) in enumerate(rows)])
+    groups = {}
+    for i, (_, root) in numbered.items():
+        groups.setdefault(root, []).append(rows[i][0])
+    return sorted((rows[i][0], n, min(groups[root])) for i, (n, root) in numbered.items())
+
+
+def test_ngram_join_of_ids_with_two_texts(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(5, a), (5, b), (3, a + " more"), (7, a + " less"), (4, b + " more"), (9, b + " less"), (5, a), (8, "of its own words entirely so")]
+    found = ngram_join(corpora.table(spark, [(i, t, "en", "s", 1) for i, t in rows]))
+    assert sorted(tuple(r) for r in found.collect()) == _plain_row_components(rows)
+
+
+def _template(n, words=60, own=2):
+    base = [f"t{i}" for i in range(words)]
+    out = []
+    for i in range(n):
+        text = list(base)
+        for j in range(own):
+            text[words // 2 - 6 + 12 * j] = f"own{i}x{j}"
+        out.append((i, " ".join(text), "en", "s", 1))
+    return out
+
+
+def test_a_template_gives_no_pairs(spark, monkeypatch):
+    """Texts that are alike but not similar have only tokens of their own in the shorter prefixes: no token makes a pair."""
+    counted = []
+    true_verified = ngram_join_module._verified
+
+    def verified(pairs, *args):
+        counted.append(pairs.count())
+        return true_verified(pairs, *args)
+
+    monkeypatch.setattr(ngram_join_module, "_verified", verified)
+    rows = _template(600) + [(10_000 + i, f"{_template(1)[0][1]} tail{i // 2}", "en", "s", 1) for i in range(20)]
+    found = _found(ngram_join(corpora.table(spark, rows)))
+    assert found == corpora.near_components(rows)
+    assert sum(counted) < 5 * len(rows)
+
+
+def test_mixed_sizes_and_shares_lose_no_link(spark):
+    r = random.Random(9)
+    base = [f"m{i}" for i in range(120)]
+    rows = []
+    for i in range(220):
+        text = list(base[: r.randint(40, 120)])
+        for _ in range(r.randint(0, 6)):
+            text[r.randrange(len(text))] = f"r{r.randrange(60)}"
+        rows.append((i, " ".join(text), "en", "s", 1))
+    assert _found(ngram_join(corpora.table(spark, rows))) == corpora.near_components(rows)
+
+
 def test_ngram_join_of_odd_rows(spark):
     df = corpora.clashing(spark, corpora.odd_rows())
     found = [tuple(r) for r in ngram_join(df).collect()]
