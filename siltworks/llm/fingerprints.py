@@ -11,7 +11,7 @@ three counters to a lane, modulo 2^62: sums of random signs, whose cosine estima
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -117,36 +117,62 @@ def _tree(bounds: Sequence[int], first: int = 0) -> Column:
     )
 
 
-def with_next(docs: DataFrame, columns: Sequence[str], blocks: int | None = None) -> DataFrame:
+def _blocks(ids: DataFrame, blocks: int, most: int) -> Callable[[DataFrame], DataFrame]:
+    """How to add ``__block``, the rank of a row's range of ids, for ranges of about equal counts.
+
+    Up to ``most`` ranges are cut by one set of bounds. More are cut in two levels: each of those by bounds of its own,
+    which go to the tasks as one row per range.
+    """
+    first, second = min(blocks, most), -(-blocks // most)
+    steps = [i / first for i in range(1, first)] or [0.5]
+    bounds = sorted(set(ids.select(F.percentile_approx("doc_id", steps, 100 * first)).first()[0] or []))
+    coarse = _tree(bounds).cast("long")
+    # Rows without an id come below all ranges, by hash.
+    unknown = -1 - F.pmod(F.col("__h"), F.lit(blocks))
+    if second == 1:
+        return lambda rows: rows.withColumn("__block", F.when(F.col("doc_id").isNull(), unknown).otherwise(coarse))
+    inner = [i / second for i in range(1, second)]
+    cuts = ids.filter("doc_id is not null").groupBy(coarse.alias("__range")).agg(
+        F.array_distinct(F.percentile_approx("doc_id", inner, 100 * second)).alias("__cuts")
+    )
+
+    def add(rows: DataFrame) -> DataFrame:
+        ranged = rows.withColumn("__at", coarse).join(F.broadcast(cuts), F.col("__at") == F.col("__range"), "left")
+        fine = F.size(F.filter("__cuts", lambda cut: cut <= F.col("doc_id"))).cast("long")
+        block = F.when(F.col("doc_id").isNull(), unknown).otherwise(F.col("__at") * second + fine)
+        return ranged.withColumn("__block", block).drop("__at", "__range", "__cuts")
+
+    return add
+
+
+def with_next(
+    docs: DataFrame, columns: Sequence[str], blocks: int | None = None, derive: Callable[[DataFrame], DataFrame] = lambda df: df,
+    most: int = 2048,
+) -> DataFrame:
     """Add ``next_<column>`` of the next document in descending ``doc_id``; after the last comes the first.
 
     No task sorts the whole table: ids are cut into ``blocks`` ranges of about equal counts (by default the
-    session's shuffle partitions, 2,048 at most, which is the only thing the driver learns), each block is
+    session's shuffle partitions; the driver learns ``most`` bounds at most), each block is
     ordered by itself, and gets a copy of the next block's first document as its last row. Rows without an id
-    come after all others, spread over blocks by hash; equal ids are ordered by the hash of the text.
+    come after all others, spread over blocks by hash; equal ids are ordered by the hash of the text. ``derive`` adds
+    columns to the documents; it is applied once to each, and again only to the copies.
     """
-    blocks = min(blocks or shuffle_width(docs.sparkSession), 2048)
-    steps = [i / blocks for i in range(1, blocks)] or [0.5]
-    found = docs.select(F.percentile_approx("doc_id", steps, 100 * blocks)).first()[0] or []
-    bounds = sorted(set(found))
-    block = F.when(F.col("doc_id").isNull(), -1 - F.pmod(F.col("__h"), F.lit(blocks))).otherwise(_tree(bounds)).cast("int")
-    rows = docs.withColumn("__h", F.xxhash64(text_or_empty())).withColumn("__block", block)
-
+    docs = docs.withColumn("__h", F.xxhash64(text_or_empty()))
+    blocked = _blocks(docs.select("doc_id"), blocks or shuffle_width(docs.sparkSession), most)
     place = F.struct(F.col("doc_id").isNotNull().alias("has"), "doc_id", "__h")
-    heads = rows.groupBy("__block").agg(F.max(place).alias("__top"))
+    heads = blocked(docs.select("doc_id", "__h")).groupBy("__block").agg(F.max(place).alias("__top"))
     # One row per block. The block before in this order is the one that needs the head.
     around = Window.orderBy(F.col("__block").asc())
     last = F.min("__block").over(Window.partitionBy())
     receiver = F.coalesce(F.lead("__block").over(around), last)
-    heads = heads.withColumn("__to", receiver).withColumnRenamed("__block", "__from")
+    heads = heads.withColumn("__to", receiver).select("__to", F.col("__top.doc_id").alias("__id"), F.col("__top.__h").alias("__hash"))
     copies = (
-        rows.join(F.broadcast(heads), (F.col("__block") == F.col("__from")) & (F.col("__h") == F.col("__top.__h")))
-        .filter(F.col("doc_id").eqNullSafe(F.col("__top.doc_id")))
+        docs.join(F.broadcast(heads), (F.col("__h") == F.col("__hash")) & F.col("doc_id").eqNullSafe(F.col("__id")))
         .groupBy("__to", "doc_id", "__h")
-        .agg(*[F.first(c).alias(c) for c in docs.columns if c != "doc_id"])
+        .agg(*[F.first(c).alias(c) for c in docs.columns if c not in ("doc_id", "__h")])
     )
-    copies = copies.select(*docs.columns, "__h", F.col("__to").alias("__block"), F.lit(1).alias("__copy"))
-    both = rows.withColumn("__copy", F.lit(0)).unionByName(copies)
+    copies = derive(copies.select(*docs.columns, F.col("__to").alias("__block"), F.lit(1).alias("__copy")))
+    both = derive(blocked(docs).withColumn("__copy", F.lit(0))).unionByName(copies)
     order = Window.partitionBy("__block").orderBy("__copy", F.col("doc_id").desc_nulls_last(), F.col("__h").desc())
     nexts = {f"next_{c}": F.lead(c).over(order) for c in columns}
     return both.withColumns(nexts).filter(F.col("__copy") == 0).drop("__copy", "__block", "__h")
@@ -161,8 +187,7 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     one document is its own next one; an empty table gives no rows.
     """
     own = docs.select("doc_id", text_or_empty().alias("text"))
-    own = with_fingerprint(own, "text", "lanes")
-    near = with_next(own, ["text", "lanes"])
+    near = with_next(own, ["text", "lanes"], derive=lambda df: with_fingerprint(df, "text", "lanes"))
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
