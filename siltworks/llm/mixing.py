@@ -4,6 +4,9 @@ A document's expected number of copies splits into whole copies, which are certa
 probability of one more. The extra copies are drawn per source by Pareto order sampling: documents are ranked
 by the odds of a random number over the odds of their inclusion, and the first ones are taken until the words
 that the source still lacks are filled.
+
+Within a source, documents may be preferred: expected copies are in proportion to the preference, up to the limit of
+copies, and what the limit cuts off goes to the source's other documents, so that expectations add up to the target.
 """
 
 from __future__ import annotations
@@ -19,6 +22,8 @@ from siltworks.llm.tables import WORD, text_or_empty, written
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_COPIES = 3
 BINS = 1 << 16
+LEVELS = 16  # classes of preference for each doubling of it
+FULL_WORTH = 200  # words from which on a text is worth as much as any other
 
 
 def word_count(text: str = "text") -> Column:
@@ -53,6 +58,35 @@ def source_targets(sized: DataFrame, weights: Sequence[float] = WEIGHTS, max_cop
     return filled.select("source", F.col("rank").cast("long").alias("sid"), "source_size", target.alias("target"))
 
 
+def length_preference(text: str = "text") -> Column:
+    """A preference for texts that are no fragments: in proportion to the words, up to ``FULL_WORTH`` of them."""
+    return F.least(F.lit(1.0), word_count(text) / F.lit(float(FULL_WORTH)))
+
+
+def _with_rates(base: DataFrame, targets: DataFrame, max_copies: int) -> DataFrame:
+    """Sources with ``rate``, the expected copies of a document for a preference of 1, before the limit of copies.
+
+    Water filling again: words and preferred words are summed per class of preference, at most some thousand rows a
+    source. From the most preferred class down, a class is full if the rate that the others then need would give it
+    more than ``max_copies``. Documents within the class at the edge are cut by the limit one by one.
+    """
+    level = F.when(F.col("liking") > 0, F.floor(F.log2("liking") * LEVELS)).cast("long")
+    classes = base.filter("size > 0 and liking > 0").groupBy("source", level.alias("level")).agg(
+        F.sum("size").alias("words"), F.sum(F.col("liking") * F.col("size")).alias("liked"), F.min("liking").alias("least")
+    )
+    same = classes["source"].eqNullSafe(targets["source"])
+    classes = classes.join(targets, same).drop(classes["source"])
+    above = Window.partitionBy("sid").orderBy(F.col("level").desc())
+    full = F.coalesce(F.sum("words").over(above.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rest = F.sum("liked").over(above.rowsBetween(0, Window.unboundedFollowing))
+    rated = classes.withColumn("rate", (F.col("target") - full * float(max_copies)) / rest)
+    # The first class that is not full settles the rate; if all are, every document gets as many copies as it may.
+    fits = F.col("rate") * F.col("least") < float(max_copies)
+    rates = rated.groupBy("sid").agg(F.max_by("rate", F.when(fits, F.col("level"))).alias("rate"), F.max("rate").alias("most"))
+    rates = rates.select(F.col("sid").alias("__sid"), F.coalesce("rate", "most").alias("rate"))
+    return targets.join(rates, F.col("sid") == F.col("__sid"), "left").drop("__sid")
+
+
 def _unit(seed: int, *columns: str) -> Column:
     """A number strictly between 0 and 1 by hash, so that reruns agree."""
     bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *[F.col(c) for c in columns]), 12)
@@ -65,9 +99,10 @@ def mix_sources(
 ) -> DataFrame:
     """Per document: ``doc_id, size, source_size, target, copies, taken`` (words, repeats counted) and ``source``.
 
-    ``preference`` makes inclusion unequal within a source: a document's expected copies are the source's mean
-    times its preference over the mean preference per word, at most ``max_copies``. Without it all documents of
-    a source have the same expectation, and only sources differ.
+    ``preference`` makes inclusion unequal within a source: a document's expected copies are its preference times a
+    rate, at most ``max_copies``; the rate is such that the expectations add up to the source's target. NULL, zero and
+    negative preferences are not drawn. Without it all documents of a source have the same expectation, and only
+    sources differ.
 
     The cut in a source's ranking is found without sorting the source: words are summed per bin of the rank
     (at most 65,536 rows a source), and only the documents of the bin with the cut are put in order. A source
@@ -77,13 +112,12 @@ def mix_sources(
     """
     liking = preference.cast("double") if preference is not None else F.lit(1.0)
     base = written(docs.select("doc_id", "source", word_count().alias("size"), liking.alias("liking")), "mix-sizes")
-    targets = source_targets(base, weights, max_copies)
-    liked = base.groupBy("source").agg(F.sum(F.col("liking") * F.col("size")).alias("liked"))
-    sources = targets.join(liked, targets["source"].eqNullSafe(liked["source"])).drop(liked["source"])
-    sources = written(sources, "mix-sources")
+    targets = written(source_targets(base, weights, max_copies), "mix-targets")
+    sources = written(_with_rates(base, targets, max_copies), "mix-sources")
 
     joined = base.join(sources, base["source"].eqNullSafe(sources["source"])).drop(sources["source"])
-    expected = F.when(F.col("size") > 0, F.least(F.lit(float(max_copies)), F.col("target") * F.col("liking") / F.col("liked"))).otherwise(0.0)
+    drawn = (F.col("size") > 0) & (F.col("liking") > 0)
+    expected = F.when(drawn, F.least(F.lit(float(max_copies)), F.col("rate") * F.col("liking"))).otherwise(0.0)
     chance = F.col("expected") - F.col("whole")
     unit = _unit(seed, "doc_id", "size")
     ranked = (
@@ -122,13 +156,14 @@ def mix_sources(
 
 
 def mix_documents(
-    docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_copies: int = MAX_COPIES, seed: int = 17
+    docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_copies: int = MAX_COPIES, seed: int = 17,
+    preference: Column | None = None,
 ) -> DataFrame:
     """The rows of ``docs``, all columns, each as often as ``mix_sources`` takes it.
 
     Rows that agree in id, source and size are taken equally often. One exchange of the texts.
     """
-    mix = mix_sources(docs, weights, max_copies, seed).filter("copies > 0")
+    mix = mix_sources(docs, weights, max_copies, seed, preference).filter("copies > 0")
     taken = mix.groupBy("doc_id", "source", "size").agg(F.max("copies").alias("__copies"))
     taken = taken.toDF("__id", "__source", "__size", "__copies")
     sized = docs.withColumn("__words", word_count())

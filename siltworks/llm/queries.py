@@ -49,7 +49,7 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mix = mixing.mix_sources(_table(spark, sf_dir, "documents"))
+    mix = mixing.mix_sources(_table(spark, sf_dir, "documents"), preference=mixing.length_preference())
     return mix.select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
 
