@@ -12,7 +12,7 @@ characters, and classes of a few shares: capitals, other characters, repeated wo
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,9 @@ from siltworks.llm.words import Words, chunks, mix64, words_of
 DIMENSIONS = 1 << 18
 PER_GRADE = 3000  # rated documents of each grade that the model is fitted on
 BEGINNINGS = (4, 5)  # bytes
-LEAST = 0.35  # P(top grade) from which a document is kept
+LEAST = 0.35  # P(top grade) from which a document is kept, where too few ratings are there to choose it
+GOOD_KEPT = 0.97  # share of good documents that the chosen threshold keeps at least, of those held out
+FOLDS = 3
 
 
 def _kinds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -92,6 +94,7 @@ class OrdinalModel:
 
     weights: np.ndarray
     thresholds: np.ndarray
+    least: float = LEAST  # P(top grade) from which a text is kept
 
     def tails(self, rows: list[np.ndarray]) -> np.ndarray:
         """P(grade > j) for each text and threshold j."""
@@ -99,56 +102,73 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - scores[:, None], -60, 60)))
 
 
+Blocks = list[tuple[int, np.ndarray, np.ndarray]]
+
+
+def _blocks(rows: list[np.ndarray], place: np.ndarray) -> Blocks:
+    """The rows' places among the weights in blocks, which keep sums over features small next to the features."""
+    out = []
+    for at in range(0, len(rows), 2048):
+        columns = [place[row] for row in rows[at : at + 2048]]
+        columns = [c[c >= 0] for c in columns]
+        out.append((at, np.concatenate(columns), np.array([len(c) for c in columns])))
+    return out
+
+
+def cuts_of(theta: np.ndarray) -> np.ndarray:
+    """Rising thresholds from a first one and the logarithms of the gaps between them."""
+    return theta[0] + np.concatenate(([0.0], np.cumsum(np.exp(theta[1:]))))
+
+
+def likelihood(
+    weights: np.ndarray, theta: np.ndarray, blocks: Blocks, grades: np.ndarray, penalty: float
+) -> tuple[float, np.ndarray, np.ndarray]:
+    """Mean logarithm of the grades' probabilities less the ridge penalty, and its slopes by weight and threshold."""
+    n = len(grades)
+    cuts, at = cuts_of(theta), np.arange(n)
+    scores = np.concatenate([np.bincount(np.repeat(np.arange(len(m)), m), weights[columns], len(m)) for _, columns, m in blocks])
+    above = 1 / (1 + np.exp(np.clip(cuts[None, :] - scores[:, None], -60, 60)))
+    padded = np.hstack((np.ones((n, 1)), above, np.zeros((n, 1))))
+    high, low = padded[at, grades], padded[at, grades + 1]
+    # d log(high - low) / d score, with the slopes of both ends.
+    rise, fall = high * (1 - high), low * (1 - low)
+    chance = np.maximum(high - low, 1e-12)
+    d_score = (rise - fall) / chance
+    d_cuts = np.zeros((n, len(cuts) + 2))
+    d_cuts[at, grades] -= rise / chance
+    d_cuts[at, grades + 1] += fall / chance
+    d_cut = d_cuts.sum(axis=0)[1:-1]
+    d_theta = np.concatenate(([d_cut.sum()], np.exp(theta[1:]) * np.cumsum(d_cut[::-1])[::-1][1:]))
+    d_weights = np.zeros(len(weights))
+    for first, columns, m in blocks:
+        d_weights += np.bincount(columns, np.repeat(d_score[first : first + len(m)], m), len(weights))
+    value = float(np.log(chance).mean() - penalty / 2 * (weights * weights).sum())
+    return value, d_weights / n - penalty * weights, d_theta / n
+
+
 def fit_ordinal(
     rows: list[np.ndarray], grades: np.ndarray, n_grades: int, rounds: int = 150, rate: float = 0.05, penalty: float = 1e-3,
-    least_texts: int = 10,
+    least_share: float = 1e-3,
 ) -> OrdinalModel:
     """Maximum likelihood with a ridge penalty, by gradient steps of adaptive size over all rows.
 
     Weights are at most 0: a feature can only lower a grade. A text without evidence against it then gets the top
     grade however short it is, where free weights would ask it for words that good texts happen to have.
     Thresholds are a first one and the logarithms of the gaps between them, so that they stay in order. Features
-    of under ``least_texts`` texts keep the weight 0. The same rows give the same model.
+    of less than the share ``least_share`` of the texts, or of one only, keep the weight 0. The same rows give the
+    same model.
     """
     texts_with = np.zeros(DIMENSIONS, dtype=np.int64)
     for row in rows:
         texts_with[row] += 1
-    used = np.flatnonzero(texts_with >= least_texts)
+    used = np.flatnonzero(texts_with >= max(2, least_share * len(rows)))
     place = np.full(DIMENSIONS, -1, dtype=np.int32)
     place[used] = np.arange(len(used), dtype=np.int32)
-    # Blocks of rows keep the sums over features small next to the features themselves.
-    blocks = []
-    for at in range(0, len(rows), 2048):
-        columns = [place[row] for row in rows[at : at + 2048]]
-        columns = [c[c >= 0] for c in columns]
-        blocks.append((at, np.concatenate(columns), np.array([len(c) for c in columns])))
+    blocks = _blocks(rows, place)
     weights, theta = np.zeros(len(used)), np.concatenate(([-0.5], np.zeros(n_grades - 2)))
     moments = [[np.zeros_like(x), np.zeros_like(x)] for x in (weights, theta)]
     for step in range(1, rounds + 1):
-        cuts = theta[0] + np.concatenate(([0.0], np.cumsum(np.exp(theta[1:]))))
-        scores = np.concatenate(
-            [np.bincount(np.repeat(np.arange(len(n)), n), weights[columns], len(n)) for _, columns, n in blocks]
-        )
-        above = 1 / (1 + np.exp(np.clip(cuts[None, :] - scores[:, None], -60, 60)))
-        padded = np.hstack((np.ones((len(rows), 1)), above, np.zeros((len(rows), 1))))
-        at = np.arange(len(rows))
-        high, low = padded[at, grades], padded[at, grades + 1]
-        # d log(high - low) / d score, with the slopes of both ends.
-        rise, fall = high * (1 - high), low * (1 - low)
-        chance = np.maximum(high - low, 1e-12)
-        d_score = (rise - fall) / chance
-        d_cuts = np.zeros((len(rows), n_grades + 1))
-        d_cuts[at, grades] -= rise / chance
-        d_cuts[at, grades + 1] += fall / chance
-        d_cut = d_cuts.sum(axis=0)[1:-1]
-        d_theta = np.concatenate(([d_cut.sum()], np.exp(theta[1:]) * np.cumsum(d_cut[::-1])[::-1][1:]))
-        d_weights = np.zeros(len(used))
-        for first, columns, n in blocks:
-            d_weights += np.bincount(columns, np.repeat(d_score[first : first + len(n)], n), len(used))
-        slopes = (
-            d_weights / len(rows) - penalty * weights,
-            d_theta / len(rows),
-        )
+        _, *slopes = likelihood(weights, theta, blocks, grades, penalty)
         for values, slope, moment in zip((weights, theta), slopes, moments):
             moment[0] += 0.1 * (slope - moment[0])
             moment[1] += 0.001 * (slope * slope - moment[1])
@@ -157,7 +177,39 @@ def fit_ordinal(
         np.minimum(weights, 0, out=weights)
     full = np.zeros(DIMENSIONS)
     full[used] = weights
-    return OrdinalModel(full, theta[0] + np.concatenate(([0.0], np.cumsum(np.exp(theta[1:])))))
+    return OrdinalModel(full, cuts_of(theta))
+
+
+def choose_least(chances: np.ndarray, top: np.ndarray, good_kept: float = GOOD_KEPT) -> float:
+    """The chance of the top grade from which to keep a text, by texts that the model was not fitted on.
+
+    Of the thresholds that keep the share ``good_kept`` of the texts of the top grade, the one that best tells them
+    from the others, the lowest of equals. ``top`` says which texts have the top grade.
+    """
+    steps = np.linspace(0.05, 0.95, 91)
+    good = np.array([(chances[top] >= x).mean() for x in steps])
+    bad = np.array([(chances[~top] >= x).mean() for x in steps])
+    allowed = np.flatnonzero(good >= good_kept)
+    return float(steps[allowed[np.argmax((good - bad)[allowed])]]) if len(allowed) else float(steps[0])
+
+
+def fit_with_threshold(rows: list[np.ndarray], grades: np.ndarray, n_grades: int, folds: int = FOLDS) -> OrdinalModel:
+    """A model fitted on all rows, its threshold chosen on what models of the other folds say of each fold.
+
+    With fewer than ``folds`` texts in or below the top grade the threshold is ``LEAST``.
+    """
+    model, top = fit_ordinal(rows, grades, n_grades), grades == n_grades - 1
+    if min(top.sum(), (~top).sum()) < folds:
+        return model
+    chances, fold = np.zeros(len(rows)), np.zeros(len(rows), dtype=np.int64)
+    for grade in range(n_grades):  # each fold has its share of every grade
+        own = np.flatnonzero(grades == grade)
+        fold[own] = np.arange(len(own)) % folds
+    for k in range(folds):
+        fitted, held = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
+        part = fit_ordinal([rows[i] for i in fitted], grades[fitted], n_grades)
+        chances[held] = part.tails([rows[i] for i in held])[:, -1]
+    return replace(model, least=choose_least(chances, top))
 
 
 def rated(labels: DataFrame) -> DataFrame:
@@ -194,7 +246,7 @@ def train(docs: DataFrame, ratings: DataFrame, n_grades: int = 3, per_grade: int
     grades = np.array([r["grade"] for r in got], dtype=np.int64)
     if len(set(grades.tolist())) < 2:
         return None
-    return fit_ordinal([np.frombuffer(r["features"], dtype=np.int32) for r in got], grades, n_grades)
+    return fit_with_threshold([np.frombuffer(r["features"], dtype=np.int32) for r in got], grades, n_grades)
 
 
 def _graded(model: OrdinalModel | None, texts: pa.Array, n_grades: int) -> tuple[np.ndarray, np.ndarray]:
@@ -205,33 +257,38 @@ def _graded(model: OrdinalModel | None, texts: pa.Array, n_grades: int) -> tuple
     return tails.sum(axis=1), tails[:, -1]
 
 
-def grade_documents(docs: DataFrame, model: OrdinalModel | None, least: float = LEAST, n_grades: int = 3) -> DataFrame:
-    """Per row ``doc_id, expected_grade, p_good, keep``: kept if P(top grade) is ``least`` or more.
+def _least(model: OrdinalModel | None, least: float | None) -> float:
+    return least if least is not None else model.least if model else LEAST
+
+
+def grade_documents(docs: DataFrame, model: OrdinalModel | None, least: float | None = None, n_grades: int = 3) -> DataFrame:
+    """Per row ``doc_id, expected_grade, p_good, keep``: kept if P(top grade) is ``least``, or the model's own, or more.
 
     One pass without a shuffle; the model is a fixed number of weights. Texts are read whole. NULL and empty
     texts are judged by their shares alone. Without a model (no ratings) everything is kept.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, from_there = docs.sparkSession.sparkContext.broadcast(model), _least(model, least)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, 1):
                 expected, good = _graded(shared.value, part.column(1), n_grades)
-                columns = [part.column(0), pa.array(expected), pa.array(good), pa.array(good >= least)]
+                columns = [part.column(0), pa.array(expected), pa.array(good), pa.array(good >= from_there)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "expected_grade", "p_good", "keep"])
 
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, expected_grade double, p_good double, keep boolean"
     return arrow_map(docs.select("doc_id", F.col("text").cast("string").alias("text")), scan, schema)
 
 
-def keep_good(docs: DataFrame, model: OrdinalModel | None, least: float = LEAST, n_grades: int = 3) -> DataFrame:
+def keep_good(docs: DataFrame, model: OrdinalModel | None, least: float | None = None, n_grades: int = 3) -> DataFrame:
     """The rows of ``docs``, all columns, that ``grade_documents`` would keep."""
     shared, place = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+    from_there = _least(model, least)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, place):
                 _, good = _graded(shared.value, part.column(place), n_grades)
-                yield part.filter(pa.array(good >= least))
+                yield part.filter(pa.array(good >= from_there))
 
     return arrow_map(docs, scan, docs.schema)
