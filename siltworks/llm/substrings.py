@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltworks.llm.shared_keys import PACKED, Entries, bucket_count, pack, shared_keys, unpack
-from siltworks.llm.tables import arrow_map, release_shuffles, shuffle_width, written
+from siltworks.llm.tables import arrow_map, discard, release_shuffles, shuffle_width, written
 from siltworks.llm.words import chunks, mix64, windows, words_of
 
 WINDOW = 20
@@ -331,16 +331,17 @@ def _found_spans(texts: DataFrame, window: int, gram: int, piece: int) -> DataFr
         "doc_id", "text", "places", F.xxhash64("text").alias("own")
     )
     held = written(held, "sub-texts")
+    discard(marked)
     release_shuffles(texts.sparkSession)
     pairs = written(_common_documents(held, window, gram), "sub-pairs")
     release_shuffles(texts.sparkSession)
     pieces = written(_as_regions(held, window, gram, piece), "sub-regions")
+    discard(held)
 
     # A shard that very many documents share is given to several tasks, each with a part of the documents.
     parts = pairs.groupBy("ref").agg(F.ceil(F.count(F.lit(1)) / PER_TASK).cast("int").alias("parts"))
-    shards = written(
-        pieces.join(parts.hint("merge"), F.col("doc_id") == F.col("ref")).select("ref", "own", "piece", "parts", "starts", "words"), "sub-shards"
-    ).withColumnRenamed("own", "ref_own")
+    named = pieces.join(parts.hint("merge"), F.col("doc_id") == F.col("ref")).select("ref", "own", "piece", "parts", "starts", "words")
+    shards = written(named.withColumnRenamed("own", "ref_own"), "sub-shards")
     heads = shards.select("ref", "ref_own", F.col("piece").alias("shard_piece"), "parts")
     routes = pairs.withColumnRenamed("doc_id", "doc").join(heads.hint("merge"), "ref")
     part = F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")
@@ -356,6 +357,7 @@ def _found_spans(texts: DataFrame, window: int, gram: int, piece: int) -> DataFr
     routed = references.unionAll(streaming).repartition(width, "ref", "ref_own", "piece", "part")
     spans = _streamed(routed.sortWithinPartitions("ref", "ref_own", "piece", "part", "kind"), window)
     spans = written(spans, "sub-spans")
+    discard(pairs, pieces, shards)
     release_shuffles(texts.sparkSession)
     return spans
 

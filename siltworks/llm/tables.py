@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from siltworks.sources.replace import remove_directory
 from siltworks.workspace import scratch_dir
 
 # Space, tab, line feed, vertical tab, form feed, carriage return: what separates words.
@@ -24,7 +25,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared scratch folder and read it back, which cuts the lineage for good."""
     path = scratch_dir(df.sparkSession, f"llm-{label}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._written_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove what ``written`` wrote, once all that is made from it has been written itself."""
+    for table in tables:
+        remove_directory(table.sparkSession, table._written_at)
 
 
 def release_shuffles(spark: SparkSession) -> None:
