@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from siltworks.llm.tables import text_or_empty
+from siltworks.llm.tables import text_or_empty, written
 from siltworks.workspace import scratch_dir
 
 SLOTS = 4096
+PARTS = 32  # of a slot, for numbering its rows in several tasks
 _MAP_SCHEMA = T.StructType(
     [
         T.StructField("vslot", T.IntegerType()),
@@ -33,14 +34,24 @@ def record_size(text: str = "text") -> Column:
 
 
 def virtual_slot(doc_id: str = "doc_id", slots: int = SLOTS) -> Column:
-    """The record's slot for good, by a hash of its id. Records without an id share one slot."""
-    return F.pmod(F.xxhash64(F.col(doc_id)), F.lit(slots)).cast("int")
+    """The record's slot for good, by a hash of its id, or of its text where it has no id."""
+    return F.pmod(F.coalesce(F.when(F.col(doc_id).isNotNull(), F.xxhash64(F.col(doc_id))), F.xxhash64(text_or_empty())), F.lit(slots)).cast("int")
 
 
-def slot_sizes(docs: DataFrame, slots: int = SLOTS) -> list[tuple[int, int]]:
+def slot_part(parts: int = PARTS) -> Column:
+    """Which part of its slot a record is in, by another hash of id and text."""
+    return F.pmod(F.xxhash64(F.col("doc_id"), text_or_empty(), F.lit(1)), F.lit(parts)).cast("int")
+
+
+def part_sizes(docs: DataFrame, slots: int = SLOTS, parts: int = PARTS) -> DataFrame:
+    """Rows and bytes of every part of every slot: ``vslot, part, n, b``, at most slots times parts rows."""
+    sized = docs.select(virtual_slot(slots=slots).alias("vslot"), slot_part(parts).alias("part"), record_size().alias("size"))
+    return sized.groupBy("vslot", "part").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("b"))
+
+
+def slot_sizes(sizes: DataFrame, slots: int = SLOTS) -> list[tuple[int, int]]:
     """Rows and bytes of every slot: at most ``slots`` rows leave the cluster, whatever the input."""
-    sized = docs.select(virtual_slot(slots=slots).alias("vslot"), record_size().alias("size"))
-    totals = {r["vslot"]: (r["n"], r["b"]) for r in sized.groupBy("vslot").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("b")).collect()}
+    totals = {r["vslot"]: (r["n"], r["b"]) for r in sizes.groupBy("vslot").agg(F.sum("n").alias("n"), F.sum("b").alias("b")).collect()}
     return [totals.get(slot, (0, 0)) for slot in range(slots)]
 
 
@@ -100,24 +111,34 @@ def read_map(spark: SparkSession, path: str, version: int) -> DataFrame:
     return spark.read.schema(_MAP_SCHEMA).parquet(f"{path}/version={version}")
 
 
-def shard_documents(docs: DataFrame, shards: int, slots: int = SLOTS, map_path: str | None = None) -> DataFrame:
+def shard_documents(
+    docs: DataFrame, shards: int, slots: int = SLOTS, map_path: str | None = None, parts: int = PARTS
+) -> DataFrame:
     """Put every record into one of ``shards`` shards of near equal bytes.
 
     Adds ``shard``, ``slot`` (the row's number within its shard, without gaps from 0) and ``vslot``; columns of
     the input with these names are replaced. The map goes to ``map_path`` as version 0.
 
-    One scan sums bytes per slot; the map comes from ``slots`` numbers on the driver. One exchange by slot
-    numbers the rows, so no task holds more than its slots. A NULL text has the size 1. Rows without an id go to
-    one slot and repeated ids to the slot of the id. An empty table gives an empty result.
+    One scan sums rows and bytes per part of a slot; the map comes from ``slots`` numbers on the driver. The slot is
+    the unit of the map, the part that of numbering: one exchange by part numbers the rows, each part going on
+    where the one before it ends, so a task holds a ``parts``-th of a slot. A NULL text has the size 1. Rows without
+    an id go to the slot of their text and repeated ids to the slot of the id. An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    sizes = slot_sizes(docs, slots)
+    by_part = written(part_sizes(docs, slots, parts), "shard-parts")
+    sizes = slot_sizes(by_part, slots)
     path = map_path or scratch_dir(spark, "llm-shard-map")
     write_map(spark, path, 0, balanced_map(sizes, shards), sizes)
+    before = F.sum("n").over(Window.partitionBy("vslot").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    firsts = by_part.select("vslot", "part", F.coalesce(before, F.lit(0)).alias("__before"))
+    places = read_map(spark, path, 0).select("vslot", "shard", F.col("first").alias("__first"))
+    places = firsts.join(places, "vslot").select(
+        F.col("vslot").alias("__vslot"), F.col("part").alias("__of"), "shard", (F.col("__first") + F.col("__before")).alias("__start")
+    )
     kept = [c for c in docs.columns if c not in ("shard", "slot", "vslot")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], virtual_slot(slots=slots).alias("vslot"))
-    order = Window.partitionBy("vslot").orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64(text_or_empty()))
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], virtual_slot(slots=slots).alias("vslot"), slot_part(parts).alias("__part"))
+    order = Window.partitionBy("vslot", "__part").orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64(text_or_empty()))
     numbered = rows.withColumn("__number", F.row_number().over(order).cast("long") - 1)
-    places = read_map(spark, path, 0).select("vslot", "shard", F.col("first").alias("__first"))
-    mapped = numbered.join(F.broadcast(places), "vslot")
-    return mapped.select(*[F.col(f"`{c}`") for c in kept], "shard", (F.col("__first") + F.col("__number")).alias("slot"), "vslot")
+    # Rows are dealt out by slot and part already, so only the places move, which are slots times parts rows at most.
+    mapped = numbered.join(places.hint("merge"), (F.col("vslot") == F.col("__vslot")) & (F.col("__part") == F.col("__of")))
+    return mapped.select(*[F.col(f"`{c}`") for c in kept], "shard", (F.col("__start") + F.col("__number")).alias("slot"), "vslot")
