@@ -1,0 +1,127 @@
+"""The registered queries, with their digest columns and production parameters, against plain versions at sf0.001."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from siltworks.llm import decontaminate
+from siltworks.llm.queries import QUERIES
+
+from . import corpora
+from .test_rows import _plain_targets
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return sorted(tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "source").collect())
+
+
+def _query(spark, name):
+    return {r["doc_id"]: r for r in QUERIES[name](spark, SF).collect()}
+
+
+def _sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_op1_components(spark, documents):
+    found = {i: (r["n_shingles"], r["component_id"]) for i, r in _query(spark, "op1_ngram_join").items()}
+    assert found == corpora.near_components(documents)
+
+
+def test_op2_grades_every_document(spark, documents):
+    found = _query(spark, "op2_quality")
+    assert set(found) == {d[0] for d in documents}
+    assert all(0 <= r["p_good"] <= 1 and 0 <= r["expected_grade"] <= 2 for r in found.values())
+    kept = [r["p_good"] for r in found.values() if r["keep"]]
+    gone = [r["p_good"] for r in found.values() if not r["keep"]]
+    assert len(kept) > len(gone) and min(kept) > max(gone, default=0)
+
+
+def test_op3_mix(spark, documents):
+    found = _query(spark, "op3_pareto_mix")
+    size = {i: len(corpora.words(text)) for i, text, _ in documents}
+    sources, taken, largest = defaultdict(int), defaultdict(int), defaultdict(int)
+    for i, _, source in documents:
+        sources[source] += size[i]
+        largest[source] = max(largest[source], size[i])
+    target = _plain_targets(sources)
+    for i, _, source in documents:
+        r = found[i]
+        assert (r["size"], r["source_size"]) == (size[i], sources[source]) and r["target"] == pytest.approx(target[source])
+        assert r["taken"] % max(size[i], 1) == 0 and r["taken"] <= 3 * size[i]
+        taken[source] += r["taken"]
+    assert all(abs(taken[s] - target[s]) <= largest[s] for s in sources)
+
+
+def test_op5_windows(spark, documents):
+    found = {i: (r["n_words"], r["n_removed"], r["kept_sha256"]) for i, r in _query(spark, "op5_substring_dedup").items()}
+    plain = corpora.without_repeats(documents)
+    assert found == {i: (n, gone, _sha(kept)) for i, (n, gone, kept) in plain.items()}
+
+
+def test_op7_finds_every_exact_item(spark, documents):
+    items = [decontaminate.normal(r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    leaks = {i for i, text, _ in documents if any(item in decontaminate.normal(text) for item in items)}
+    found = {r["doc_id"] for r in QUERIES["op7_decontamination"](spark, SF).collect()}
+    assert leaks and leaks <= found
+
+
+def _luhn(digits):
+    doubled = [2 * int(d) if i % 2 else int(d) for i, d in enumerate(reversed(digits))]
+    return sum(d - 9 if d > 9 else d for d in doubled) % 10 == 0
+
+
+_BASE = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda s: True),
+    "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda s: all(int(part) <= 255 for part in s.split("."))),
+    "card": (r"[0-9]([\x20-]?[0-9])+", lambda s: 12 <= len(re.sub("[^0-9]", "", s)) <= 19 and _luhn(re.sub("[^0-9]", "", s))),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda s: 9 <= len(re.sub("[^0-9]", "", s)) <= 15),
+}
+
+
+def test_op8_base_spans(spark, documents):
+    found = _query(spark, "op8_personal_data")
+    order = list(_BASE)
+    for i, text, _ in documents:
+        spans = [
+            (m.start(), order.index(kind), m.end()) for kind, (pattern, holds) in _BASE.items()
+            for m in re.finditer(pattern, text or "") if holds(m[0])
+        ]
+        base = [f"{order[k]}:{start}:{end}" for start, k, end in sorted(spans)]
+        assert found[i]["base_sha256"] == _sha(",".join(base))
+        assert set(base) <= set(found[i]["spans"].split(",")) | ({""} if not base else set())
+
+
+def test_op9_edits(spark, documents):
+    found = _query(spark, "op9_fingerprints")
+    by_id = sorted(((i, text or "") for i, text, _ in documents), reverse=True)
+    prints = defaultdict(set)
+    for k, (i, text) in enumerate(by_id):
+        following, half, r = by_id[(k + 1) % len(by_id)][1], len(text) // 2, found[i]
+        edited = text[: len(text) - half] + following[:half]
+        assert (r["n_chars"], r["edited_sha256"]) == (len(text), _sha(edited))
+        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+        assert (r["near_next"] == 1) == (r["fingerprint"] == found[by_id[(k + 1) % len(by_id)][0]]["fingerprint"])
+        prints[text].add(r["fingerprint"])
+    assert all(len(own) == 1 for own in prints.values())
+    assert len({next(iter(own)) for own in prints.values()}) == len(prints)
+
+
+def test_op10_shards(spark, documents):
+    found, sizes, slots = _query(spark, "op10_sharding"), defaultdict(int), defaultdict(list)
+    for i, text, _ in documents:
+        r, data = found[i], (text or "").encode()
+        assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(data) + 1, zlib.crc32(data), "bytes", None)
+        sizes[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    assert set(sizes) <= set(range(16)) and all(sorted(own) == list(range(len(own))) for own in slots.values())
+    largest = max(len((text or "").encode()) + 1 for _, text, _ in documents)
+    assert max(sizes.values()) <= sum(sizes.values()) / 16 + largest
