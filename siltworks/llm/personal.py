@@ -54,6 +54,8 @@ _LOOSE_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}")
 _LOOSE_CARD = re.compile(r"[0-9](?:[\s._/\u2013\u2014-]{0,3}[0-9])+")
 _LOOSE_PHONE = re.compile(r"(?=.*[^0-9])\+?\(?[0-9][0-9().\s/\u2013-]*[0-9]", re.DOTALL)
 _MARKS = frozenset(("at", "(at)", "dot", "(dot)"))
+_YEARED = re.compile(r"(?:19|20)[0-9]{2}/[0-9]+")
+_DIGITS = re.compile(r"[0-9]+")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
 Span = tuple[int, int, int]  # start, number of the kind, end
@@ -81,9 +83,17 @@ def valid(kind: str, text: str) -> bool:
 def likely(kind: str, text: str) -> bool:
     """Whether a span of the field can be of the kind: valid, or in a looser form with the right numbers in it.
 
-    Signs of e-mail and IP addresses may be in brackets or in words or have blanks around them. For cards and telephone
-    numbers ``valid`` looks at the digits only, so any separators will do, and no ``+`` is needed.
+    Signs of e-mail and IP addresses may be in brackets or in words or have blanks around them. Cards may have other
+    separators. Telephone numbers need no ``+``; without one, a year and a number after a slash are none, nor are pairs of
+    digits unless they are five and begin with 0.
     """
+    if kind == "card":
+        return _LOOSE_CARD.fullmatch(text) is not None and valid(kind, text)
+    if kind == "phone":
+        groups = _DIGITS.findall(text)
+        pairs = text[:1] != "+" and all(len(g) <= 2 for g in groups)
+        some = not pairs or len(groups) == 5 and groups[0][0] == "0"
+        return some and _LOOSE_PHONE.fullmatch(text) is not None and not _YEARED.fullmatch(text) and valid(kind, text)
     if valid(kind, text):
         return True
     if kind == "email":
@@ -243,6 +253,20 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
 
 
+def sums(field: Field, scores: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Logarithms of the sums over all tags before and after each word, and over all taggings of a stretch."""
+    most = scores.shape[1]
+    ahead, behind = np.zeros_like(scores), np.zeros_like(scores)
+    ahead[:, 0] = scores[:, 0] + field.first
+    for t in range(1, most):
+        moved = _log_sum(ahead[:, t - 1, :, None] + field.pairs[None], 1) + scores[:, t]
+        ahead[:, t] = np.where(inside[:, t, None], moved, ahead[:, t - 1])
+    for t in range(most - 2, -1, -1):
+        moved = _log_sum(field.pairs[None] + (scores[:, t + 1] + behind[:, t + 1])[:, None, :], 2)
+        behind[:, t] = np.where(inside[:, t + 1, None], moved, 0)
+    return ahead, behind, _log_sum(ahead[:, -1], 1)
+
+
 def fit_field(found: Sequence[np.ndarray], tags: Sequence[np.ndarray], rounds: int = 40, rate: float = 0.1, penalty: float = 1e-4) -> Field:
     """Maximum likelihood with a ridge penalty: forward and backward sums give the gradient, in steps of adaptive size."""
     n_tags = len(TAGS)
@@ -257,15 +281,7 @@ def fit_field(found: Sequence[np.ndarray], tags: Sequence[np.ndarray], rounds: i
             scores = field.scores(batch)
             n, most, _ = scores.shape
             inside = np.arange(most)[None] < lengths[:, None]
-            ahead, behind = np.zeros_like(scores), np.zeros_like(scores)
-            ahead[:, 0] = scores[:, 0] + field.first
-            for t in range(1, most):
-                moved = _log_sum(ahead[:, t - 1, :, None] + field.pairs[None], 1) + scores[:, t]
-                ahead[:, t] = np.where(inside[:, t, None], moved, ahead[:, t - 1])
-            for t in range(most - 2, -1, -1):
-                moved = _log_sum(field.pairs[None] + (scores[:, t + 1] + behind[:, t + 1])[:, None, :], 2)
-                behind[:, t] = np.where(inside[:, t + 1, None], moved, 0)
-            norm = _log_sum(ahead[:, -1], 1)
+            ahead, behind, norm = sums(field, scores, inside)
             share = np.exp(ahead + behind - norm[:, None, None]) * inside[:, :, None]
             truth = np.zeros_like(share)
             for i, own in enumerate(gold):
@@ -308,9 +324,7 @@ def _missed(text: str, words: Sequence[tuple[int, int]], spans: Sequence[Span],
                 break
             for kind in range(len(KINDS)):
                 a, _, b = _bare(text, (start, kind, end))
-                part = text[a:b]
-                loose = _LOOSE_CARD if kind == 2 else _LOOSE_PHONE if kind == 3 else None
-                if likely(KINDS[kind], part) and (loose is None or loose.fullmatch(part)):
+                if likely(KINDS[kind], text[a:b]):
                     return True
     return False
 
@@ -369,6 +383,7 @@ def _look_alikes(r: random.Random) -> list[str]:
         " ".join(str(n(0, 10 ** n(1, 5))) for _ in range(n(5, 9))), f"pp. {n(1, 999)}-{n(1000, 1999)}", f"1. {n(2, 9)}. {n(3, 9)}. {n(4, 9)}",
         f"{n(1, 99)} @ {n(1, 99)}.{n(10, 99)}", f"@{r.choice(('jane', 'news', 'acme2'))}", f"at {n(1, 12)}:{n(10, 59)}", f"(at) {r.choice(('noon', 'home', 'least'))}",
         f"dot {n(1, 9)}", f"at the dot on page {n(1, 99)}", f"({n(1900, 2099)})", f"{n(10, 99)}%", f"{n(0, 2**128):032x}", f"{n(0, 2**32):08x}-{n(0, 2**16):04x}",
+        f"{n(1, 999)}.{n(100, 999)}.{n(100, 999)},{n(10, 99)}", f"{n(1950, 2030)}/{n(1, 99999):07}", f"{n(1, 99)}/{n(1950, 2030)}",
         f"x{n(1, 99)}_{n(1, 99)}", f"${n(1, 999)}.{n(10, 99)}", f"RFC-{n(100, 9999)}",
     ]
 
