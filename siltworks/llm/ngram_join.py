@@ -5,14 +5,17 @@ in whatever order all tokens are put. Here the first order is by rising frequenc
 of the prefixes; it generates the candidates. Two more orders are random; a candidate pair must also share a
 token in its prefixes under both before its sets are compared.
 
-Of a pair, the smaller set (of equal ones that with the smaller class) shares such a token already among its first
-n - ceil(2t / (1 + t) n) + 1. Tokens that no set has there make no pair. For sets of equal size that are alike but not
-similar, as pages from one template, these shorter prefixes hold only tokens of their own.
+Of a pair, the smaller set shares such a token already among its first n - ceil(2t / (1 + t) n) + 1. Tokens that no
+set has there make no pair. For sets of equal size that are alike but not similar, as pages from one template, these
+shorter prefixes hold only tokens of their own.
+
+Sets of n and m tokens need an overlap of t / (1 + t) (n + m). Their first common token has all others behind it in both,
+so a token makes a pair only if each set has that many tokens from it on. Of equal sets, both have it in the shorter prefix.
 
 Texts with equal sets are one class, and classes are joined, not texts. Candidates come in two steps, so that a
 group of thousands of near copies does not give all its pairs: first every class is compared with one class of
-each prefix token, then only classes that share a token, are not yet connected, and have
-bitmaps that similar sets can have.
+each prefix token, that with the fewest rarer tokens, which in a group of near copies is the one with the fewest changes;
+then only classes that share a token, are not yet connected, and have bitmaps that similar sets can have.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -54,11 +57,6 @@ def needed(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def needed_by_smaller(n: int, percent: int) -> int:
-    """The least overlap that a set of n tokens can have with a similar set that is not smaller."""
-    return -(-2 * percent * n // (100 + percent))
-
-
 def set_class(tokens: np.ndarray) -> int:
     """A 64-bit name of the set; 0 for the empty set."""
     if not len(tokens):
@@ -124,16 +122,16 @@ def _total_counts(pieces: DataFrame) -> np.ndarray:
 
 
 def _prefix_tokens(texts: DataFrame, frequency: np.ndarray, k: int, percent: int) -> DataFrame:
-    """``k, owner, extra``: prefix tokens that several classes have, with the classes and twice their sizes.
+    """``k, owner, extra``: prefix tokens that several classes have, with the classes and how many tokens they have from it on.
 
-    The extra is odd where the token is also in the shorter prefix of the class as the smaller set of a pair.
+    A class whose copies several tasks read comes from each of them.
     """
     shared = texts.sparkSession.sparkContext.broadcast(frequency)
     most = 1 << 20
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[Entries]:
         counts = shared.value
-        keys, owners, sizes, held, seen = [], [], [], 0, set()
+        keys, owners, rests, held, seen = [], [], [], 0, set()
         for batch in batches:
             for part in chunks(batch, 0):
                 for tokens in shingle_sets(words_of(part.column(0), lower=True), k):
@@ -145,14 +143,13 @@ def _prefix_tokens(texts: DataFrame, frequency: np.ndarray, k: int, percent: int
                     prefix = tokens[order[: n - needed(n, percent) + 1]]
                     keys.append(prefix)
                     owners.append(np.full(len(prefix), cls, dtype=np.int64))
-                    shorter = n - needed_by_smaller(n, percent) + 1
-                    sizes.append((2 * n + (np.arange(len(prefix)) < shorter)).astype(np.int32))
+                    rests.append((n - np.arange(len(prefix))).astype(np.int32))
                     held += len(prefix)
                 if held >= most:
-                    yield tuple(np.concatenate(x) for x in (keys, owners, sizes))
-                    keys, owners, sizes, held, seen = [], [], [], 0, set()
+                    yield tuple(np.concatenate(x) for x in (keys, owners, rests))
+                    keys, owners, rests, held, seen = [], [], [], 0, set()
         if held:
-            yield tuple(np.concatenate(x) for x in (keys, owners, sizes))
+            yield tuple(np.concatenate(x) for x in (keys, owners, rests))
 
     return shared_keys(texts.select("text"), entries)
 
@@ -201,9 +198,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return arrow_map(both.select("a", "b", "text_a", "text_b"), check, "u long, v long")
 
 
-def _fitting(a: str, b: str, percent: int):
-    """Sizes that a similar pair can have."""
-    return (F.col(a) * percent <= F.col(b) * 100) & (F.col(b) * percent <= F.col(a) * 100)
+def _fitting(n: str, rest: str, m: str, rest_m: str, percent: int) -> Column:
+    """Whether two sets of n and m tokens can be similar if the first token they share has so many from it on in each."""
+    return F.least(rest, rest_m) * (100 + percent) >= (F.col(n) + F.col(m)) * percent
 
 
 def ngram_join(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -228,23 +225,29 @@ def ngram_join(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> Dat
     frequency = _total_counts(scanned.filter("piece is not null"))
     # Each class is stood for by its smallest id.
     bits = [F.min(f"b{i}").alias(f"b{i}") for i in range(BITS)]
-    reps = sets.filter("n > 0 and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), *bits)
+    reps = sets.filter("n > 0 and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), *bits)
     reps = written(reps, "ngram-reps")
 
     named = texts.filter("doc_id is not null")
-    size, shorter = F.shiftright("extra", 1), F.col("extra").bitwiseAND(F.lit(1)) == 1
     found = _prefix_tokens(named, frequency, k, percent)
-    found = written(found.select(F.col("k").alias("token"), F.col("owner").alias("cls"), size.alias("n"), shorter.alias("shorter")), "ngram-found")
+    found = found.select(F.col("k").alias("token"), F.col("owner").alias("cls"), F.col("extra").cast("long").alias("rest")).distinct()
+    ranked = reps.select(F.col("cls").alias("rep"), "n")
+    found = found.join(ranked.hint("merge"), F.col("cls") == F.col("rep")).drop("rep")
+    found = written(found.withColumn("shorter", _fitting("n", "rest", "n", "rest", percent)), "ngram-found")
     release_shuffles(docs.sparkSession)
-    pivots = found.groupBy("token").agg(
-        F.min(F.struct("cls", "n")).alias("p"), F.max("cls").alias("last"), F.bool_or("shorter").alias("pairs")
+    # The class with the fewest rarer tokens has the least that others have not: most of a group are similar to it.
+    central = F.min(F.struct((F.col("n") - F.col("rest")).alias("rarer"), "cls", "n", "rest"))
+    smallest = F.min(F.when(F.col("shorter"), F.col("n")))  # of the sets that can be the smaller one of a pair
+    pivots = found.groupBy("token").agg(central.alias("p"), F.count(F.lit(1)).alias("classes"), smallest.alias("least"))
+    pivots = pivots.filter("least is not null and classes > 1").select(
+        F.col("token").alias("of"), F.col("p.cls").alias("a"), F.col("p.n").alias("n_a"), F.col("p.rest").alias("rest_a"), "least"
     )
-    pivots = pivots.filter("pairs and p.cls < last").select(F.col("token").alias("of"), F.col("p.cls").alias("a"), F.col("p.n").alias("n_a"))
-    tokens = written(found.join(pivots.hint("merge"), F.col("token") == F.col("of")).drop("of"), "ngram-members")
+    tokens = found.join(pivots.hint("merge"), F.col("token") == F.col("of")).filter(_fitting("n", "rest", "least", "rest", percent))
+    tokens = written(tokens.drop("of", "least"), "ngram-members")
     rep_texts = written(_rep_texts(named, tokens, reps, k), "ngram-texts")
 
     release_shuffles(docs.sparkSession)
-    first = tokens.filter((F.col("a") != F.col("cls")) & _fitting("n", "n_a", percent))
+    first = tokens.filter((F.col("a") != F.col("cls")) & _fitting("n", "rest", "n_a", "rest_a", percent))
     first = first.select("a", F.col("cls").alias("b")).distinct()
     links = written(_verified(first, rep_texts, k, percent), "ngram-links")
     release_shuffles(docs.sparkSession)
@@ -284,14 +287,14 @@ def _rep_texts(texts: DataFrame, tokens: DataFrame, reps: DataFrame, k: int) ->
 
 
 def _unconnected(tokens: DataFrame, stars: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes that share a token, the smaller set in its shorter prefix, and are in different components so far.
+    """Pairs of classes that share a token with enough of both sets from it on, and are in different components so far.
 
     A token whose classes are all connected gives none. Where most of a token's classes are in one component,
     only the others are paired with them. Sets whose bitmaps differ in more bits than similar sets may differ in
     tokens are no pair, which leaves few pairs of a group of texts that are alike but not similar.
     """
-    member = tokens.select("token", "cls", "n", "shorter").join(stars.hint("merge"), F.col("cls") == F.col("node"), "left")
-    member = written(member.select("token", "cls", "n", "shorter", F.coalesce("component", "cls").alias("comp")), "ngram-grouped")
+    member = tokens.select("token", "cls", "n", "rest", "shorter").join(stars.hint("merge"), F.col("cls") == F.col("node"), "left")
+    member = written(member.select("token", "cls", "n", "rest", "shorter", F.coalesce("component", "cls").alias("comp")), "ngram-grouped")
     sizes = member.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("m"), F.bool_or("shorter").alias("pairs"))
     major = sizes.groupBy("token").agg(
         F.max(F.struct("m", "comp")).alias("most"), F.count(F.lit(1)).alias("comps"), F.bool_or("pairs").alias("pairs")
@@ -302,14 +305,14 @@ def _unconnected(tokens: DataFrame, stars: DataFrame, reps: DataFrame, percent:
     mapped = reps.select(F.col("cls").alias("rep"), *maps)
     mixed = written(mixed.join(mapped.hint("merge"), F.col("cls") == F.col("rep")).drop("rep"), "ngram-mixed")
     smaller = mixed.filter("shorter").select(
-        F.col("token").alias("of"), F.col("cls").alias("cls1"), F.col("n").alias("n1"), F.col("comp").alias("comp1"),
+        F.col("token").alias("of"), F.col("cls").alias("cls1"), F.col("n").alias("n1"), F.col("rest").alias("rest1"), F.col("comp").alias("comp1"),
         (F.col("comp") == F.col("major")).alias("major1"), *[F.col(b).alias(f"{b}_1") for b in maps],
     )
     unlike = reduce(operator.add, [F.bit_count(F.col(b).bitwiseXOR(F.col(f"{b}_1"))) for b in maps])
     # Similar sets differ in at most (100 - percent) of (100 + percent) of their tokens taken together.
     alike = unlike * (100 + percent) <= (F.col("n") + F.col("n1")) * (100 - percent)
     ordered = (F.col("n1") < F.col("n")) | (F.col("n1") == F.col("n")) & (F.col("cls1") < F.col("cls"))
-    fits = ordered & (F.col("comp") != F.col("comp1")) & _fitting("n", "n1", percent) & alike
+    fits = ordered & (F.col("comp") != F.col("comp1")) & _fitting("n", "rest", "n1", "rest1", percent) & alike
     pairs = None
     for larger, some in ((mixed, smaller.filter("not major1")), (mixed.filter("comp <> major"), smaller.filter("major1"))):
         part = larger.join(some.hint("merge"), F.col("token") == F.col("of")).filter(fits)

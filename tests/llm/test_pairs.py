@@ -103,6 +103,55 @@ def test_a_template_gives_no_pairs(spark, monkeypatch):
     assert sum(counted) < 5 * len(rows)
 
 
+def _edited(n, words=150, seed=3):
+    """Near copies of a text that is not among them: one to six words of each are replaced, left out or put in."""
+    r = random.Random(seed)
+    base = [f"e{i}" for i in range(words)]
+    out = []
+    for i in range(n):
+        text = list(base)
+        for j in range(r.choice((1, 1, 1, 2, 2, 3, 4, 6))):
+            at = r.randrange(len(text))
+            text[at : at + r.choice((0, 1, 1, 1))] = r.choice(([f"new{i}x{j}"], [f"new{i}x{j}"], [f"new{i}x{j}"], []))
+        out.append((i, " ".join(text), "en", "s", 1))
+    return out
+
+
+def test_near_copies_with_many_changes_give_few_pairs(spark, monkeypatch):
+    """A token makes a pair only with enough of both sets behind it; the least changed copy connects the others at once."""
+    counted = []
+    true_unconnected = ngram_join_module._unconnected
+
+    def unconnected(*args):
+        pairs = true_unconnected(*args)
+        counted.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(ngram_join_module, "_unconnected", unconnected)
+    rows = _edited(500)
+    expected = corpora.near_components(rows)
+    assert 200 < sum(root != i for i, (_, root) in expected.items()) < 450
+    assert _found(ngram_join(corpora.table(spark, rows))) == expected
+    assert len(counted) == 1 and counted[0] < len(rows) // 10
+
+
+def test_copies_in_several_tasks_are_one_member_of_a_token(spark, monkeypatch):
+    members = []
+    true_written = ngram_join_module.written
+
+    def written(df, label):
+        table = true_written(df, label)
+        if label == "ngram-members":
+            members.extend((r["token"], r["cls"]) for r in table.collect())
+        return table
+
+    monkeypatch.setattr(ngram_join_module, "written", written)
+    rows = _edited(40)
+    rows += [(1000 + i, rows[i % 3][1], "en", "s", 1) for i in range(60)]
+    assert _found(ngram_join(corpora.table(spark, rows, parts=8))) == corpora.near_components(rows)
+    assert members and len(members) == len(set(members))
+
+
 def test_mixed_sizes_and_shares_lose_no_link(spark):
     r = random.Random(9)
     base = [f"m{i}" for i in range(120)]
